@@ -163,11 +163,11 @@ def _housing_scaled(spark, sf):
 def q_mlp_regressor(spark, sf):
     """(split, mae, r2) on train and test."""
     tr, te = _housing_scaled(spark, sf)
-    m = regress.mlp_regressor(hidden=(15, 15), alpha=0.01, max_iter=30, label="price_k").fit(tr)
+    m = regress.mlp_regressor(hidden=(15, 15), alpha=0.01, max_iter=30, label="value_k").fit(tr)
     rows = []
     for name, d in (("train", tr), ("test", te)):
         p = m.transform(d)
-        rows.append((name, *_scalars(evaluate.mae(p, "prediction", "price_k"), evaluate.r2(p, "prediction", "price_k"))))
+        rows.append((name, *_scalars(evaluate.mae(p, "prediction", "value_k"), evaluate.r2(p, "prediction", "value_k"))))
     return spark.createDataFrame(rows, "split string, mae double, r2 double").select("split", _r("mae"), _r("r2"))
 
 
@@ -175,13 +175,13 @@ def q_mlp_regressor(spark, sf):
 def q_svr(spark, sf):
     """M14 + M15: (split, mae, n_support, n_bound)."""
     tr, te = _housing_scaled(spark, sf)
-    est = regress.svr_rbf(HOUSE_FEATS, C=100.0, gamma=0.1, epsilon=6.0, n_components=64, max_iter=30, label="price_k")
+    est = regress.svr_rbf(HOUSE_FEATS, C=100.0, gamma=0.1, epsilon=6.0, n_components=64, max_iter=30, label="value_k")
     m = est.fit(tr)
     rows = []
     for name, d in (("train", tr), ("test", te)):
         p = m.transform(d)
-        st = regress.support_stats(p, "prediction", "price_k", 6.0).first()
-        rows.append((name, *_scalars(evaluate.mae(p, "prediction", "price_k")), int(st["n_support"]), int(st["n_bound"])))
+        st = regress.support_stats(p, "prediction", "value_k", 6.0).first()
+        rows.append((name, *_scalars(evaluate.mae(p, "prediction", "value_k")), int(st["n_support"]), int(st["n_bound"])))
     return spark.createDataFrame(rows, "split string, mae double, n_support long, n_bound long").select("split", _r("mae"), "n_support", "n_bound")
 
 
