@@ -246,3 +246,26 @@ def q_repeated_holdout(spark, sf):
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
     res = tuning.repeated_holdout_search(classify.decision_tree(), {"maxDepth": [2, 4]}, ev, tr, ["is_test_0", "is_test_1", "is_test_2"])
     return res.select("param_set", "params", _r("mean_metric"), _r("std_metric"))
+
+
+@register("regularised_gbt")
+def q_regularised_gbt(spark, sf):
+    """M7: boosted trees with minimum gain, row subsampling and per-node feature sampling."""
+    tr, te = _loan_vectors(spark, sf)
+    est = classify.regularised_gbt(n_estimators=10, max_depth=3, gamma=0.001, subsample=0.8, colsample="0.8", seed=3)
+    s = evaluate.score(est.fit(tr.select("features", "label")), te)
+    row = _scalars(evaluate.auc(s, "score", "label"), evaluate.accuracy(s, "prediction", "label"))
+    return spark.createDataFrame([tuple(row)], "auc double, accuracy double").select(_r("auc"), _r("accuracy"))
+
+
+@register("refit_best")
+def q_refit_best(spark, sf):
+    """G6 + G7: search, report, refit the winner on all training rows and score the test rows."""
+    tr, te = _loan_vectors(spark, sf)
+    ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    est = classify.decision_tree()
+    search = tuning.grid_search(est, {"maxDepth": [2, 4]}, ev, folds=3, seed=7)
+    model, report = tuning.fit_and_report(search, tr)
+    best = tuning.refit_best(est, model, tr)
+    s = evaluate.score(best, te)
+    return s.select(*fx.LOAN_KEY, "label", "prediction", F.lit(int(report["maxDepth"])).alias("max_depth"))

@@ -1,0 +1,7 @@
+"""Streaming operators: none.
+
+The reference has no stream, watermark, window or state code (SURVEY §2.14),
+so nothing is claimed here.  Every table operator in this package is a plain
+DataFrame transformation and can be applied to a streaming DataFrame where
+Spark allows the underlying operation.
+"""
