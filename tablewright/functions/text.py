@@ -91,21 +91,27 @@ def remove_stopwords(tokens: str | Column, stopwords: Sequence[str] = STOPWORDS)
 
 
 # T6
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_arrays(tokens: pd.Series) -> pd.Series:
-    cache: dict[str, str] = {}
+_STEM_CACHE: dict[str, str] = {}
+_STEM_CACHE_MAX = 2_000_000
+
 
-    def one(word: str) -> str:
-        s = cache.get(word)
-        if s is None:
-            s = cache[word] = stem_word(word)
-        return s
+def _stem_cached(word: str) -> str:
+    s = _STEM_CACHE.get(word)
+    if s is None:
+        if len(_STEM_CACHE) >= _STEM_CACHE_MAX:
+            _STEM_CACHE.clear()
+        s = _STEM_CACHE[word] = stem_word(word)
+    return s
 
-    return tokens.map(lambda arr: None if arr is None else [one(w) for w in arr])
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _stem_arrays(tokens: pd.Series) -> pd.Series:
+    # the cache lives in the Python worker, so a term is stemmed once per worker
+    return tokens.map(lambda arr: None if arr is None else [_stem_cached(w) for w in arr])
 
 
 def stem(tokens: str | Column) -> Column:
-    """English (Porter2) stem of every token, Arrow-batched with a per-batch cache."""
+    """English (Porter2) stem of every token, Arrow-batched with a per-worker cache."""
     return _stem_arrays(_col(tokens))
 
 

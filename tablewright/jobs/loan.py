@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tablewright.jobs import fixtures as fx
 from tablewright.operators import clean, evaluate, features, splits, tuning
 from tablewright.operators.models import classify
+from tablewright.plans.parallel import spread
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def run(spark: SparkSession, sf_dir: str, grid: dict | None = None, n_estimators
     train, test = splits.split(df, [0.8, 0.2], seed, fx.LOAN_KEY)
     feat = features.feature_pipeline(spec()).fit(train)
     # the encoded training rows feed every fit of the search: persist once
-    tr = feat.transform(train).select("features", "label").persist()
+    tr = spread(feat.transform(train).select("features", "label")).persist()
     te = feat.transform(test).select(*fx.LOAN_KEY, "features", "label")
     est = classify.gbt(n_estimators=n_estimators, max_depth=max_depth, seed=seed)
     if grid:
@@ -74,6 +75,6 @@ def scores(spark: SparkSession, sf_dir: str, n_estimators: int = 10, max_depth:
     """Per-row test predictions of the loan model: (keys, label, score, prediction)."""
     df = prepared(spark, sf_dir)
     train, test = splits.split(df, [0.8, 0.2], seed, fx.LOAN_KEY)
-    model = pipeline_model(train, n_estimators, max_depth, seed)
+    model = pipeline_model(spread(train), n_estimators, max_depth, seed)
     s = evaluate.score(model, test)
     return s.select(*fx.LOAN_KEY, "label", F.round("score", 6).alias("score"), "prediction")

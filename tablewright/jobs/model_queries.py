@@ -15,6 +15,7 @@ from tablewright.jobs import loan
 from tablewright.jobs.registry import _r, register
 from tablewright.operators import evaluate, features, splits, text, tuning
 from tablewright.operators.models import anomaly, classify, regress
+from tablewright.plans.parallel import spread
 
 
 def _scalars(*one_row_frames):
@@ -41,7 +42,7 @@ def _loan_vectors(spark, sf):
     df = loan.prepared(spark, sf)
     train, test = splits.split(df, [0.8, 0.2], 1234, fx.LOAN_KEY)
     feat = features.feature_pipeline(loan.spec()).fit(train)
-    return feat.transform(train), feat.transform(test)
+    return spread(feat.transform(train)), feat.transform(test)
 
 
 @register("classifiers")
@@ -156,7 +157,7 @@ def _housing_scaled(spark, sf):
     stats = features.fit_standardize_columns(train, HOUSE_FEATS, ddof=0)
     asm = VectorAssembler(inputCols=HOUSE_FEATS, outputCol="features")
     prep = lambda d: asm.transform(features.apply_standardize_columns(d, stats))
-    return prep(train), prep(test)
+    return spread(prep(train)), prep(test)
 
 
 @register("mlp_regressor")

@@ -393,8 +393,14 @@ def q_folds(spark, sf):
 @register("head_tail_split", W_HOUSE + f""" SELECT o_orderkey,
   row_number() OVER (ORDER BY {sql_hash32(11, ['o_orderkey'])}, o_orderkey) <= 4000 AS is_head FROM housing""")
 def q_head_tail(spark, sf):
-    df = fx.housing_like(spark, sf).select("o_orderkey").withColumn("_h", hash32(11, ["o_orderkey"]))
-    return splits.head_tail_split(df, 4000, ["_h", "o_orderkey"]).drop("_h")
+    return splits.head_tail_split_seeded(fx.housing_like(spark, sf).select("o_orderkey"), 4000, 11, ["o_orderkey"])
+
+
+@register("head_tail_split_ordered", W_HOUSE + """ SELECT o_orderkey,
+  row_number() OVER (ORDER BY price_k DESC, o_orderkey) <= 4000 AS is_head FROM housing""")
+def q_head_tail_ordered(spark, sf):
+    df = fx.housing_like(spark, sf).select("o_orderkey", "price_k")
+    return splits.head_tail_split(df, 4000, [F.col("price_k").desc(), "o_orderkey"]).drop("price_k")
 
 
 # ---------------------------------------------------------------- features

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.hashing import hash32
+from tablewright.plans.parallel import spread
 from tablewright.plans.quantiles import exact_quantiles
 
 NODE_SCHEMA = "tree long, node long, feature int, threshold double, left long, right long, size long, leaf boolean"
@@ -107,7 +108,7 @@ class IsolationForestModel:
             x = np.column_stack([c.to_numpy(dtype=np.float64) for c in cols])
             return pd.Series(np.power(2.0, -model._path_lengths(x) / norm))
 
-        return df.withColumn(out, score(*[F.col(c).cast("double") for c in self.features]))
+        return spread(df).withColumn(out, score(*[F.col(c).cast("double") for c in self.features]))
 
 
 def isolation_forest(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.hashing import hash32, unit_hash
-from tablewright.plans.ordered import ordinal
+from tablewright.plans.ordered import hash_ordinal, ordinal
 
 
 def assign_split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str], out: str = "split") -> DataFrame:
@@ -55,11 +55,12 @@ def stratified_folds(
 ) -> DataFrame:
     """Fold = (rank of the row inside its class in seeded order) mod k.
 
-    Every class is spread evenly over the folds.  The rank is the
-    distributed ordinal, so a class holding most rows never sits in one task.
+    Every class is spread evenly over the folds.  The rank comes from
+    ``hash_ordinal``: hash buckets split every class into bounded groups, so
+    a class holding most rows never sits in one task.
     """
     tagged = df.withColumn("_tw_h", hash32(seed, keys))
-    ranked = ordinal(tagged, ["_tw_h", *keys], partition_by=[label], out="_tw_rn", max_groups=max_classes)
+    ranked = hash_ordinal(tagged, "_tw_h", list(keys), partition_by=[label], out="_tw_rn", max_groups=max_classes)
     return ranked.withColumn(out, ((F.col("_tw_rn") - 1) % F.lit(k)).cast("int")).drop("_tw_h", "_tw_rn")
 
 
@@ -90,3 +91,10 @@ def head_tail_split(df: DataFrame, n: int, order: Sequence[str | Column], out: s
     """Flag the first ``n`` rows in ``order`` (which must be total)."""
     ranked = ordinal(df, order, out="_tw_rn")
     return ranked.withColumn(out, F.col("_tw_rn") <= F.lit(int(n))).drop("_tw_rn")
+
+
+def head_tail_split_seeded(df: DataFrame, n: int, seed: int, keys: Sequence[str], out: str = "is_head") -> DataFrame:
+    """V6 over a seeded permutation (first ``n`` of V2's order), without a range shuffle."""
+    tagged = df.withColumn("_tw_h", hash32(seed, keys))
+    ranked = hash_ordinal(tagged, "_tw_h", list(keys), out="_tw_rn")
+    return ranked.withColumn(out, F.col("_tw_rn") <= F.lit(int(n))).drop("_tw_h", "_tw_rn")

@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as tf
 from tablewright.plans.ordered import ordinal
+from tablewright.plans.parallel import spread
+from tablewright.session import ensure_checkpoint_dir
 
 
 # T7
@@ -36,6 +38,7 @@ def clean_text(
     rest of its line) reproduces the reference's cleaning.  ``lower_first``
     and ``digits='token'`` are the corrected variants.
     """
+    df = spread(df)  # regex cleaning is CPU-bound: at least one task per core
     c = F.col(text_col)
     if lower_first:
         c = F.lower(c)
@@ -43,20 +46,29 @@ def clean_text(
     c = tf.mask_digits(c) if digits == "line" else F.regexp_replace(c, "[0-9]+", tf.DIGITS_WORD)
     c = tf.strip_punctuation(c)
     toks = tf.normalize_ws_lower(c)
-    if stopwords:
-        toks = tf.remove_stopwords(toks)
-    if stemming:
-        toks = tf.stem(toks)
-    return df.withColumn(out, toks)
+    if not stopwords:
+        return df.withColumn(out, tf.stem(toks) if stemming else toks)
+    # StopWordsRemover tests membership in a hash set (one lookup per token)
+    tmp = df.withColumn("_tw_raw_tokens", toks).drop(out)
+    remover = StopWordsRemover(inputCol="_tw_raw_tokens", outputCol=out, stopWords=list(tf.STOPWORDS), caseSensitive=True)
+    res = remover.transform(tmp).drop("_tw_raw_tokens")
+    return res.withColumn(out, tf.stem(out)) if stemming else res
+
+
+def _terms(df: DataFrame, tokens_col: str, *keep: str) -> DataFrame:
+    """One row per token.
+
+    ``explode_outer`` + a NULL filter instead of ``explode``: for a plain
+    explode Catalyst infers ``size(tokens) > 0`` and pushes it below the
+    repartition in ``clean_text``, which evaluates the whole cleaning chain
+    twice, the first time before the rows are spread.
+    """
+    return df.select(*keep, F.explode_outer(tokens_col).alias("term")).filter(F.col("term").isNotNull())
 
 
 def _doc_terms(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
     """(doc, term, tf) with the per-document counts combined map-side."""
-    return (
-        df.select(doc_col, F.explode(tokens_col).alias("term"))
-        .groupBy(doc_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return _terms(df, tokens_col, doc_col).groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 # T9
@@ -106,7 +118,9 @@ def tfidf(
     ``vocab`` comes from ``count_vectorize`` and is capped at
     ``max_features`` rows, which is the proven bound for its broadcast.
     """
-    idf = idf_table(vocab, n_docs).select("term", "idf")
+    # at most max_features rows: written once, then counted and broadcast from the checkpoint
+    ensure_checkpoint_dir(df.sparkSession)
+    idf = idf_table(vocab, n_docs).select("term", "idf").checkpoint(eager=True)
     n_vocab = idf.count()
     if n_vocab > max_vocab_rows:
         raise ValueError(f"vocabulary of {n_vocab} terms is too large to broadcast; cap it with max_features")
@@ -143,7 +157,7 @@ def build_vocabulary(df: DataFrame, tokens_col: str, first_id: int = 2) -> DataF
 
     0 is kept for padding / truncated terms and 1 for unknown terms.
     """
-    counts = df.select(F.explode(tokens_col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("term_count"))
+    counts = _terms(df, tokens_col).groupBy("term").agg(F.count(F.lit(1)).alias("term_count"))
     ranked = ordinal(counts, [F.col("term_count").desc(), F.col("term").asc()], out="_rk")
     return ranked.select("term", "term_count", (F.col("_rk") + F.lit(first_id - 1)).alias("term_id"))
 
@@ -175,7 +189,7 @@ def encode_sequence(
     cutoff = first + hot_terms
     hot = vocab.filter(F.col("term_id") < F.lit(cutoff)).select(F.col("term").alias("_h_term"), F.col("term_id").alias("_h_id"))
     cold = vocab.filter(F.col("term_id") >= F.lit(cutoff)).select(F.col("term").alias("_c_term"), F.col("term_id").alias("_c_id"))
-    toks = df.select(doc_col, F.posexplode(tokens_col).alias("pos", "term"))
+    toks = df.select(doc_col, F.posexplode_outer(tokens_col).alias("pos", "term")).filter(F.col("term").isNotNull())
     toks = toks.join(F.broadcast(hot), F.col("term") == F.col("_h_term"), "left")
     matched = toks.filter(F.col("_h_id").isNotNull()).select(doc_col, "pos", F.col("_h_id").alias("id"))
     rest = toks.filter(F.col("_h_id").isNull()).select(doc_col, "pos", "term")

@@ -175,3 +175,43 @@ def prefix_sum(
     joined = local.join(offsets, _null_safe_on(local, offsets, partition_by), "inner")
     cums = [(offsets[f"_tw_o_{v}"] + local[f"_tw_l_{v}"]).alias(f"{prefix}{v}") for v in values]
     return joined.select(*[local[c] for c in df.columns], *cums)
+
+
+def hash_ordinal(
+    df: DataFrame,
+    hash_col: str,
+    tiebreak: Sequence[str],
+    partition_by: Sequence[str] = (),
+    out: str = "rn",
+    rows_per_bucket: int = 1_000_000,
+    max_groups: int | None = MAX_BROADCAST_GROUPS,
+) -> DataFrame:
+    """``row_number() over (partition by .. order by hash_col, tiebreak..)`` for a uniform 32-bit hash.
+
+    A uniform hash needs no sampled range bounds: ``floor(h * B / 2^32)`` is
+    already an order-preserving bucket, and every bucket holds about
+    ``n / B`` rows of each group, however large the group.  Positions are a
+    window per (group, bucket) plus the row counts of the earlier buckets of
+    the same group (a table of ``groups * B`` rows, broadcast).  Everything is
+    a deterministic function of the data, so no checkpoint is needed.
+    """
+    partition_by = list(partition_by)
+    _check_groups(df, partition_by, max_groups)
+    n = df.count()
+    buckets = max(_num_partitions(df, None), -(-n // rows_per_bucket))
+    b = F.floor(F.col(hash_col).cast("double") * F.lit(float(buckets)) / F.lit(4294967296.0)).cast("long")
+    tagged = df.withColumn("_tw_b", b)
+    w = Window.partitionBy(*partition_by, "_tw_b").orderBy(hash_col, *tiebreak)
+    local = tagged.withColumn("_tw_lrn", F.row_number().over(w))
+    counts = tagged.groupBy(*partition_by, "_tw_b").agg(F.count(F.lit(1)).alias("_tw_cnt"))
+    wo = Window.partitionBy(*partition_by).orderBy("_tw_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*partition_by, "_tw_b", F.coalesce(F.sum("_tw_cnt").over(wo), F.lit(0)).alias("_tw_off"))
+    offsets = offsets.withColumnRenamed("_tw_b", "_tw_rb")
+    for i, c in enumerate(partition_by):
+        offsets = offsets.withColumnRenamed(c, f"_tw_g{i}")
+    offsets = F.broadcast(offsets)  # groups * buckets rows, both bounded above
+    cond = local["_tw_b"] == offsets["_tw_rb"]
+    for i, c in enumerate(partition_by):
+        cond = cond & local[c].eqNullSafe(offsets[f"_tw_g{i}"])
+    joined = local.join(offsets, cond, "inner")
+    return joined.select(*[local[c] for c in df.columns], (offsets["_tw_off"] + local["_tw_lrn"]).alias(out))
