@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.hashing import hash32
+from tablewright.plans.ordered import hash_top_n
 from tablewright.plans.parallel import spread
 from tablewright.plans.quantiles import exact_quantiles
 
@@ -129,7 +130,8 @@ def isolation_forest(
     h = hash32(seed, keys)
     if n >= psi * n_estimators:
         # disjoint subsamples: the T * psi smallest hashes, dealt round-robin to the trees
-        sample = df.withColumn("_tw_h", h).orderBy("_tw_h", *keys).limit(psi * n_estimators)
+        sample = hash_top_n(df.withColumn("_tw_h", h), "_tw_h", list(keys), psi * n_estimators)
+        # at most T * psi rows: a bounded single-task ranking
         ranked = sample.withColumn("_tw_rank", F.row_number().over(Window.orderBy("_tw_h", *keys)) - 1)
         sample = ranked.withColumn("tree", (F.col("_tw_rank") % n_estimators).cast("long"))
     else:

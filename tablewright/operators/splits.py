@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.hashing import hash32, unit_hash
-from tablewright.plans.ordered import hash_ordinal, ordinal
+from tablewright.plans.ordered import hash_ordinal, hash_top_n, ordinal
 
 
 def assign_split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str], out: str = "split") -> DataFrame:
@@ -44,9 +44,9 @@ def split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str
 
 # V2
 def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of a seeded permutation (a bounded top-n, not a full sort)."""
-    h = hash32(seed, keys)
-    return df.withColumn("_tw_h", h).orderBy("_tw_h", *keys).limit(int(n)).drop("_tw_h")
+    """The first ``n`` rows of a seeded permutation (hash prefilter, then a bounded top-n)."""
+    tagged = df.withColumn("_tw_h", hash32(seed, keys))
+    return hash_top_n(tagged, "_tw_h", list(keys), n).drop("_tw_h")
 
 
 # V3

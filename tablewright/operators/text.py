@@ -96,7 +96,9 @@ def count_vectorize(
     )
     stats = stats.filter((F.col("doc_freq") >= F.lit(lo)) & (F.col("doc_freq") <= F.lit(hi)))
     if max_features:
-        stats = stats.orderBy(F.col("term_count").desc(), F.col("term")).limit(int(max_features))
+        # distributed rank by frequency (no global top-n merge), then keep the cap
+        ranked = ordinal(stats, [F.col("term_count").desc(), F.col("term").asc()], out="_tw_rk")
+        stats = ranked.filter(F.col("_tw_rk") <= F.lit(int(max_features))).drop("_tw_rk")
         # at most max_features rows: a bounded single-task ranking
         return stats.withColumn("term_index", F.row_number().over(Window.orderBy("term")) - 1)
     return ordinal(stats, ["term"], out="term_index").withColumn("term_index", F.col("term_index") - 1)

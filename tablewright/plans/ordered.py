@@ -215,3 +215,24 @@ def hash_ordinal(
         cond = cond & local[c].eqNullSafe(offsets[f"_tw_g{i}"])
     joined = local.join(offsets, cond, "inner")
     return joined.select(*[local[c] for c in df.columns], (offsets["_tw_off"] + local["_tw_lrn"]).alias(out))
+
+
+def hash_top_n(df: DataFrame, hash_col: str, tiebreak: Sequence[str], n: int, slack: float = 1.2) -> DataFrame:
+    """The ``n`` rows with the smallest uniform 32-bit hash, without a global top-n merge.
+
+    ``orderBy(h).limit(n)`` keeps ``n`` rows per partition and merges all of
+    them in one task.  A map-side filter ``h < t`` with ``t`` chosen for about
+    ``slack * n`` survivors (raised until at least ``n`` survive) leaves a
+    bounded set, on which the exact top-n is then taken.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    frac = min(1.0, slack * n / total + 64.0 / total)
+    while True:
+        t = int(frac * 4294967296.0)
+        kept = df.filter(F.col(hash_col) < F.lit(t))
+        if frac >= 1.0 or kept.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    return kept.orderBy(hash_col, *tiebreak).limit(int(n))

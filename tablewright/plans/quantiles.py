@@ -33,7 +33,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     spark = df.sparkSession
     cols = list(cols)
     long = long_values(df, cols)
-    counts = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # ranks first: the ranked rows are checkpointed, so the per-column counts
+    # below read the checkpoint instead of recomputing the input
+    ranked = ordinal(long, ["value"], partition_by=["column"], out="_q_rn", max_groups=None)
+    counts = {r["column"]: r["n"] for r in ranked.groupBy("column").agg(F.max("_q_rn").alias("n")).collect()}
     rows = []
     for c in cols:
         n = counts.get(c, 0)
@@ -55,7 +58,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
         ]
     )
     wanted = spark.createDataFrame(rows, schema)
-    ranked = ordinal(long, ["value"], partition_by=["column"], out="_q_rn", max_groups=None)
     hits = ranked.join(
         F.broadcast(wanted),
         (F.col("column") == F.col("_q_column")) & (F.col("_q_rn") == F.col("_q_rank")),
