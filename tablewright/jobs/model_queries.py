@@ -49,7 +49,10 @@ def _loan_vectors(spark, sf):
 def q_classifiers(spark, sf):
     """M1, M3, M4, M5, M12 on the loan fixture: (model, auc, auc_hard, accuracy)."""
     tr, te = _loan_vectors(spark, sf)
-    tr = tr.select("features", "label").persist()
+    # gradient-based fits (logistic, MLP) get standardised inputs, fitted on the training rows
+    scaler = features.standardize("features", "scaled").fit(tr)
+    tr = scaler.transform(tr).select(F.col("scaled").alias("features"), "label").persist()
+    te = scaler.transform(te).drop("features").withColumnRenamed("scaled", "features")
     width = classify.input_width(tr)
     models = {
         "logistic": classify.logistic(max_iter=10, reg_param=0.01),
@@ -73,7 +76,8 @@ def q_classifiers(spark, sf):
 
 
 def _text_split(spark, sf):
-    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens")
+    # cleaning (with stemming) feeds several jobs below: keep the tokens, drop the raw text
+    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens").drop("text").persist()
     docs = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(docs).transform(docs)
     tagged = splits.assign_split(docs, [0.8, 0.2], 42, ["doc_id"])
     train, val = tagged.filter("split = 0"), tagged.filter("split = 1")
@@ -270,3 +274,27 @@ def q_refit_best(spark, sf):
     best = tuning.refit_best(est, model, tr)
     s = evaluate.score(best, te)
     return s.select(*fx.LOAN_KEY, "label", "prediction", F.lit(int(report["maxDepth"])).alias("max_depth"))
+
+
+@register("save_search")
+def q_save_search(spark, sf):
+    """Fit a search, persist model and results in the checkpoint folder, read both back."""
+    import uuid
+
+    from tablewright.session import ensure_checkpoint_dir
+    from tablewright.sources import io
+
+    tr, te = _loan_vectors(spark, sf)
+    ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    model = tuning.grid_search(classify.decision_tree(), {"maxDepth": [2, 3]}, ev, folds=2, seed=1).fit(tr)
+    path = f"{ensure_checkpoint_dir(spark)}/tw-search-{uuid.uuid4().hex}"
+    io.save_search(model, path, tuning.search_results(spark, model))
+    back, results = io.load_search(spark, path)
+    # the reloaded model scores the test rows exactly like the fitted one
+    same = back.transform(te).select(*fx.LOAN_KEY, F.col("prediction").alias("p_loaded")).join(
+        model.transform(te).select(*fx.LOAN_KEY, "prediction"), fx.LOAN_KEY
+    )
+    mismatches = same.filter(F.col("p_loaded") != F.col("prediction")).count()
+    return results.select("param_set", "params", _r("mean_metric"), _r("std_metric")).withColumn(
+        "reload_mismatches", F.lit(mismatches).cast("long")
+    )

@@ -667,6 +667,21 @@ def q_compare(spark, sf):
     return a.select("model", _r("auc", 9))
 
 
+@register("compare_roc_points", W_SCORE + """, lm AS (SELECT 'price' AS model, score AS s, label FROM scored UNION ALL
+  SELECT 'quantity' AS model, score_ties AS s, label FROM scored),
+  g AS (SELECT model, s AS threshold, sum(label) AS tp, sum(1 - label) AS fp FROM lm GROUP BY model, s),
+  c AS (SELECT model, threshold, sum(tp) OVER (PARTITION BY model ORDER BY threshold DESC) AS cum_tp,
+        sum(fp) OVER (PARTITION BY model ORDER BY threshold DESC) AS cum_fp,
+        sum(tp) OVER (PARTITION BY model) AS P, sum(fp) OVER (PARTITION BY model) AS N FROM g)
+  SELECT model, threshold, round(cum_tp / P, 9) AS tpr, round(cum_fp / N, 9) AS fpr FROM c""")
+def q_compare_points(spark, sf):
+    s = fx.score_like(spark, sf)
+    pts, _ = evaluate.compare_roc(
+        {"price": s.select("score", "label"), "quantity": s.select(F.col("score_ties").alias("score"), "label")}, "score", "label"
+    )
+    return pts.select("model", "threshold", _r("tpr", 9), _r("fpr", 9))
+
+
 @register("accuracy", W_SCORE + f" SELECT round(avg(CASE WHEN {HARD} = label THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM scored")
 def q_accuracy(spark, sf):
     df = fx.score_like(spark, sf).withColumn("pred", (F.col("score") > 38000).cast("int"))

@@ -38,8 +38,8 @@ def _score_counts(df: DataFrame, score_col: str, label: str, pos_label, groups:
     )
 
 
-def _totals(counts: DataFrame, groups: Sequence[str]) -> dict:
-    rows = counts.groupBy(*groups).agg(F.sum("tp").alias("P"), F.sum("fp").alias("N")).collect()
+def _totals_from_cum(cum: DataFrame, groups: Sequence[str]) -> dict:
+    rows = cum.groupBy(*groups).agg(F.max("cum_tp").alias("P"), F.max("cum_fp").alias("N")).collect()
     return {tuple(r[g] for g in groups): (r["P"], r["N"]) for r in rows}
 
 
@@ -63,8 +63,10 @@ def roc_points(df: DataFrame, score_col: str, label: str, pos_label=1, groups: S
     """(threshold, tp, fp, cum_tp, cum_fp, tpr, fpr): one point per distinct score, descending."""
     groups = list(groups)
     counts = _score_counts(df, score_col, label, pos_label, groups)
-    totals = _totals(counts, groups)
     cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp", "fp"], partition_by=groups, max_groups=None)
+    # running sums are monotone: their maxima are the class totals, read from the
+    # checkpointed ranks instead of a second pass over the input
+    totals = _totals_from_cum(cum, groups)
     P, N = _per_group(totals, groups, 0), _per_group(totals, groups, 1)
     return cum.select(
         *groups, "threshold", "tp", "fp", "cum_tp", "cum_fp",

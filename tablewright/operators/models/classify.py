@@ -98,14 +98,17 @@ def naive_bayes(label: str = "label", features: str = "features", alpha: float =
 
 # M9 / M10 (l2)
 def linear_svm(label: str = "label", features: str = "features", C: float = 1.0, n_rows: int | None = None,
-               reg_param: float | None = None, max_iter: int = 100) -> OneVsRest:
-    """One-vs-rest linear SVM (hinge loss); ``regParam = 1 / (C * n)`` unless given."""
+               reg_param: float | None = None, max_iter: int = 100, parallelism: int = 4) -> OneVsRest:
+    """One-vs-rest linear SVM (hinge loss); ``regParam = 1 / (C * n)`` unless given.
+
+    The per-class binary fits run ``parallelism`` at a time.
+    """
     if reg_param is None:
         if not n_rows:
             raise ValueError("C needs n_rows to translate to regParam")
         reg_param = 1.0 / (C * n_rows)
     svc = LinearSVC(regParam=reg_param, maxIter=max_iter)
-    return OneVsRest(classifier=svc, labelCol=label, featuresCol=features)
+    return OneVsRest(classifier=svc, labelCol=label, featuresCol=features, parallelism=parallelism)
 
 
 def sgd_linear(label: str = "label", features: str = "features", alpha: float = 1e-4, penalty: str = "l2",

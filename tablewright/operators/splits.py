@@ -51,7 +51,7 @@ def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame
 
 # V3
 def stratified_folds(
-    df: DataFrame, label: str, k: int, seed: int, keys: Sequence[str], out: str = "fold", max_classes: int = 100_000
+    df: DataFrame, label: str, k: int, seed: int, keys: Sequence[str], out: str = "fold", max_classes: int = 1_000
 ) -> DataFrame:
     """Fold = (rank of the row inside its class in seeded order) mod k.
 

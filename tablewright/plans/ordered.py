@@ -30,6 +30,7 @@ from tablewright.session import ensure_checkpoint_dir
 PID = "_tw_pid"
 IDX = "_tw_idx"
 MAX_BROADCAST_GROUPS = 100_000
+MAX_HASH_BUCKETS = 65_536
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -184,7 +185,7 @@ def hash_ordinal(
     partition_by: Sequence[str] = (),
     out: str = "rn",
     rows_per_bucket: int = 1_000_000,
-    max_groups: int | None = MAX_BROADCAST_GROUPS,
+    max_groups: int | None = 1_000,
 ) -> DataFrame:
     """``row_number() over (partition by .. order by hash_col, tiebreak..)`` for a uniform 32-bit hash.
 
@@ -198,7 +199,8 @@ def hash_ordinal(
     partition_by = list(partition_by)
     _check_groups(df, partition_by, max_groups)
     n = df.count()
-    buckets = max(_num_partitions(df, None), -(-n // rows_per_bucket))
+    # capped so the broadcast offsets table stays below groups * MAX_HASH_BUCKETS rows
+    buckets = min(MAX_HASH_BUCKETS, max(_num_partitions(df, None), -(-n // rows_per_bucket)))
     b = F.floor(F.col(hash_col).cast("double") * F.lit(float(buckets)) / F.lit(4294967296.0)).cast("long")
     tagged = df.withColumn("_tw_b", b)
     w = Window.partitionBy(*partition_by, "_tw_b").orderBy(hash_col, *tiebreak)
