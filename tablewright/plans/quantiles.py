@@ -2,11 +2,20 @@
 
 ``percentile(x, p)`` keeps every distinct value of a group in one
 aggregation buffer, which for a global quantile means one task holds the
-whole column.  Here the values are ranked with the distributed ordinal and
-only the two neighbouring ranks of each requested quantile are kept, so the
-work is one range shuffle plus a broadcast of a table with
-``2 * len(cols) * len(probs)`` rows.  Interpolation is linear
-(``quantile_cont`` / numpy's default): ``h = p * (n - 1)``.
+whole column.  Here each requested order statistic is found by selection:
+
+1. count the values of each column (one aggregation);
+2. while the candidate windows hold more than ``collect_limit`` values,
+   narrow every window ``[lo, hi]`` around its target rank with
+   ``percentile_approx`` computed only over the rows inside the window, and
+   re-anchor it with exact counts (rows below the window, rows inside);
+3. collect the values inside the final windows (at most ``collect_limit``
+   rows, a proven bound) and pick the exact ranks.
+
+Every pass is a scan with a small aggregate: no shuffle or write of the raw
+values.  A window that collapses to one value (heavy duplicates) is resolved
+without collecting.  Interpolation is linear (``quantile_cont`` / numpy's
+default): ``h = p * (n - 1)``.
 """
 
 from __future__ import annotations
@@ -16,9 +25,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablewright.plans.ordered import ordinal
+COLLECT_LIMIT = 1_000_000
+ACCURACY = 10_000
+MAX_ROUNDS = 8
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -28,47 +38,119 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+class _Target:
+    """One order statistic: the ``rank``-th smallest (0-based) value of ``column``."""
+
+    def __init__(self, column: str, rank: int, n: int):
+        self.column, self.rank = column, rank
+        self.lo, self.hi = -math.inf, math.inf
+        self.below, self.inside = 0, n
+        self.value: float | None = None
+
+    def in_window(self):
+        v = F.col("value")
+        return (F.col("column") == F.lit(self.column)) & (v >= F.lit(self.lo)) & (v <= F.lit(self.hi))
+
+
+def _narrow(long: DataFrame, pending: list[_Target], accuracy: int) -> None:
+    """One round: approximate bounds inside each window, then exact counts.
+
+    Targets sharing a window (all targets of a column in the first round)
+    share one sketch that is asked for all their fractions.
+    """
+    windows: dict[tuple, list[tuple[_Target, int]]] = {}
+    fractions: dict[tuple, list[float]] = {}
+    d = 2.0 / accuracy
+    for t in pending:
+        key = (t.column, t.lo, t.hi)
+        q = (t.rank - t.below + 0.5) / max(t.inside, 1)
+        fr = fractions.setdefault(key, [])
+        windows.setdefault(key, []).append((t, len(fr)))
+        fr.extend([max(0.0, q - d), min(1.0, q + d)])
+    keys = list(windows)
+    aggs = [
+        F.percentile_approx(F.when(windows[k][0][0].in_window(), F.col("value")), fractions[k], accuracy).alias(f"b{i}")
+        for i, k in enumerate(keys)
+    ]
+    bounds = long.agg(*aggs).first()
+    proposals = {}
+    for i, k in enumerate(keys):
+        b = bounds[f"b{i}"]
+        for t, j in windows[k]:
+            proposals[id(t)] = (b[j], b[j + 1]) if b else (t.lo, t.hi)
+    counts = []
+    v = F.col("value")
+    for i, t in enumerate(pending):
+        lo, hi = proposals[id(t)]
+        col = F.col("column") == F.lit(t.column)
+        counts.append(F.count_if(col & (v >= F.lit(t.lo)) & (v < F.lit(lo))).alias(f"u{i}"))
+        counts.append(F.count_if(col & (v >= F.lit(lo)) & (v <= F.lit(hi))).alias(f"w{i}"))
+    row = long.agg(*counts).first()
+    for i, t in enumerate(pending):
+        lo, hi = proposals[id(t)]
+        below = t.below + row[f"u{i}"]
+        inside = row[f"w{i}"]
+        if below <= t.rank < below + inside:  # the approximation kept the target inside
+            t.lo, t.hi, t.below, t.inside = lo, hi, below, inside
+            if lo == hi:
+                t.value = lo
+
+
+def order_statistics(long: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
+                     collect_limit: int = COLLECT_LIMIT, accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
+    """Exact ``rank``-th smallest values (0-based) per column of a (column, value) table."""
+    targets = [_Target(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
+    for _ in range(MAX_ROUNDS):
+        pending = [t for t in targets if t.value is None]
+        if not pending or sum(t.inside for t in pending) <= collect_limit:
+            break
+        before = [(t.lo, t.hi) for t in pending]
+        _narrow(long, pending, accuracy)
+        if all((t.lo, t.hi) == b for t, b in zip(pending, before)):
+            break  # no progress (cannot happen with a sound sketch); collect what is left
+    pending = [t for t in targets if t.value is None]
+    if pending:
+        total = sum(t.inside for t in pending)
+        if total > collect_limit * 4:
+            raise RuntimeError(f"quantile windows still hold {total} values; raise accuracy")
+        cond = None
+        for t in pending:
+            cond = t.in_window() if cond is None else cond | t.in_window()
+        rows = long.filter(cond).select("column", "value").toPandas()
+        for t in pending:
+            sel = rows[(rows["column"] == t.column) & (rows["value"] >= t.lo) & (rows["value"] <= t.hi)]["value"]
+            vals = sel.sort_values(kind="mergesort").to_numpy()
+            t.value = float(vals[t.rank - t.below])
+    return {(t.column, t.rank): t.value for t in targets}
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    collect_limit: int = COLLECT_LIMIT) -> DataFrame:
     """Long form ``(column, p, value)``; NULL value for a column with no data."""
     spark = df.sparkSession
     cols = list(cols)
     long = long_values(df, cols)
-    # ranks first: the ranked rows are checkpointed, so the per-column counts
-    # below read the checkpoint instead of recomputing the input
-    ranked = ordinal(long, ["value"], partition_by=["column"], out="_q_rn", max_groups=None)
-    counts = {r["column"]: r["n"] for r in ranked.groupBy("column").agg(F.max("_q_rn").alias("n")).collect()}
-    rows = []
+    counts = {c: 0 for c in cols}
+    counts.update({r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()})
+    plan, wanted = [], {}
     for c in cols:
-        n = counts.get(c, 0)
+        n = counts[c]
         for p in probs:
             if n == 0:
+                plan.append((c, float(p), None))
                 continue
             h = float(p) * (n - 1)
             lo = math.floor(h)
             hi = min(lo + 1, n - 1)
-            rows.append((c, float(p), lo + 1, "lo", h - lo))
-            rows.append((c, float(p), hi + 1, "hi", h - lo))
-    schema = T.StructType(
-        [
-            T.StructField("_q_column", T.StringType()),
-            T.StructField("p", T.DoubleType()),
-            T.StructField("_q_rank", T.LongType()),
-            T.StructField("_q_role", T.StringType()),
-            T.StructField("_q_frac", T.DoubleType()),
-        ]
-    )
-    wanted = spark.createDataFrame(rows, schema)
-    hits = ranked.join(
-        F.broadcast(wanted),
-        (F.col("column") == F.col("_q_column")) & (F.col("_q_rn") == F.col("_q_rank")),
-        "inner",
-    )
-    agg = hits.groupBy("column", "p").agg(
-        F.max(F.when(F.col("_q_role") == "lo", F.col("value"))).alias("_lo"),
-        F.max(F.when(F.col("_q_role") == "hi", F.col("value"))).alias("_hi"),
-        F.max("_q_frac").alias("_frac"),
-    )
-    value = F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))
-    found = agg.select("column", "p", value.alias("value"))
-    grid = spark.createDataFrame([(c, float(p)) for c in cols for p in probs], "column string, p double")
-    return grid.join(found, ["column", "p"], "left")
+            plan.append((c, float(p), (lo, hi, h - lo)))
+            wanted.setdefault(c, []).extend([lo, hi])
+    stats = order_statistics(long, wanted, counts, collect_limit) if wanted else {}
+    rows = []
+    for c, p, spec in plan:
+        if spec is None:
+            rows.append((c, p, None))
+            continue
+        lo, hi, frac = spec
+        a, b = stats[(c, lo)], stats[(c, hi)]
+        rows.append((c, p, a + frac * (b - a)))
+    return spark.createDataFrame(rows, "column string, p double, value double")
