@@ -7,7 +7,8 @@ scores or one row of metrics per model.
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler, Word2Vec
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tablewright.jobs import fixtures as fx
@@ -298,3 +299,62 @@ def q_save_search(spark, sf):
     return results.select("param_set", "params", _r("mean_metric"), _r("std_metric")).withColumn(
         "reload_mismatches", F.lit(mismatches).cast("long")
     )
+
+
+NB_SQL = f"""WITH toks AS (SELECT doc_id, lang, {{tokens}} AS tokens,
+    {{val}} >= 0.8 AS is_val FROM documents),
+  lab AS (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS label FROM (SELECT DISTINCT lang FROM toks)),
+  tr AS (SELECT doc_id, label, tokens FROM toks JOIN lab USING (lang) WHERE NOT is_val),
+  va AS (SELECT doc_id, tokens FROM toks WHERE is_val),
+  nd AS (SELECT count(*) AS n FROM tr),
+  dt AS (SELECT doc_id, unnest(tokens) AS term FROM tr),
+  st AS (SELECT term, count(*) AS term_count, count(DISTINCT doc_id) AS doc_freq FROM dt GROUP BY term),
+  vocab AS (SELECT term, doc_freq FROM st, nd WHERE doc_freq >= 2 AND doc_freq <= 0.95 * n
+            ORDER BY term_count DESC, term LIMIT 50000),
+  idf AS (SELECT term, ln((1 + n) / (1 + doc_freq::DOUBLE)) + 1 AS idf FROM vocab, nd),
+  dim AS (SELECT count(*) AS d FROM vocab),
+  trw AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY doc_id, term),
+  trx AS (SELECT doc_id, term, tf * idf AS w FROM trw JOIN idf USING (term)),
+  trn AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS x FROM trx),
+  cls AS (SELECT label, count(*) AS n_c FROM tr GROUP BY label),
+  fs AS (SELECT label, term, sum(x) AS s FROM trn JOIN tr USING (doc_id) GROUP BY label, term),
+  tot AS (SELECT cls.label, coalesce(sum(s), 0) AS total FROM cls LEFT JOIN fs USING (label) GROUP BY cls.label),
+  prior AS (SELECT label, ln(n_c + 0.1) - ln((SELECT n FROM nd) + (SELECT count(*) FROM cls) * 0.1) AS pi FROM cls),
+  vdt AS (SELECT doc_id, unnest(tokens) AS term FROM va),
+  vw AS (SELECT doc_id, term, count(*) AS tf FROM vdt GROUP BY doc_id, term),
+  vx AS (SELECT doc_id, term, tf * idf AS w FROM vw JOIN idf USING (term)),
+  vn AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS x FROM vx),
+  part AS (SELECT vn.doc_id, c.label, sum(vn.x * ln(coalesce(fs.s, 0) + 0.1)) AS a, sum(vn.x) AS xs
+           FROM vn CROSS JOIN cls c LEFT JOIN fs ON fs.label = c.label AND fs.term = vn.term
+           GROUP BY vn.doc_id, c.label),
+  score AS (SELECT va.doc_id, c.label,
+                   p.pi + coalesce(part.a, 0) - coalesce(part.xs, 0) * ln(t.total + (SELECT d FROM dim) * 0.1) AS sc
+            FROM va CROSS JOIN cls c JOIN prior p ON p.label = c.label JOIN tot t ON t.label = c.label
+            LEFT JOIN part ON part.doc_id = va.doc_id AND part.label = c.label),
+  best AS (SELECT doc_id, label, sc, row_number() OVER (PARTITION BY doc_id ORDER BY sc DESC, label) AS r FROM score)
+  SELECT doc_id, label::INTEGER AS prediction, round(sc, 6) AS log_likelihood FROM best WHERE r = 1"""
+
+
+def _nb_sql() -> str:
+    from tablewright.functions.hashing import sql_unit_hash
+    from tablewright.jobs.registry import SQL_TOKENS
+
+    return NB_SQL.replace("{tokens}", SQL_TOKENS).replace("{val}", sql_unit_hash(42, ["doc_id"]))
+
+
+@register("naive_bayes", _nb_sql())
+def q_naive_bayes(spark, sf):
+    """M8 on TF-IDF of the cleaned (unstemmed) documents: predicted class per validation document."""
+    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=False).drop("text")
+    docs = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(docs).transform(docs)
+    tagged = splits.assign_split(docs, [0.8, 0.2], 42, ["doc_id"])
+    train, val = tagged.filter("split = 0"), tagged.filter("split = 1")
+    vec, _ = text.encode_text_model(train, "doc_id", "tokens", max_features=50_000)
+    nb = classify.naive_bayes(alpha=0.1).fit(vec.transform(train))
+    scored = nb.transform(vec.transform(val))
+    raw = vector_to_array(F.col("rawPrediction"))
+    return scored.select(
+        "doc_id",
+        F.col("prediction").cast("int").alias("prediction"),
+        F.round(F.element_at(raw, F.col("prediction").cast("int") + 1), 6).alias("log_likelihood"),
+    )
