@@ -57,14 +57,27 @@ def assemble(cols: Sequence[str], out: str = "features", handle_invalid: str = "
 
 # X5
 def feature_pipeline(spec: FeatureSpec, out: str = "features", label_out: str = "label") -> Pipeline:
-    """Index + one-hot every categorical column, assemble with the numerics, index the label."""
-    stages = [index_category(c) for c in spec.categorical]
+    """Index + one-hot every categorical column, assemble with the numerics, index the label.
+
+    All categorical columns are indexed by one multi-column indexer, so their
+    level frequencies come from a single pass over the training rows.
+    """
+    stages = []
     if spec.categorical:
+        stages.append(StringIndexer(
+            inputCols=list(spec.categorical), outputCols=[f"{c}_index" for c in spec.categorical],
+            stringOrderType="frequencyDesc", handleInvalid="keep",
+        ))
         stages.append(one_hot([f"{c}_index" for c in spec.categorical]))
     stages.append(assemble(list(spec.numeric) + [f"{c}_onehot" for c in spec.categorical], out))
     if spec.label:
         stages.append(index_label(spec.label, label_out))
-    outputs = [s.getOutputCol() for s in stages if s.hasParam("outputCol") and s.isDefined("outputCol")]
+    outputs = []
+    for st in stages:
+        for name in ("outputCol", "outputCols"):
+            if st.hasParam(name) and st.isDefined(name):
+                val = st.getOrDefault(name)
+                outputs.extend(val if isinstance(val, list) else [val])
     if len(outputs) != len(set(outputs)):
         raise ValueError(f"output column collision in {outputs}")
     return Pipeline(stages=stages)
