@@ -17,6 +17,7 @@ from tablewright.jobs.registry import _r, register
 from tablewright.operators import evaluate, features, splits, text, tuning
 from tablewright.operators.models import anomaly, classify, regress
 from tablewright.plans.parallel import spread
+from tablewright.session import ensure_checkpoint_dir
 
 
 def _scalars(*one_row_frames):
@@ -77,8 +78,9 @@ def q_classifiers(spark, sf):
 
 
 def _text_split(spark, sf):
-    # cleaning (with stemming) feeds several jobs below: keep the tokens, drop the raw text
-    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens").drop("text").persist()
+    # cleaning (with stemming) feeds several jobs below: write the tokens once, drop the raw text
+    ensure_checkpoint_dir(spark)
+    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens").drop("text").checkpoint(eager=True)
     docs = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(docs).transform(docs)
     tagged = splits.assign_split(docs, [0.8, 0.2], 42, ["doc_id"])
     train, val = tagged.filter("split = 0"), tagged.filter("split = 1")
@@ -345,7 +347,8 @@ def _nb_sql() -> str:
 @register("naive_bayes", _nb_sql())
 def q_naive_bayes(spark, sf):
     """M8 on TF-IDF of the cleaned (unstemmed) documents: predicted class per validation document."""
-    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=False).drop("text")
+    ensure_checkpoint_dir(spark)
+    docs = text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=False).drop("text").checkpoint(eager=True)
     docs = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(docs).transform(docs)
     tagged = splits.assign_split(docs, [0.8, 0.2], 42, ["doc_id"])
     train, val = tagged.filter("split = 0"), tagged.filter("split = 1")

@@ -497,7 +497,10 @@ DOCS_TOKENS_SQL = f"toks AS (SELECT doc_id, {SQL_TOKENS} AS tokens FROM document
 
 
 def _docs_tokens(spark, sf):
-    return text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=False)
+    """Cleaned tokens, written once: the corpus operators below make several passes over them."""
+    ensure_checkpoint_dir(spark)
+    toks = text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=False)
+    return toks.select("doc_id", "tokens").checkpoint(eager=True)
 
 
 @register("expand_contractions", f"SELECT doc_id, {_sql_contractions('text')} AS text FROM documents")

@@ -23,6 +23,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,9 +102,14 @@ def order_statistics(long: DataFrame, wanted: dict[str, list[int]], counts: dict
                      collect_limit: int = COLLECT_LIMIT, accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
     """Exact ``rank``-th smallest values (0-based) per column of a (column, value) table."""
     targets = [_Target(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
+
+    def to_collect(pending: list[_Target]) -> int:
+        # targets sharing a window collect its rows once
+        return sum({(t.column, t.lo, t.hi): t.inside for t in pending}.values())
+
     for _ in range(MAX_ROUNDS):
         pending = [t for t in targets if t.value is None]
-        if not pending or sum(t.inside for t in pending) <= collect_limit:
+        if not pending or to_collect(pending) <= collect_limit:
             break
         before = [(t.lo, t.hi) for t in pending]
         _narrow(long, pending, accuracy)
@@ -110,17 +117,24 @@ def order_statistics(long: DataFrame, wanted: dict[str, list[int]], counts: dict
             break  # no progress (cannot happen with a sound sketch); collect what is left
     pending = [t for t in targets if t.value is None]
     if pending:
-        total = sum(t.inside for t in pending)
+        total = to_collect(pending)
         if total > collect_limit * 4:
             raise RuntimeError(f"quantile windows still hold {total} values; raise accuracy")
         cond = None
         for t in pending:
             cond = t.in_window() if cond is None else cond | t.in_window()
-        rows = long.filter(cond).select("column", "value").toPandas()
+        names = sorted({t.column for t in pending})
+        code = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("column")).cast("int")
+        rows = long.filter(cond).select(code.alias("code"), "value").toPandas()
+        # one sort per column; each target then slices its own window
+        by_col = {
+            names[int(k) - 1]: np.sort(g["value"].to_numpy(dtype=np.float64), kind="stable")
+            for k, g in rows.groupby("code")
+        }
         for t in pending:
-            sel = rows[(rows["column"] == t.column) & (rows["value"] >= t.lo) & (rows["value"] <= t.hi)]["value"]
-            vals = sel.sort_values(kind="mergesort").to_numpy()
-            t.value = float(vals[t.rank - t.below])
+            vals = by_col[t.column]
+            start = int(np.searchsorted(vals, t.lo, side="left"))
+            t.value = float(vals[start + (t.rank - t.below)])
     return {(t.column, t.rank): t.value for t in targets}
 
 
