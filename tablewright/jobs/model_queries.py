@@ -41,10 +41,16 @@ def q_grid_search(spark, sf):
 
 
 def _loan_vectors(spark, sf):
-    df = loan.prepared(spark, sf)
+    """Encoded train / test rows of the loan fixture.
+
+    The prepared table is written once (it feeds the indexer fit, both
+    splits and every fit below), so later passes read the checkpoint.
+    """
+    ensure_checkpoint_dir(spark)
+    df = spread(loan.prepared(spark, sf)).checkpoint(eager=True)
     train, test = splits.split(df, [0.8, 0.2], 1234, fx.LOAN_KEY)
     feat = features.feature_pipeline(loan.spec()).fit(train)
-    return spread(feat.transform(train)), feat.transform(test)
+    return feat.transform(train), feat.transform(test)
 
 
 @register("classifiers")
