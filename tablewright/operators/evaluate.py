@@ -113,7 +113,17 @@ def compare_roc(scored: Mapping[str, DataFrame], score_col: str, label: str, pos
     allm = frames[0]
     for f in frames[1:]:
         allm = allm.unionByName(f)
-    return roc_points(allm, "_s", "_y", pos_label, ["model"]), auc(allm, "_s", "_y", pos_label, ["model"])
+    roc = roc_points(allm, "_s", "_y", pos_label, ["model"])
+    return roc, auc_from_roc(roc, ["model"])
+
+
+def auc_from_roc(roc: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """E3 from E2's output: sum fp_g * (cum_tp_g - tp_g / 2) / (P * N); no second ranking pass."""
+    part = F.col("fp").cast("double") * (F.col("cum_tp").cast("double") - F.col("tp").cast("double") / 2.0)
+    out = roc.groupBy(*groups).agg(
+        F.sum(part).alias("_area"), F.sum("tp").cast("double").alias("_P"), F.sum("fp").cast("double").alias("_N")
+    )
+    return out.select(*groups, F.try_divide(F.col("_area"), F.col("_P") * F.col("_N")).alias("auc"))
 
 
 # E6
@@ -169,8 +179,9 @@ def best_threshold(df: DataFrame, score_col: str, label: str, pos_label=1) -> Da
 # E13
 def residual_by_bucket(df: DataFrame, pred: str, label: str, n: int, keys: Sequence[str]) -> DataFrame:
     """Mean error per ``ntile(n)`` bucket of the true value (order: label, keys)."""
-    total = df.filter(F.col(label).isNotNull()).count()
-    ranked = ordinal(df.filter(F.col(label).isNotNull()), [label, *keys], out="_tw_rn")
+    rows = df.select(label, pred, *keys).filter(F.col(label).isNotNull())  # rank only what the buckets need
+    total = rows.count()
+    ranked = ordinal(rows, [label, *keys], out="_tw_rn")
     q, r = divmod(total, n) if n else (0, 0)
     rn = F.col("_tw_rn")
     big = F.lit(r * (q + 1))
