@@ -367,3 +367,38 @@ def q_naive_bayes(spark, sf):
         F.col("prediction").cast("int").alias("prediction"),
         F.round(F.element_at(raw, F.col("prediction").cast("int") + 1), 6).alias("log_likelihood"),
     )
+
+
+# ---------------------------------------------------------------- end-to-end jobs
+# The registered forms use smaller grids than the job defaults (the
+# reference's full grids) so the whole registry stays quick to verify.
+
+@register("fraud_job")
+def q_fraud_job(spark, sf):
+    from tablewright.jobs import fraud
+
+    grid = {"n_estimators": [100, 200], "max_features": [10, 16]}
+    return fraud.run(spark, sf, grid=grid).select("model", _r("auc"))
+
+
+@register("housing_job")
+def q_housing_job(spark, sf):
+    from tablewright.jobs import housing
+
+    res = housing.run(spark, sf, alphas=(0.01, 100.0), max_iter=40)
+    return res.select("model", "split", _r("mae"), _r("r2"))
+
+
+@register("text_job")
+def q_text_job(spark, sf):
+    from tablewright.jobs import text as text_job
+
+    res = text_job.run(spark, sf, grid={"alpha": [1e-4, 1e-2], "penalty": ["l2", "elasticnet"]})
+    return res.select("stage", "model", _r("accuracy"))
+
+
+@register("sequence_matrix")
+def q_sequence_matrix(spark, sf):
+    from tablewright.jobs import text as text_job
+
+    return text_job.sequences(spark, sf).select("doc_id", "split", F.array_join("padded", " ").alias("padded"))
