@@ -14,10 +14,9 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.functions import text as tf
-from tablewright.functions.hashing import hash32, sql_hash32, sql_unit_hash
+from tablewright.functions.hashing import sql_hash32, sql_unit_hash
 from tablewright.jobs import fixtures as fx
 from tablewright.operators import clean, evaluate, features, profile, splits, text
 from tablewright.session import ensure_checkpoint_dir

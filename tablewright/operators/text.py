@@ -8,7 +8,6 @@ shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover

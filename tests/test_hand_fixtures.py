@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as tf

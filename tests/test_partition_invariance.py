@@ -1,7 +1,6 @@
 """Same results with 1 and 7 input partitions: folds, samples, vocabulary, forest."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablewright.jobs import fixtures as fx
 from tablewright.operators import splits, text
