@@ -13,7 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.plans.ordered import ordinal, prefix_sum
+from tablewright.plans.ordered import group_totals, ordinal, prefix_sum
+from tablewright.session import ensure_checkpoint_dir
 
 
 def _is_pos(label: str, pos_label) -> Column:
@@ -38,11 +39,6 @@ def _score_counts(df: DataFrame, score_col: str, label: str, pos_label, groups:
     )
 
 
-def _totals_from_cum(cum: DataFrame, groups: Sequence[str]) -> dict:
-    rows = cum.groupBy(*groups).agg(F.max("cum_tp").alias("P"), F.max("cum_fp").alias("N")).collect()
-    return {tuple(r[g] for g in groups): (r["P"], r["N"]) for r in rows}
-
-
 def _per_group(totals: dict, groups: Sequence[str], which: int) -> Column:
     """Group totals as a literal lookup (one entry per group, e.g. per model)."""
     if not groups:
@@ -62,11 +58,11 @@ def _per_group(totals: dict, groups: Sequence[str], which: int) -> Column:
 def roc_points(df: DataFrame, score_col: str, label: str, pos_label=1, groups: Sequence[str] = ()) -> DataFrame:
     """(threshold, tp, fp, cum_tp, cum_fp, tpr, fpr): one point per distinct score, descending."""
     groups = list(groups)
-    counts = _score_counts(df, score_col, label, pos_label, groups)
+    ensure_checkpoint_dir(df.sparkSession)
+    # per-score counts are written once: the class totals and the running sums both read them
+    counts = _score_counts(df, score_col, label, pos_label, groups).checkpoint(eager=True)
+    totals = group_totals(counts, ["tp", "fp"], groups)
     cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp", "fp"], partition_by=groups, max_groups=None)
-    # running sums are monotone: their maxima are the class totals, read from the
-    # checkpointed ranks instead of a second pass over the input
-    totals = _totals_from_cum(cum, groups)
     P, N = _per_group(totals, groups, 0), _per_group(totals, groups, 1)
     return cum.select(
         *groups, "threshold", "tp", "fp", "cum_tp", "cum_fp",

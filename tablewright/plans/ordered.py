@@ -178,6 +178,12 @@ def prefix_sum(
     return joined.select(*[local[c] for c in df.columns], *cums)
 
 
+def group_totals(df: DataFrame, values: Sequence[str], partition_by: Sequence[str] = ()) -> dict:
+    """Totals of ``values`` per group as a dict keyed by the group tuple (a small, bounded collect)."""
+    rows = df.groupBy(*partition_by).agg(*[F.sum(v).alias(f"_tw_s_{v}") for v in values]).collect()
+    return {tuple(r[g] for g in partition_by): tuple(r[f"_tw_s_{v}"] for v in values) for r in rows}
+
+
 def hash_ordinal(
     df: DataFrame,
     hash_col: str,
