@@ -92,10 +92,36 @@ def top_correlated(df: DataFrame, label: str, cols: Sequence[str] | None = None)
     return r.withColumn("rank", F.row_number().over(w))
 
 
+WIDE_CORRELATION = 30
+
+
+def _correlation_matrix_wide(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
+    """Many columns: one distributed covariance pass (``ml.stat.Correlation``), d x d on the driver.
+
+    Rows with a missing value in any listed column are skipped (complete-case),
+    unlike the pairwise-complete narrow form.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=cols, outputCol="_tw_v", handleInvalid="skip").transform(df.select(*cols))
+    m = Correlation.corr(vec, "_tw_v", "pearson").first()[0].toArray()
+    rows = [(a, b, float(round(m[i][j], digits)) if digits is not None else float(m[i][j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
 # A8
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = 3) -> DataFrame:
-    """Long-form Pearson matrix (col_a, col_b, r), all pairs in one aggregation."""
+    """Long-form Pearson matrix (col_a, col_b, r).
+
+    Up to ``WIDE_CORRELATION`` columns: all pairs in one aggregation
+    (pairwise-complete rows, as the SQL ``corr``).  Wider: one covariance
+    pass over an assembled vector instead of d^2 / 2 aggregate expressions.
+    """
     cols = list(cols or numeric_columns(df))
+    if len(cols) > WIDE_CORRELATION:
+        return _correlation_matrix_wide(df, cols, digits)
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
