@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of DataFrames that are no longer referenced are removed by Spark
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
