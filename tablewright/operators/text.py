@@ -178,6 +178,7 @@ def encode_sequence(
     unknown_id: int = 1,
     out: str = "seq",
     hot_terms: int = 10_000,
+    first_id: int = 2,
 ) -> DataFrame:
     """Tokens -> ids in order; unknown terms -> ``unknown_id``.
 
@@ -186,8 +187,7 @@ def encode_sequence(
     join whose keys are, by construction, not hot.  Documents are then
     re-assembled with an ordered ``collect_list`` per document.
     """
-    first = vocab.agg(F.min("term_id")).first()[0] or 0
-    cutoff = first + hot_terms
+    cutoff = first_id + hot_terms  # ids are dense from first_id in frequency order (build_vocabulary)
     hot = vocab.filter(F.col("term_id") < F.lit(cutoff)).select(F.col("term").alias("_h_term"), F.col("term_id").alias("_h_id"))
     cold = vocab.filter(F.col("term_id") >= F.lit(cutoff)).select(F.col("term").alias("_c_term"), F.col("term_id").alias("_c_id"))
     toks = df.select(doc_col, F.posexplode_outer(tokens_col).alias("pos", "term")).filter(F.col("term").isNotNull())
