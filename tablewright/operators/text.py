@@ -126,11 +126,12 @@ def tfidf(
     if n_vocab > max_vocab_rows:
         raise ValueError(f"vocabulary of {n_vocab} terms is too large to broadcast; cap it with max_features")
     terms = _doc_terms(df, doc_col, tokens_col).join(F.broadcast(idf), "term")
-    w = (F.col("tf") * F.col("idf")).alias("w")
-    terms = terms.select(doc_col, "term", w)
-    # the norm window is partitioned by document: a group is one document's terms
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_col)))
-    return terms.select(doc_col, "term", F.try_divide(F.col("w"), norm).alias("weight"))
+    terms = terms.select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    # norms by a map-side-combined aggregation joined back on the document (not a
+    # window), so an oversized document can be split by AQE's skew-join handling
+    norms = terms.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_tw_norm"))
+    out = terms.join(norms, doc_col)
+    return out.select(doc_col, "term", F.try_divide(F.col("w"), F.col("_tw_norm")).alias("weight"))
 
 
 # T11
