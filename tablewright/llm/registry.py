@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.llm.decontam import op9_benchmark_decontamination
+from tablewright.llm.language_id import op8_language_id
+from tablewright.llm.oracle import ORACLE as ORACLE
+from tablewright.llm.quality_rules import op4_quality_rules
 from tablewright.llm.sharding import op1_sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_sharding,)}
-
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {
+    q.__name__: q for q in (op1_sharding, op4_quality_rules, op8_language_id, op9_benchmark_decontamination)
+}
