@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm.decontam import op9_benchmark_decontamination
 from tablewright.llm.language_id import op8_language_id
+from tablewright.llm.license_scan import op6_license_scan
 from tablewright.llm.oracle import ORACLE as ORACLE
 from tablewright.llm.pii import op10_pii_sanitisation
+from tablewright.llm.quality_classifier import op5_quality_classifier
 from tablewright.llm.quality_rules import op4_quality_rules
 from tablewright.llm.secret_scan import op7_secret_scan
 from tablewright.llm.sharding import op1_sharding
@@ -19,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
-        op1_sharding, op4_quality_rules, op7_secret_scan, op8_language_id, op9_benchmark_decontamination,
+        op1_sharding, op4_quality_rules, op5_quality_classifier, op6_license_scan, op7_secret_scan, op8_language_id, op9_benchmark_decontamination,
         op10_pii_sanitisation,
     )
 }

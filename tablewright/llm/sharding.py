@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import documents
 
-SLOT_BUCKETS = 4096
+SLOT_BUCKETS = 1024
 EXPAND = 65_536
 
 
