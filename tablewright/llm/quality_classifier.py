@@ -3,7 +3,8 @@
 A text's tokens are runs of letters and digits and runs of other characters; a token equal to the one before it is
 written as a back reference.  Unigrams and bigrams are hashed to ``2**BITS`` places, their counts damped (log) and
 scaled to unit length.  At most ``TRAIN_ROWS`` labelled rows, chosen by hash of the id from all of them, train the
-model in ``SHARDS`` groups: each runs FTRL-proximal updates over its rows, and the groups' weights are averaged.
+model in groups of about ``SHARD_ROWS``: each runs FTRL-proximal updates over its rows (the rarer label weighs more),
+and a place's weight is averaged over the groups that met it.
 Scores are sparse dot products through the logistic function.
 
 Nulls: a null text is empty and scores by the intercept alone; null labels and null ids are not learned from; an id
@@ -21,16 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
 
-from tablewright.llm.common import WordHash, crc_column, documents, mix, scan, utf8
+from tablewright.llm.common import WordHash, crc_column, cut, documents, mix, scan, utf8
 from tablewright.llm.quality_rules import pieces
 
 BITS = 18
 TRAIN_ROWS = 24_000
-SHARDS = 16
+SHARD_ROWS = 1500
 EPOCHS = 6
-FTRL_ALPHA, FTRL_BETA, L1, L2 = 0.5, 1.0, 0.05, 0.5
+FTRL_ALPHA, FTRL_BETA, L1, L2 = 1.0, 1.0, 0.2, 0.5
 THRESHOLD = 0.3
-SCALE = 4.0
+SCALE = 8.0
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
 SAME = 0x51ED270B76E0C1A5
 
@@ -59,8 +60,13 @@ def features(body: bytes, hashes: WordHash, bits: int = BITS) -> tuple[np.ndarra
     return np.concatenate(([0], place)).astype(np.int32), np.concatenate(([1.0], value)).astype(np.float32)
 
 
-def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights after ``epochs`` passes of FTRL-proximal updates."""
+def ftrl(
+    rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, epochs: int = EPOCHS
+) -> tuple[np.ndarray, np.ndarray]:
+    """(places met, their weights) after ``epochs`` passes of FTRL-proximal updates."""
+    good = sum(r[0] > 0 for r in rows)
+    ratio = np.sqrt(max(good, 1) / max(len(rows) - good, 1))
+    cost = (max(1.0, ratio), max(1.0, 1 / ratio))
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
 
     def weights(i: np.ndarray) -> np.ndarray:
@@ -72,11 +78,12 @@ def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, epoch
         for r in order.permutation(len(rows)):
             label, i, x = rows[r]
             w = weights(i)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
+            g = cost[int(label > 0)] * (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - label) * x
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / FTRL_ALPHA
             z[i] += g - sigma * w
             n[i] += g * g
-    return weights(np.arange(1 << bits))
+    met = np.flatnonzero(n)
+    return met, weights(met)
 
 
 def learn(
@@ -87,7 +94,9 @@ def learn(
     held = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull())
     held = held.groupBy(F.col(doc).alias("_id")).agg(F.max(label).alias("_label"))
     # at most train_rows narrow rows
-    held = held.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
+    held = cut(held.orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
+    shards = max(1, -(-held.count() // SHARD_ROWS))
+    held = held.withColumn("_shard", F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(shards)).cast("long"))
     bodies = df.select(F.col(doc).alias("_id"), utf8(text).alias("body")).join(F.broadcast(held), "_id")
 
     def make() -> Callable:
@@ -95,8 +104,8 @@ def learn(
 
         def work(columns: list) -> list[tuple]:
             return [
-                (int(y), i.tolist(), x.tolist(), int(i.astype(np.int64).sum()) % SHARDS)
-                for y, (i, x) in ((y, features(b, hashes)) for b, y in zip(*columns))
+                (int(y > 0), i.tolist(), x.tolist(), shard)
+                for y, shard, (i, x) in ((y, k, features(b, hashes)) for b, y, k in zip(*columns))
             ]
 
         return work
@@ -105,20 +114,19 @@ def learn(
         StructField("label", LongType()), StructField("i", ArrayType(IntegerType())),
         StructField("x", ArrayType(FloatType())), StructField("shard", LongType()),
     ])
-    rows = scan(bodies.select("body", "_label"), make, schema, rows=500)
+    rows = scan(bodies.select("body", "_label", "_shard"), make, schema, rows=500)
 
     def fit(table: pa.Table) -> pa.Table:
         i, x = table["i"].to_pylist(), table["x"].to_pylist()
         rows = [(y, np.array(a, np.int64), np.array(b)) for y, a, b in zip(table["label"].to_pylist(), i, x)]
         rows.sort(key=lambda r: (len(r[1]), r[1].tolist(), r[0]))
-        w = ftrl(rows)
-        at = np.flatnonzero(w)
-        return pa.table({"i": pa.array(at, pa.int64()), "w": pa.array(w[at]), "shard": pa.array(np.full(len(at), table["shard"][0].as_py()))})
+        at, w = ftrl(rows)
+        return pa.table({"i": pa.array(at, pa.int64()), "w": pa.array(w, pa.float64())})
 
-    out = StructType([StructField("i", LongType()), StructField("w", DoubleType()), StructField("shard", LongType())])
+    out = StructType([StructField("i", LongType()), StructField("w", DoubleType())])
     fitted = rows.groupBy("shard").applyInArrow(fit, out)
     # at most 2**BITS rows
-    got = fitted.groupBy("i").agg(F.sum(F.col("w") / SHARDS).alias("w")).toArrow()
+    got = fitted.groupBy("i").agg(F.avg("w").alias("w")).toArrow()
     w = np.zeros(1 << BITS, np.float32)
     w[got["i"].to_numpy()] = got["w"].to_numpy()
     return w
