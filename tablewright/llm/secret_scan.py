@@ -5,8 +5,8 @@ network (numpy: embedding, one convolution, max over time, logistic output) read
 context.  It is trained on labelled findings: rule findings are positive; runs that are plainly something else
 (addresses, host names, IPs, numbers) are negative; all others are unlabelled and only scored.  At most
 ``SAMPLE`` distinct windows of each kind and label train it, chosen by hash from all documents.  A held-out part of that sample
-calibrates the scores (Platt) and sets, per kind of candidate, the highest threshold that keeps ``RECALL`` of the
-positives.  Candidates outside the rules' findings that reach the threshold are added as kind ``model``.
+calibrates the scores (Platt) and sets, per kind of candidate, a threshold that keeps ``RECALL`` of the positives: of
+those that do, the one halfway to the negatives (in log odds).  Candidates outside the rules' findings that reach the threshold are added as kind ``model``.
 
 Nulls: a null text is empty and has no findings; without findings of both labels no model is trained and none are
 added.  Repeated rows are judged one by one; other columns pass through ``redact`` unchanged (``n_chars``, if there,
@@ -202,13 +202,17 @@ def train(samples: list[tuple[str, int, bytes]], recall: float = RECALL) -> Judg
     net.fit(codes[part], y[part])
     z, t = net.logits(codes[~part]), y[~part]
     slope, offset = _platt(z, t)
-    p = sigmoid(slope * z + offset)
     kinds = np.array([k for k, _, _ in samples])[~part]
-    level = {"model": float(np.quantile(p[t == 1], 1 - recall, method="lower"))}
-    for k in KINDS[:-1]:
-        if ((kinds == k) & (t == 1)).any():
-            level[k] = float(np.quantile(p[(kinds == k) & (t == 1)], 1 - recall, method="lower"))
-    return Judge(net, slope, offset, {k: min(level.get(k, level["model"]), 0.999) for k in KINDS} | {"model": max(level["model"], 0.5)})
+    x = slope * z + offset
+    low = float(np.quantile(x[t == 0], 0.999))
+
+    def level(of: np.ndarray) -> float:
+        high = float(np.quantile(of, 1 - recall, method="lower"))
+        return float(sigmoid(np.array((high + low) / 2 if low < high else high)))
+
+    positive = {k: x[(t == 1) & (kinds == k)] for k in KINDS[:-1]}
+    thresholds = {k: level(v) if len(v) else level(x[t == 1]) for k, v in positive.items()}
+    return Judge(net, slope, offset, thresholds | {"model": max(0.5, level(x[t == 1]))})
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
