@@ -53,13 +53,13 @@ def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             owners.append(number)
             size += len(letters) + 2
             if size >= PIECE:
-                yield _hashed(held, owners)
+                yield from _hashed(held, owners)
                 held, owners, size = [], [], 0
     if held:
-        yield _hashed(held, owners)
+        yield from _hashed(held, owners)
 
 
-def _hashed(held: list[str], owners: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(held: list[str], owners: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     points = np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     number = np.repeat(np.array(owners, np.int64), [len(x) for x in held])
     space = points == 32
@@ -79,7 +79,8 @@ def _hashed(held: list[str], owners: list[int]) -> tuple[np.ndarray, np.ndarray]
         good = ~inner & ~(space[:m] & space[size - 1 : size - 1 + m]) & (number[:m] == number[size - 1 : size - 1 + m])
         out_n.append(number[:m][good])
         out_h.append(mix(value[good]))
-    return np.concatenate(out_n), np.concatenate(out_h)
+    if any(map(len, out_n)):
+        yield np.concatenate(out_n), np.concatenate(out_h)
 
 
 def _rows_of(hashes: np.ndarray, bits: int, k: int) -> np.ndarray:

@@ -85,7 +85,7 @@ def tokens_of(values: np.ndarray) -> np.ndarray:
 
 def sampled(node: int, threshold: float = THRESHOLD) -> np.ndarray:
     """The places that a node samples: the same for all its sets."""
-    draw = mix(np.uint64(node % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15) + np.arange(COORDINATES, dtype=np.uint64))
+    draw = mix(np.array([node % (1 << 64)], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(COORDINATES, dtype=np.uint64))
     chosen = np.flatnonzero(draw < np.uint64(int((1 << 64) / (threshold * COORDINATES))))
     return chosen if len(chosen) else np.array([int(draw.argmin())])
 
