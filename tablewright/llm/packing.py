@@ -34,16 +34,17 @@ TOKENIZER = "word_bpe_49k.json"
 END = 2
 WINDOW = 4096
 SHARD_TOKENS = 2_000_000
-BLOCK = 200
+BLOCK = 400
 K1, B = 1.2, 0.75
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_WORD_MARK = re.compile(rb"[^\s]*[a-z0-9][.,]")
+# letters of ASCII and Latin-1
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 class Ids:
     """Chunk -> ids as little-endian uint32 bytes; the two latest generations of chunks are remembered."""
 
-    LIMIT = 300_000
+    LIMIT = 600_000
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
@@ -57,42 +58,58 @@ class Ids:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.marks = {m: self._encode([m])[0] for m in (b".", b",")}
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Chunks of letters alone are one piece each, whose last id ends a word: many go through in one string."""
+        lines = [b" ".join(words[at : at + 128]).decode() for at in range(0, len(words), 128)]
+        if not lines:
+            return []
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
+        edges, raw = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()], ids.tobytes()
+        return [raw[a:z] for a, z in zip(edges, edges[1:])] if len(edges) == len(words) + 1 else self._encode(words)
+
     def learn(self, chunks: set[bytes]) -> None:
         """Make sure that all chunks are known."""
         if len(self.known) > self.LIMIT:
             self.older, self.known = self.known, {}
-        known, older, marks, bare = self.known, self.older, [], set()
-        for c in chunks:
-            if c in known:
-                continue
+        known, older = self.known, self.older
+        marked, bare = [], []
+        for c in chunks.difference(known):
+            if (held := older.get(c)) is not None:
+                known[c] = held
+            elif c[-1] in b".," and len(c) > 1 and (48 <= c[-2] <= 57 or 97 <= c[-2] <= 122):
+                marked.append(c)  # a mark after a letter or digit is a piece of its own
+            else:
+                bare.append(c)
+        for c in {c[:-1] for c in marked}.difference(known, bare):
             if (held := older.get(c)) is not None:
                 known[c] = held
-            elif _WORD_MARK.fullmatch(c):
-                marks.append(c)  # a mark after a letter or digit is a piece of its own
-                if c[:-1] not in known:
-                    bare.add(c[:-1])
             else:
-                bare.add(c)
-        for c in [c for c in bare if c in older]:
-            known[c] = older[c]
-            bare.discard(c)
-        new = list(bare)
-        known.update(zip(new, self._encode(new)))
-        for c in marks:
-            known[c] = known[c[:-1]] + self.marks[c[-1:]]
+                bare.append(c)
+        words = [c for c in bare if LETTERS.fullmatch(c)]
+        known.update(zip(words, self._encode_words(words)))
+        other = list(set(bare).difference(words))
+        known.update(zip(other, self._encode(other)))
+        known.update([(c, known[c[:-1]] + self.marks[c[-1:]]) for c in marked])
 
     def of(self, bodies: list[bytes]) -> list[np.ndarray]:
         """Each text's ids with the end id."""
         split = [[p.split() for p in pieces(b.translate(_LOWER))] for b in bodies]
-        self.learn({c for parts in split for p in parts for c in p})
+        chunks: set[bytes] = set()
+        for parts in split:
+            chunks.update(*parts)
+        self.learn(chunks)
         get, end = self.known.__getitem__, np.array([END], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*(x for p in parts for x in map(get, p)), end]), "<u4") for parts in split]
+        return [np.frombuffer(b"".join([*(b"".join(map(get, p)) for p in parts), end]), "<u4") for parts in split]
 
 
 _IDS: dict[str | None, Ids] = {}
