@@ -13,8 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.plans.ordered import group_totals, ordinal, prefix_sum
-from tablewright.session import ensure_checkpoint_dir
+from tablewright.plans.ordered import ordinal, prefix_sum
 
 
 def _is_pos(label: str, pos_label) -> Column:
@@ -23,11 +22,20 @@ def _is_pos(label: str, pos_label) -> Column:
 
 # E1
 def score(model, df: DataFrame, prob_col: str = "probability", out: str = "score", index: int = 1) -> DataFrame:
-    """Apply a fitted model and expose the class-``index`` probability as ``out``."""
+    """Apply a fitted model and expose the class-``index`` probability as ``out``.
+
+    A margin model (no probability) gives the class's raw margin instead; a
+    model that already adds ``out`` is left as it is.
+    """
     pred = model.transform(df)
     if prob_col in pred.columns:
-        pred = pred.withColumn(out, vector_to_array(F.col(prob_col))[index])
-    return pred
+        return pred.withColumn(out, vector_to_array(F.col(prob_col))[index])
+    if out in pred.columns:
+        return pred
+    raw = "rawPrediction" if "rawPrediction" in pred.columns else None
+    if raw is None:
+        raise ValueError(f"the model adds neither {prob_col!r} nor raw predictions, so there is no score")
+    return pred.withColumn(out, vector_to_array(F.col(raw))[index])
 
 
 def _score_counts(df: DataFrame, score_col: str, label: str, pos_label, groups: Sequence[str]) -> DataFrame:
@@ -39,35 +47,16 @@ def _score_counts(df: DataFrame, score_col: str, label: str, pos_label, groups:
     )
 
 
-def _per_group(totals: dict, groups: Sequence[str], which: int) -> Column:
-    """Group totals as a literal lookup (one entry per group, e.g. per model)."""
-    if not groups:
-        v = next(iter(totals.values()))[which] if totals else None
-        return F.lit(v).cast("double")
-    expr = None
-    for key, vals in totals.items():
-        cond = None
-        for g, k in zip(groups, key):
-            c = F.col(g) == F.lit(k)
-            cond = c if cond is None else cond & c
-        expr = F.when(cond, F.lit(float(vals[which]))) if expr is None else expr.when(cond, F.lit(float(vals[which])))
-    return expr if expr is not None else F.lit(None).cast("double")
-
-
 # E2
 def roc_points(df: DataFrame, score_col: str, label: str, pos_label=1, groups: Sequence[str] = ()) -> DataFrame:
     """(threshold, tp, fp, cum_tp, cum_fp, tpr, fpr): one point per distinct score, descending."""
     groups = list(groups)
-    ensure_checkpoint_dir(df.sparkSession)
-    # per-score counts are written once: the class totals and the running sums both read them
-    counts = _score_counts(df, score_col, label, pos_label, groups).checkpoint(eager=True)
-    totals = group_totals(counts, ["tp", "fp"], groups)
-    cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp", "fp"], partition_by=groups, max_groups=None)
-    P, N = _per_group(totals, groups, 0), _per_group(totals, groups, 1)
+    counts = _score_counts(df, score_col, label, pos_label, groups)
+    cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp", "fp"], partition_by=groups, total_prefix="all_")
     return cum.select(
         *groups, "threshold", "tp", "fp", "cum_tp", "cum_fp",
-        F.try_divide(F.col("cum_tp").cast("double"), P).alias("tpr"),
-        F.try_divide(F.col("cum_fp").cast("double"), N).alias("fpr"),
+        F.try_divide(F.col("cum_tp").cast("double"), F.col("all_tp").cast("double")).alias("tpr"),
+        F.try_divide(F.col("cum_fp").cast("double"), F.col("all_fp").cast("double")).alias("fpr"),
     )
 
 
@@ -80,7 +69,7 @@ def auc(df: DataFrame, score_col: str, label: str, pos_label=1, groups: Sequence
     """
     groups = list(groups)
     counts = _score_counts(df, score_col, label, pos_label, groups)
-    cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp"], partition_by=groups, exclusive=True, max_groups=None)
+    cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp"], partition_by=groups, exclusive=True)
     part = F.col("fp").cast("double") * (F.col("cum_tp").cast("double") + F.col("tp").cast("double") / 2.0)
     out = cum.groupBy(*groups).agg(
         F.sum(part).alias("_area"), F.sum("tp").cast("double").alias("_P"), F.sum("fp").cast("double").alias("_N")

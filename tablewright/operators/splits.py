@@ -51,7 +51,7 @@ def sample_n(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame
 
 # V3
 def stratified_folds(
-    df: DataFrame, label: str, k: int, seed: int, keys: Sequence[str], out: str = "fold", max_classes: int = 1_000
+    df: DataFrame, label: str, k: int, seed: int, keys: Sequence[str], out: str = "fold"
 ) -> DataFrame:
     """Fold = (rank of the row inside its class in seeded order) mod k.
 
@@ -60,7 +60,7 @@ def stratified_folds(
     a class holding most rows never sits in one task.
     """
     tagged = df.withColumn("_tw_h", hash32(seed, keys))
-    ranked = hash_ordinal(tagged, "_tw_h", list(keys), partition_by=[label], out="_tw_rn", max_groups=max_classes)
+    ranked = hash_ordinal(tagged, "_tw_h", list(keys), partition_by=[label], out="_tw_rn")
     return ranked.withColumn(out, ((F.col("_tw_rn") - 1) % F.lit(k)).cast("int")).drop("_tw_h", "_tw_rn")
 
 

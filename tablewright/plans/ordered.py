@@ -9,8 +9,9 @@ the same values in three distributed steps:
    each partition, so a hot group is spread over many partitions;
 2. aggregate per (partition, group) into a table of at most ``n + groups``
    rows and turn it into exclusive offsets (a window over that small table);
-3. broadcast the offsets (size bound: ``n + groups`` rows, checked) and add
-   each row's position / running sum inside its partition.
+3. join the offsets (broadcast when there are at most ``MAX_BROADCAST_ROWS``,
+   by a shuffle beyond) and add each row's position / running sum inside its
+   partition.
 
 The order must be total (append a unique key) so that positions do not
 depend on the order in which shuffle blocks arrive.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +31,7 @@ from tablewright.session import ensure_checkpoint_dir
 
 PID = "_tw_pid"
 IDX = "_tw_idx"
-MAX_BROADCAST_GROUPS = 100_000
-MAX_HASH_BUCKETS = 65_536
+MAX_BROADCAST_ROWS = 100_000
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -43,12 +44,12 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _renamed(offsets: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _renamed(offsets: DataFrame, cols: Sequence[str], rows: int) -> DataFrame:
     """Give the small side its own column names so the self-join is unambiguous."""
     out = offsets.withColumnRenamed(PID, "_tw_rpid")
     for i, c in enumerate(cols):
         out = out.withColumnRenamed(c, f"_tw_g{i}")
-    return F.broadcast(out)
+    return F.broadcast(out) if rows <= MAX_BROADCAST_ROWS else out
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -58,19 +59,6 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
     return cond
 
 
-def _check_groups(df: DataFrame, partition_by: Sequence[str], max_groups: int | None) -> None:
-    """Prove the offsets table small enough to broadcast (``max_groups=None``:
-    the caller already knows the number of groups, e.g. one per column)."""
-    if not partition_by or max_groups is None:
-        return
-    n_groups = df.select(*partition_by).distinct().count()
-    if n_groups > max_groups:
-        raise ValueError(
-            f"{n_groups} groups in {list(partition_by)}: use a plain window partitioned by these "
-            "columns (each group is small) instead of the distributed ordinal"
-        )
-
-
 def _ranged(df: DataFrame, order: Sequence[str | Column], partition_by: Sequence[str], n: int | None) -> DataFrame:
     """Range-partitioned, sorted rows tagged with (partition id, position), written once.
 
@@ -96,18 +84,16 @@ def ordinal(
     partition_by: Sequence[str] = (),
     out: str = "rn",
     num_partitions: int | None = None,
-    max_groups: int | None = MAX_BROADCAST_GROUPS,
 ) -> DataFrame:
     """Exact 1-based ``row_number() over (partition by .. order by ..)``."""
     partition_by = list(partition_by)
-    _check_groups(df, partition_by, max_groups)
     ranged = _ranged(df, order, partition_by, num_partitions)
     stats = ranged.groupBy(PID, *partition_by).agg(
         F.min(IDX).alias("_tw_first"), F.count(F.lit(1)).alias("_tw_cnt")
     )
     w = Window.partitionBy(*partition_by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_tw_off", F.coalesce(F.sum("_tw_cnt").over(w), F.lit(0))).drop("_tw_cnt")
-    offsets = _renamed(offsets, partition_by)
+    offsets = _renamed(offsets, partition_by, stats.count() if partition_by else 0)
     joined = ranged.join(offsets, _null_safe_on(ranged, offsets, partition_by), "inner")
     rn = (offsets["_tw_off"] + (ranged[IDX] - offsets["_tw_first"]) + F.lit(1)).alias(out)
     return joined.select(*[ranged[c] for c in df.columns], rn)
@@ -121,67 +107,70 @@ def prefix_sum(
     prefix: str = "cum_",
     exclusive: bool = False,
     num_partitions: int | None = None,
-    max_groups: int | None = MAX_BROADCAST_GROUPS,
+    total_prefix: str | None = None,
 ) -> DataFrame:
     """Running sums ``sum(v) over (partition by .. order by .. rows unbounded preceding)``.
 
-    ``exclusive=True`` gives the sum of the rows strictly before each row.
-    Inside a partition the running sum is a vectorised pandas ``cumsum`` on
-    Arrow batches (the partition is already sorted); offsets come from the
-    partition totals.
+    ``exclusive=True`` gives the sum of the rows strictly before each row;
+    ``total_prefix`` also adds each group's total, from the same partition totals.
+    Inside a partition the running sum is a NumPy ``cumsum`` on Arrow batches
+    (the partition is already sorted), with one scalar carried between batches.
     """
     partition_by = list(partition_by)
     values = list(values)
-    _check_groups(df, partition_by, max_groups)
     ranged = _ranged(df, order, partition_by, num_partitions)
 
-    totals = ranged.groupBy(PID, *partition_by).agg(*[F.sum(v).alias(f"_tw_t_{v}") for v in values])
-    w = Window.partitionBy(*partition_by).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    sums = ranged.groupBy(PID, *partition_by).agg(*[F.sum(v).alias(f"_tw_t_{v}") for v in values])
+    group = Window.partitionBy(*partition_by)
+    before = group.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
         PID, *partition_by,
-        *[F.coalesce(F.sum(f"_tw_t_{v}").over(w), F.lit(0)).alias(f"_tw_o_{v}") for v in values],
+        *[F.coalesce(F.sum(f"_tw_t_{v}").over(before), F.lit(0)).alias(f"_tw_o_{v}") for v in values],
+        *[F.coalesce(F.sum(f"_tw_t_{v}").over(group), F.lit(0)).alias(f"_tw_a_{v}") for v in values if total_prefix],
     )
 
     fields = {f.name: f.dataType for f in ranged.schema.fields}
-    out_schema = T.StructType(
-        list(ranged.schema.fields)
-        + [T.StructField(f"_tw_l_{v}", fields[v] if isinstance(fields[v], (T.LongType, T.DoubleType)) else T.DoubleType()) for v in values]
-    )
-    lnames = [f"_tw_l_{v}" for v in values]
+    kinds = {v: fields[v] if isinstance(fields[v], (T.LongType, T.DoubleType)) else T.DoubleType() for v in values}
+    out_schema = T.StructType(list(ranged.schema.fields) + [T.StructField(f"_tw_l_{v}", kinds[v]) for v in values])
 
     def local_cumsum(batches):
-        # Rows arrive sorted; groups are contiguous.  ``carry`` holds the running
-        # sum of each group at the end of the previous Arrow batch.
-        carry: dict = {}
+        # rows arrive sorted, so groups are contiguous; carry is the running sum of the last group so far
+        last, carry = None, dict.fromkeys(values, 0)
         for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{n: pd.Series(dtype="float64") for n in lnames})
-                continue
-            if partition_by:
-                key = pd.Series(list(zip(*[pdf[c] for c in partition_by])), index=pdf.index)
-            else:
-                key = pd.Series([()] * len(pdf), index=pdf.index)
+            n = len(pdf)
+            starts = np.zeros(n, bool)
+            if n:
+                keys = [pdf[c].to_numpy(dtype=object) for c in partition_by]
+                for k in keys:
+                    starts[1:] |= _differ(k[1:], k[:-1])
+                first = tuple(k[0] for k in keys)
+                starts[0] = last is None or any(_differ(np.array([a], object), np.array([b], object))[0] for a, b in zip(first, last))
+                last = tuple(k[-1] for k in keys)
+            segment = np.cumsum(starts)
             out = {}
             for v in values:
-                x = pdf[v].fillna(0)
-                base = key.map(lambda k, v=v: carry.get((v, k), 0))
-                vals = x.groupby(key, sort=False).cumsum() + base
-                out[f"_tw_l_{v}"] = vals - x if exclusive else vals
-                for k, s in vals.groupby(key, sort=False).last().items():
-                    carry[(v, k)] = s
+                whole = kinds[v].typeName() == "long"
+                x = pdf[v].fillna(0).to_numpy(dtype=np.int64 if whole else np.float64)
+                running = np.cumsum(x)
+                # what had been summed up before each row's group began in this batch
+                base = np.concatenate(([-carry[v]], (running - x)[starts])) if n else np.zeros(1, x.dtype)
+                held = running - base[segment]
+                if n:
+                    carry[v] = held[-1]
+                out[f"_tw_l_{v}"] = held - x if exclusive else held
             yield pdf.assign(**out)
 
     local = ranged.mapInPandas(local_cumsum, out_schema)
-    offsets = _renamed(offsets, partition_by)
+    offsets = _renamed(offsets, partition_by, sums.count() if partition_by else 0)
     joined = local.join(offsets, _null_safe_on(local, offsets, partition_by), "inner")
     cums = [(offsets[f"_tw_o_{v}"] + local[f"_tw_l_{v}"]).alias(f"{prefix}{v}") for v in values]
-    return joined.select(*[local[c] for c in df.columns], *cums)
+    totals = [offsets[f"_tw_a_{v}"].alias(f"{total_prefix}{v}") for v in values if total_prefix]
+    return joined.select(*[local[c] for c in df.columns], *cums, *totals)
 
 
-def group_totals(df: DataFrame, values: Sequence[str], partition_by: Sequence[str] = ()) -> dict:
-    """Totals of ``values`` per group as a dict keyed by the group tuple (a small, bounded collect)."""
-    rows = df.groupBy(*partition_by).agg(*[F.sum(v).alias(f"_tw_s_{v}") for v in values]).collect()
-    return {tuple(r[g] for g in partition_by): tuple(r[f"_tw_s_{v}"] for v in values) for r in rows}
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Element-wise inequality in which two missing values are equal."""
+    return ~((a == b) | (pd.isna(a) & pd.isna(b)))
 
 
 def hash_ordinal(
@@ -191,7 +180,6 @@ def hash_ordinal(
     partition_by: Sequence[str] = (),
     out: str = "rn",
     rows_per_bucket: int = 1_000_000,
-    max_groups: int | None = 1_000,
 ) -> DataFrame:
     """``row_number() over (partition by .. order by hash_col, tiebreak..)`` for a uniform 32-bit hash.
 
@@ -199,14 +187,13 @@ def hash_ordinal(
     already an order-preserving bucket, and every bucket holds about
     ``n / B`` rows of each group, however large the group.  Positions are a
     window per (group, bucket) plus the row counts of the earlier buckets of
-    the same group (a table of ``groups * B`` rows, broadcast).  Everything is
-    a deterministic function of the data, so no checkpoint is needed.
+    the same group (at most ``groups * B`` rows: broadcast while that is small,
+    joined by a shuffle on (group, bucket) beyond).  Everything is a
+    deterministic function of the data, so no checkpoint is needed.
     """
     partition_by = list(partition_by)
-    _check_groups(df, partition_by, max_groups)
     n = df.count()
-    # capped so the broadcast offsets table stays below groups * MAX_HASH_BUCKETS rows
-    buckets = min(MAX_HASH_BUCKETS, max(_num_partitions(df, None), -(-n // rows_per_bucket)))
+    buckets = max(_num_partitions(df, None), -(-n // rows_per_bucket))
     b = F.floor(F.col(hash_col).cast("double") * F.lit(float(buckets)) / F.lit(4294967296.0)).cast("long")
     tagged = df.withColumn("_tw_b", b)
     w = Window.partitionBy(*partition_by, "_tw_b").orderBy(hash_col, *tiebreak)
@@ -217,7 +204,8 @@ def hash_ordinal(
     offsets = offsets.withColumnRenamed("_tw_b", "_tw_rb")
     for i, c in enumerate(partition_by):
         offsets = offsets.withColumnRenamed(c, f"_tw_g{i}")
-    offsets = F.broadcast(offsets)  # groups * buckets rows, both bounded above
+    if (counts.count() if partition_by else buckets) <= MAX_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     cond = local["_tw_b"] == offsets["_tw_rb"]
     for i, c in enumerate(partition_by):
         cond = cond & local[c].eqNullSafe(offsets[f"_tw_g{i}"])

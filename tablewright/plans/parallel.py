@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions before CPU-heavy row-wise work (regex cleaning, stemming, model fitting).
 
-    A large input read from many files already has thousands of partitions
-    and passes through untouched (no extra shuffle).  A small input stored
-    as a single row group is one scan task; before regex cleaning, stemming
-    or model fitting it is spread so every core gets a share.
+    Decided from the scan alone, nothing runs: a table of fewer files than
+    cores may be a handful of scan tasks, so it gets a ``rebalance`` hint and
+    adaptive execution deals it out; a table of many files, or rows that are
+    not read from files, pass through untouched.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    files = len(df.inputFiles())
+    if 0 < files < df.sparkSession.sparkContext.defaultParallelism:
+        return df.hint("rebalance")
+    return df

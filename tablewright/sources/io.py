@@ -88,12 +88,10 @@ def save_search(cv_model, path: str, results: DataFrame | None = None) -> None:
 
 
 def load_search(spark: SparkSession, path: str, model_class=None):
-    """Return (model, results DataFrame or None)."""
+    """Return (model, results DataFrame, or None if none were saved); an unreadable results folder is an error."""
     if model_class is None:
         from pyspark.ml.tuning import CrossValidatorModel as model_class  # noqa: N813
     model = model_class.load(f"{path}/model")
-    try:
-        results = spark.read.parquet(f"{path}/results")
-    except Exception:  # no results saved
-        results = None
-    return model, results
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/results")
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return model, spark.read.parquet(f"{path}/results") if there else None

@@ -31,3 +31,20 @@ def test_empty_input(spark):
     df = spark.range(0).select(F.col("id"), F.col("id").cast("double").alias("x"))
     assert ordinal(df, ["id"]).count() == 0
     assert prefix_sum(df, ["id"], ["x"]).count() == 0
+
+
+def test_prefix_sum_with_nulls_totals_and_many_groups(spark, monkeypatch):
+    from tablewright.plans import ordered
+
+    monkeypatch.setattr(ordered, "MAX_BROADCAST_ROWS", 10)  # the shuffle join of the offsets
+    df = spark.range(0, 3000).select(
+        F.col("id"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("x"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("g"), F.col("id") % 300)).alias("g"))
+    got = prefix_sum(df, ["id"], ["x"], partition_by=["g"], num_partitions=5, total_prefix="all_")
+    w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("id", F.coalesce(F.sum("x").over(w), F.lit(0)).alias("c"),
+                    F.coalesce(F.sum("x").over(Window.partitionBy("g")), F.lit(0)).alias("t"))
+    assert got.join(ref, "id").filter("cum_x = c and all_x = t").count() == 3000
+    rn = ordinal(df, ["id"], partition_by=["g"], num_partitions=5).join(
+        df.select(F.col("id").alias("i"), F.row_number().over(Window.partitionBy("g").orderBy("id")).alias("r")), F.col("id") == F.col("i"))
+    assert rn.filter("rn = r").count() == 3000

@@ -43,11 +43,14 @@ def test_lookup_join_salted_path_equals_broadcast(spark):
     assert s.count() == 303
 
 
-def test_spread_only_when_under_partitioned(spark):
-    wide = spark.range(0, 100, numPartitions=64)
-    assert spread(wide).rdd.getNumPartitions() == 64
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
+def test_spread_decides_from_the_scan(spark, tmp_path):
+    rows = spark.range(0, 100, numPartitions=64)
+    assert spread(rows).sameSemantics(rows)  # not read from files
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.write.parquet(str(tmp_path / "many"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan(spread(spark.read.parquet(str(tmp_path / "one"))))
+    assert "RebalancePartitions" not in plan(spread(spark.read.parquet(str(tmp_path / "many"))))
 
 
 def test_adaboost_learns_a_threshold(spark):

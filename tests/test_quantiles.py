@@ -33,3 +33,28 @@ def test_window_collapses_on_duplicates(spark):
     df = spark.range(0, 2000).select(F.when(F.col("id") < 1500, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("v"))
     got = exact_quantiles(df, ["v"], [0.5], collect_limit=10).first()["value"]
     assert got == 5.0
+
+
+@pytest.mark.parametrize("accuracy", [4, 10_000])
+def test_poor_sketches_still_end_exactly(spark, accuracy):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=400), rng.integers(0, 3, 400), [-1e300, 1e300, float("inf")]])
+    df = spark.createDataFrame([(float(a),) for a in x], "x double").repartition(3)
+    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.3, 0.99], collect_limit=50, accuracy=accuracy).collect()}
+    for p, v in got.items():
+        assert v == np.quantile(x, p), p
+
+
+def test_halving_ends_within_64_steps():
+    from tablewright.plans.quantiles import _halves, _Target
+
+    for goal in (-np.inf, -3.5, -1e-300, 0.0, 7.0, np.inf):
+        t, steps = _Target("x", 0, 1), 0
+        while t.lo < t.hi:
+            lo, mid = _halves(t)
+            if goal <= mid:
+                t.hi = mid
+            else:
+                t.lo = float(np.nextafter(mid, np.inf))
+            steps += 1
+        assert t.lo == goal and steps <= 65
