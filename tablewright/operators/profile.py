@@ -9,11 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.clean import numeric_columns
-from tablewright.plans.quantiles import exact_quantiles, long_values
+from tablewright.plans.quantiles import exact_quantiles, value_column
+
+
+# a variance of this share of the second moment is rounding
+ROUNDING = 1e-12
 
 
 def _stack(df_one_row: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -24,26 +31,40 @@ def _stack(df_one_row: DataFrame, cols: Sequence[str], fields: Sequence[str]) ->
     return df_one_row.select(F.inline(F.array(*structs)))
 
 
+def _is_text(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.StringType, T.CharType, T.VarcharType))
+
+
 # A1
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column, count, mean, stddev, min, max) for numeric columns; stddev is the sample form."""
-    cols = list(cols or numeric_columns(df))
+    """(column, count, mean, stddev, min, max) per column; stddev is the sample form, NaN counts as missing.
+
+    By default all numeric and string columns.  If any listed column is a string, the smallest and largest string
+    come in two more columns, ``text_min`` and ``text_max``; its numeric statistics are NULL.
+    """
+    texts = [c for c in df.columns if _is_text(df, c)]
+    cols = list(cols or [c for c in df.columns if c in texts or c in numeric_columns(df)])
+    none = F.lit(None)
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        text = c in texts
+        x = F.col(c) if text else value_column(c)
         aggs += [
             F.count(x).alias(f"{c}__count"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__stddev"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
+            (none.cast("double") if text else F.avg(x)).alias(f"{c}__mean"),
+            (none.cast("double") if text else F.stddev_samp(x)).alias(f"{c}__stddev"),
+            (none.cast("double") if text else F.min(x)).alias(f"{c}__min"),
+            (none.cast("double") if text else F.max(x)).alias(f"{c}__max"),
+            (F.min(x) if text else none.cast("string")).alias(f"{c}__text_min"),
+            (F.max(x) if text else none.cast("string")).alias(f"{c}__text_max"),
         ]
-    return _stack(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
+    fields = ["count", "mean", "stddev", "min", "max"] + ["text_min", "text_max"] * any(c in texts for c in cols)
+    return _stack(df.agg(*aggs), cols, fields)
 
 
 # A2
 def summary(df: DataFrame, cols: Sequence[str] | None = None, probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """A1 plus exact linear-interpolated quantiles as ``p25``, ``p50``, ``p75``."""
+    """A1 plus exact linear-interpolated quantiles as ``p25``, ``p50``, ``p75`` of numeric columns."""
     cols = list(cols or numeric_columns(df))
     base = describe(df, cols)
     q = exact_quantiles(df, cols, probs)
@@ -57,7 +78,7 @@ def summary(df: DataFrame, cols: Sequence[str] | None = None, probs: Sequence[fl
 # A3
 def means(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or numeric_columns(df))
-    return df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    return df.agg(*[F.avg(value_column(c)).alias(c) for c in cols])
 
 
 # A4
@@ -68,20 +89,68 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 # A5
 def cardinality(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Distinct non-NULL values per column, all columns in one job."""
+    """Distinct non-NULL values per column.
+
+    Each column is made distinct by itself (partial aggregation before the shuffle, no copy of the rows per column);
+    on a columnar table every pass reads one column, so the table is read once in all.
+    """
     cols = list(cols or df.columns)
     if approx:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
-    return df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cols])
+    long = None
+    for c in cols:
+        one = df.select(c).distinct().agg(F.count(F.col(c)).alias("n")).select(F.lit(c).alias("column"), "n")
+        long = one if long is None else long.unionAll(one)
+    return long.agg(*[F.max(F.when(F.col("column") == c, F.col("n"))).alias(c) for c in cols])
+
+
+PAIR_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pearson(df: DataFrame, left: list[str], right: list[str], upper: bool) -> DataFrame:
+    """(i, j, r): Pearson r of ``left[i]`` and ``right[j]`` over the rows where both have a value.
+
+    One scan for any number of columns: every task adds up the sums of all pairs as matrix products of its Arrow
+    batches (shifted by the column means), and the sums of a pair are added by key.  r is NULL when either column is
+    constant on the pair's rows.  ``upper`` keeps the pairs i < j.
+    """
+    held = list(dict.fromkeys([*left, *right]))
+    means = df.agg(*[F.avg(value_column(c)).alias(f"m{k}") for k, c in enumerate(held)]).first()
+    shift = np.array([0.0 if m is None else m for m in means])
+    at_left, at_right = ([held.index(c) for c in cols] for cols in (left, right))
+
+    def sums(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns]) - shift
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            a, b, p, q = x[:, at_left], x[:, at_right], there[:, at_left].astype(float), there[:, at_right].astype(float)
+            part = np.stack([p.T @ q, a.T @ q, p.T @ b, (a * a).T @ q, p.T @ (b * b), a.T @ b])
+            total = part if total is None else total + part
+        if total is not None:
+            i, j = np.triu_indices(len(left), 1) if upper else np.indices(total[0].shape).reshape(2, -1)
+            columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(t[i, j]) for t in total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    parts = df.select(*[value_column(c).alias(f"x{k}") for k, c in enumerate(held)]).mapInArrow(sums, PAIR_SCHEMA)
+    all_of = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, sx, sy, sxx, syy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy"))
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    varies = (vx > n * sxx * ROUNDING) & (vy > n * syy * ROUNDING)  # else the variance is only rounding
+    r = F.when(varies, (n * F.col("sxy") - sx * sy) / F.sqrt(F.when(varies, vx * vy)))
+    return all_of.select("i", "j", r.alias("r"))
+
+
+def _named(cols: Sequence[str], index: str) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(index) + 1)
 
 
 # A6
 def correlate_with(df: DataFrame, label: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of each feature with ``label`` (pairwise-complete rows)."""
     cols = [c for c in (cols or numeric_columns(df)) if c != label]
-    y = F.col(label).cast("double")
-    one = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(f"{c}__r") for c in cols])
-    return _stack(one, cols, ["r"]).withColumnRenamed("column", "feature")
+    return _pearson(df, cols, [label], upper=False).select(_named(cols, "i").alias("feature"), "r")
 
 
 # A7
@@ -92,51 +161,18 @@ def top_correlated(df: DataFrame, label: str, cols: Sequence[str] | None = None)
     return r.withColumn("rank", F.row_number().over(w))
 
 
-WIDE_CORRELATION = 30
-
-
-def _correlation_matrix_wide(df: DataFrame, cols: list[str], digits: int | None) -> DataFrame:
-    """Many columns: one distributed covariance pass (``ml.stat.Correlation``), d x d on the driver.
-
-    Rows with a missing value in any listed column are skipped (complete-case),
-    unlike the pairwise-complete narrow form.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_tw_v", handleInvalid="skip").transform(df.select(*cols))
-    m = Correlation.corr(vec, "_tw_v", "pearson").first()[0].toArray()
-    rows = [(a, b, float(round(m[i][j], digits)) if digits is not None else float(m[i][j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
-
-
 # A8
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = 3) -> DataFrame:
-    """Long-form Pearson matrix (col_a, col_b, r).
-
-    Up to ``WIDE_CORRELATION`` columns: all pairs in one aggregation
-    (pairwise-complete rows, as the SQL ``corr``).  Wider: one covariance
-    pass over an assembled vector instead of d^2 / 2 aggregate expressions.
-    """
+    """Long-form Pearson matrix (col_a, col_b, r) over pairwise-complete rows; the diagonal is 1."""
     cols = list(cols or numeric_columns(df))
-    if len(cols) > WIDE_CORRELATION:
-        return _correlation_matrix_wide(df, cols, digits)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}"))
-            pairs.append((a, b))
-    one = df.agg(*aggs) if aggs else df.agg(F.count(F.lit(1)).alias("_n"))
-    structs = []
-    for a, b in pairs:
-        r = F.col(f"{a}__{b}")
-        r = F.round(r, digits) if digits is not None else r
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
-        structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), r.alias("r")))
-    for c in cols:
-        structs.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")))
-    return one.select(F.inline(F.array(*structs)))
+    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")
+    if len(cols) < 2:
+        return diagonal
+    pairs = _pearson(df, cols, cols, upper=True)
+    r = F.col("r") if digits is None else F.round("r", digits)
+    a, b = _named(cols, "i"), _named(cols, "j")
+    both = F.array(F.struct(a.alias("col_a"), b.alias("col_b"), r.alias("r")), F.struct(b.alias("col_a"), a.alias("col_b"), r.alias("r")))
+    return pairs.select(F.inline(both)).unionAll(diagonal)
 
 
 # A9
@@ -153,7 +189,7 @@ def redundant_features(df: DataFrame, threshold: float = 0.82, cols: Sequence[st
 def histogram(df: DataFrame, col: str, bins: int = 31) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed.  All bins are returned."""
     spark = df.sparkSession
-    x = F.col(col).cast("double")
+    x = value_column(col)
     lo, hi = df.agg(F.min(x), F.max(x)).first()
     if lo is None:
         return spark.createDataFrame([], "bin int, lo double, hi double, count long")
@@ -161,7 +197,7 @@ def histogram(df: DataFrame, col: str, bins: int = 31) -> DataFrame:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
     idx = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-    counts = df.filter(x.isNotNull() & ~F.isnan(x)).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.filter(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = spark.range(bins).select(
         F.col("id").cast("int").alias("bin"),
         (F.lit(lo) + F.col("id") * F.lit(width)).alias("lo"),
@@ -184,15 +220,16 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whisker: float =
     quart = quart.withColumn("lower_fence", F.col("q1") - F.lit(whisker) * F.col("iqr")).withColumn(
         "upper_fence", F.col("q3") + F.lit(whisker) * F.col("iqr")
     )
-    # one row per column: a proven-small broadcast
-    long = long_values(df, cols).join(F.broadcast(quart.select("column", "lower_fence", "upper_fence")), "column")
-    v = F.col("value")
-    inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    ends = long.groupBy("column").agg(
-        F.min(F.when(inside, v)).alias("whisker_lo"),
-        F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"),
-    )
+    fences = quart.select("column", "lower_fence", "upper_fence").collect()  # one row per column
+    aggs = []
+    for c, low, high in fences:
+        v = value_column(c)
+        inside = F.lit(False) if low is None else (v >= F.lit(low)) & (v <= F.lit(high))
+        aggs += [
+            F.min(F.when(inside, v)).alias(f"{c}__whisker_lo"), F.max(F.when(inside, v)).alias(f"{c}__whisker_hi"),
+            F.count_if(~inside & v.isNotNull()).alias(f"{c}__n_outliers"),
+        ]
+    ends = _stack(df.agg(*aggs), [r[0] for r in fences], ["whisker_lo", "whisker_hi", "n_outliers"])
     return quart.join(ends, "column", "left")
 
 
