@@ -8,7 +8,11 @@ Spark counterpart raise instead of being ignored.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
     DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
@@ -18,17 +22,34 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader,
+    MLWritable, MLWriter,
+)
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablewright.session import ensure_checkpoint_dir
 
 MAX_TREE_DEPTH = 30
 UNSUPPORTED = {"min_samples_split", "reg_lambda"}
 
 
 def _reject(params: dict) -> None:
+    """Every keyword that is left over is an error: nothing is ignored."""
     bad = UNSUPPORTED.intersection(params)
     if bad:
         raise ValueError(f"no Spark counterpart for {sorted(bad)}")
     if params.get("loss") == "exponential":
         raise ValueError("exponential loss: use adaboost()")
+    if params:
+        raise TypeError(f"unknown parameters {sorted(params)}")
+
+
+def _subset(max_features: str | float | int | None) -> str:
+    """Features tried per split as Spark's ``featureSubsetStrategy``; ``None`` means all of them."""
+    return "all" if max_features is None else str(max_features)
 
 
 def _depth(d: int | None) -> int:
@@ -63,32 +84,40 @@ def decision_tree(label: str = "label", features: str = "features", max_depth: i
 
 # M4
 def random_forest(label: str = "label", features: str = "features", n_estimators: int = 20,
-                  max_depth: int | None = 5, max_features: str | float = "auto", criterion: str = "gini",
+                  max_depth: int | None = 5, max_features: str | float | None = "auto", criterion: str = "gini",
                   min_samples_leaf: int = 1, bootstrap: bool = True, seed: int = 0, **kw) -> RandomForestClassifier:
     _reject(kw)
-    strategy = str(max_features) if not isinstance(max_features, str) else {"auto": "auto", "sqrt": "sqrt", "log2": "log2", "all": "all"}.get(max_features, max_features)
     return RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=n_estimators,
-                                  maxDepth=_depth(max_depth), featureSubsetStrategy=strategy, impurity=criterion,
+                                  maxDepth=_depth(max_depth), featureSubsetStrategy=_subset(max_features), impurity=criterion,
                                   minInstancesPerNode=min_samples_leaf, bootstrap=bootstrap, seed=seed)
 
 
-# M5 / M7
+# M5
 def gbt(label: str = "label", features: str = "features", n_estimators: int = 20, max_depth: int = 5,
-        learning_rate: float = 0.1, subsample: float = 1.0, gamma: float = 0.0, colsample: str | float = "all",
-        seed: int = 0, validation_col: str | None = None, checkpoint_interval: int = 10, **kw) -> GBTClassifier:
-    """Gradient-boosted trees (logistic loss).  ``gamma`` -> ``minInfoGain``;
-    ``colsample`` is drawn per node (Spark) rather than per tree."""
+        learning_rate: float = 0.1, subsample: float = 1.0, max_features: str | float | None = None,
+        min_samples_leaf: int = 1, seed: int = 0, validation_col: str | None = None, checkpoint_interval: int = 10,
+        **kw) -> GBTClassifier:
+    """Gradient-boosted trees (logistic loss); ``max_features`` is drawn per node."""
     _reject(kw)
     g = GBTClassifier(labelCol=label, featuresCol=features, maxIter=n_estimators, maxDepth=_depth(max_depth),
-                      stepSize=learning_rate, subsamplingRate=subsample, minInfoGain=gamma,
-                      featureSubsetStrategy=str(colsample), seed=seed, checkpointInterval=checkpoint_interval)
+                      stepSize=learning_rate, subsamplingRate=subsample, featureSubsetStrategy=_subset(max_features),
+                      minInstancesPerNode=min_samples_leaf, seed=seed, checkpointInterval=checkpoint_interval)
     if validation_col:
         g.setValidationIndicatorCol(validation_col)
     return g
 
 
-def regularised_gbt(**kw) -> GBTClassifier:
-    return gbt(**kw)
+# M7
+def regularised_gbt(label: str = "label", features: str = "features", n_estimators: int = 100, max_depth: int = 6,
+                    learning_rate: float = 0.3, gamma: float = 0.0, subsample: float = 1.0,
+                    colsample_bytree: float = 1.0, min_child_weight: float = 1.0, seed: int = 0, **kw) -> GBTClassifier:
+    """Boosted trees under the names of regularised boosting: ``gamma`` is the least gain of a split,
+    ``colsample_bytree`` the share of features (drawn per node, not per tree), ``min_child_weight`` the least rows of
+    a child."""
+    est = gbt(label, features, n_estimators=n_estimators, max_depth=max_depth, learning_rate=learning_rate,
+              subsample=subsample, max_features=None if colsample_bytree >= 1 else float(colsample_bytree),
+              min_samples_leaf=max(1, int(round(min_child_weight))), seed=seed, **kw)
+    return est.setMinInfoGain(gamma)
 
 
 # M8
@@ -151,65 +180,71 @@ def input_width(df, features: str = "features") -> int:
 
 
 # M6
-class AdaBoost:
-    """SAMME boosting of depth-1 trees with per-row weights held in a column.
+class _AdaBoostParams(HasFeaturesCol, HasLabelCol, HasPredictionCol):
+    n_estimators = Param(Params._dummy(), "n_estimators", "most trees", TypeConverters.toInt)
+    learning_rate = Param(Params._dummy(), "learning_rate", "factor of each tree's vote", TypeConverters.toFloat)
+    max_depth = Param(Params._dummy(), "max_depth", "depth of a tree", TypeConverters.toInt)
+
+
+class AdaBoost(Estimator, _AdaBoostParams, DefaultParamsReadable, DefaultParamsWritable):
+    """SAMME boosting of shallow trees with per-row weights held in a column.
 
     Each round fits ``DecisionTreeClassifier(weightCol=...)`` (distributed),
     measures the weighted error with one aggregation and re-weights rows
-    with a column expression; the weighted rows are checkpointed every
-    ``checkpoint_every`` rounds so the lineage stays short.
+    with a column expression.  The weighted rows are persisted, and their
+    lineage is cut with a checkpoint every ``CHECKPOINT_EVERY`` rounds.
     """
 
-    def __init__(self, n_estimators: int = 50, learning_rate: float = 1.0, max_depth: int = 1, label: str = "label",
-                 features: str = "features", checkpoint_every: int = 5):
-        self.n_estimators, self.learning_rate, self.max_depth = n_estimators, learning_rate, max_depth
-        self.label, self.features, self.checkpoint_every = label, features, checkpoint_every
-
-    def fit(self, df):
-        import math
-
-        from pyspark.sql import functions as F
+    CHECKPOINT_EVERY = 5
 
-        from tablewright.session import ensure_checkpoint_dir
+    def __init__(self, n_estimators: int = 50, learning_rate: float = 1.0, max_depth: int = 1, label: str = "label",
+                 features: str = "features"):
+        super().__init__()
+        self._set(n_estimators=n_estimators, learning_rate=learning_rate, max_depth=max_depth, labelCol=label,
+                  featuresCol=features, predictionCol="prediction")
 
+    def _fit(self, df: DataFrame) -> AdaBoostModel:
+        label, features, rate = self.getLabelCol(), self.getFeaturesCol(), self.getOrDefault("learning_rate")
         ensure_checkpoint_dir(df.sparkSession)
-        k = int(df.agg(F.max(self.label)).first()[0]) + 1
-        k = max(k, 2)
-        data = df.select(self.features, F.col(self.label).cast("double").alias(self.label), F.lit(1.0).alias("_w"))
+        data = df.select(features, F.col(label).cast("double").alias(label), F.lit(1.0).alias("_w")).persist()
+        k = max(int(data.agg(F.max(label)).first()[0] or 0) + 1, 2)
         trees, alphas = [], []
-        for t in range(self.n_estimators):
-            tree = DecisionTreeClassifier(labelCol=self.label, featuresCol=self.features, weightCol="_w",
-                                          maxDepth=self.max_depth, predictionCol="_p", rawPredictionCol="_raw",
-                                          probabilityCol="_prob").fit(data)
+        for t in range(self.getOrDefault("n_estimators")):
+            tree = DecisionTreeClassifier(labelCol=label, featuresCol=features, weightCol="_w",
+                                          maxDepth=self.getOrDefault("max_depth"), predictionCol="_p",
+                                          rawPredictionCol="_raw", probabilityCol="_prob").fit(data)
             pred = tree.transform(data)
-            wrong = (F.col("_p") != F.col(self.label)).cast("double")
+            wrong = (F.col("_p") != F.col(label)).cast("double")
             row = pred.agg(F.sum(F.col("_w") * wrong).alias("e"), F.sum("_w").alias("s")).first()
             err = (row["e"] or 0.0) / row["s"]
             if err >= 1.0 - 1.0 / k:
                 break
             err = max(err, 1e-10)
-            alpha = self.learning_rate * (math.log((1 - err) / err) + math.log(k - 1))
+            alpha = rate * (math.log((1 - err) / err) + math.log(k - 1))
             trees.append(tree)
             alphas.append(alpha)
             if err <= 1e-10:
                 break
-            data = pred.select(self.features, self.label,
-                               (F.col("_w") * F.exp(F.lit(alpha) * wrong)).alias("_w"))
-            if (t + 1) % self.checkpoint_every == 0:
-                data = data.checkpoint(eager=True)
-        return AdaBoostModel(trees, alphas, k, self.features)
+            new = pred.select(features, label, (F.col("_w") * F.exp(F.lit(alpha) * wrong)).alias("_w"))
+            new = new.checkpoint(eager=True) if (t + 1) % self.CHECKPOINT_EVERY == 0 else new.persist()
+            new.count()  # before what it is made from is let go
+            data.unpersist()
+            data = new
+        data.unpersist()
+        model = AdaBoostModel(trees, alphas, k)
+        return model._set(labelCol=label, featuresCol=features, predictionCol=self.getPredictionCol())
 
 
-class AdaBoostModel:
-    def __init__(self, trees, alphas, k, features):
-        self.trees, self.alphas, self.k, self.features = trees, alphas, k, features
+class AdaBoostModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, MLWritable, MLReadable):
+    """Weighted votes of the trees: ``prediction`` and ``score``, the share of the votes for class 1."""
 
-    def transform(self, df):
-        from pyspark.sql import functions as F
+    def __init__(self, trees=(), alphas=(), k: int = 2):
+        super().__init__()
+        self.trees, self.alphas, self.k = list(trees), list(alphas), k
 
-        out = df
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out, total = df, float(sum(self.alphas)) or 1.0
         votes = [F.lit(0.0)] * self.k
-        total = float(sum(self.alphas)) or 1.0
         for i, (tree, a) in enumerate(zip(self.trees, self.alphas)):
             tree = tree.copy()
             tree.setPredictionCol(f"_ab_p{i}").setRawPredictionCol(f"_ab_r{i}").setProbabilityCol(f"_ab_q{i}")
@@ -217,9 +252,41 @@ class AdaBoostModel:
             votes = [v + F.when(F.col(f"_ab_p{i}") == c, F.lit(a)).otherwise(F.lit(0.0)) for c, v in enumerate(votes)]
         out = out.withColumn("_ab_votes", F.array(*votes))
         best = F.array_position(F.col("_ab_votes"), F.array_max(F.col("_ab_votes"))) - 1
-        out = out.withColumn("score", F.col("_ab_votes")[1] / F.lit(total)).withColumn("prediction", best.cast("double"))
+        out = out.withColumn("score", F.col("_ab_votes")[1] / F.lit(total))
+        out = out.withColumn(self.getPredictionCol(), best.cast("double"))
         return out.drop("_ab_votes", *[f"_ab_p{i}" for i in range(len(self.trees))])
 
+    def write(self) -> MLWriter:
+        return _AdaBoostWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _AdaBoostReader()
+
+
+class _AdaBoostWriter(MLWriter):
+    def __init__(self, model: AdaBoostModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        DefaultParamsWriter.saveMetadata(m, path, self.sparkSession, extraMetadata={"alphas": m.alphas, "k": m.k})
+        for i, tree in enumerate(m.trees):
+            tree.save(f"{path}/trees/{i}")
+
+
+class _AdaBoostReader(MLReader):
+    def load(self, path: str) -> AdaBoostModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        alphas = metadata["alphas"]
+        trees = [DecisionTreeClassificationModel.load(f"{path}/trees/{i}") for i in range(len(alphas))]
+        model = AdaBoostModel(trees, alphas, metadata["k"])
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
 
-def adaboost(n_estimators: int = 50, learning_rate: float = 1.0, label: str = "label", features: str = "features") -> AdaBoost:
-    return AdaBoost(n_estimators=n_estimators, learning_rate=learning_rate, label=label, features=features)
+def adaboost(n_estimators: int = 50, learning_rate: float = 1.0, label: str = "label", features: str = "features",
+             max_depth: int = 1) -> AdaBoost:
+    return AdaBoost(n_estimators=n_estimators, learning_rate=learning_rate, max_depth=max_depth, label=label, features=features)

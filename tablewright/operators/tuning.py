@@ -10,18 +10,38 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.param import Param
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def find_param(est: Estimator, name: str) -> Param:
+    """A parameter of an estimator, or of the one stage of a pipeline that has it.
+
+    ``Stage.name`` picks a stage by its class name, or by its position (``0.name``).
+    """
+    if isinstance(est, Pipeline):
+        stage, _, bare = name.rpartition(".")
+        held = [
+            s for i, s in enumerate(est.getStages())
+            if s.hasParam(bare) and (not stage or stage in (str(i), type(s).__name__))
+        ]
+        if len(held) != 1:
+            raise ValueError(f"{len(held)} pipeline stages have {name!r}; name one as Stage.{bare} or 0.{bare}")
+        return held[0].getParam(bare)
+    return est.getParam(name)
+
+
 def param_grid(est: Estimator, grid: Mapping[str, Sequence]) -> list[dict]:
     b = ParamGridBuilder()
     for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), list(values))
+        b = b.addGrid(find_param(est, name), list(values))
     return b.build()
 
 
@@ -49,28 +69,42 @@ def random_search(est: Estimator, space: Mapping[str, Sequence], n_iter: int, ev
         if choice in seen:
             continue
         seen.add(choice)
-        maps.append({est.getParam(k): v for k, v in choice})
+        maps.append({find_param(est, k): v for k, v in choice})
     return grid_search(est, maps, evaluator, seed=seed, **kw)
 
 
 # G3
 def repeated_holdout_search(est: Estimator, grid: Mapping[str, Sequence], evaluator: Evaluator, df: DataFrame,
                             split_flags: Sequence[str], parallelism: int = 4) -> DataFrame:
-    """Grid over several hold-out splits (boolean ``is_test_i`` columns); mean metric per parameter set."""
-    spark = df.sparkSession
-    maps = param_grid(est, grid)
-    rows = []
-    for i, flag in enumerate(split_flags):
-        tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=evaluator, parallelism=parallelism)
-        tvs.setTrainRatio(0.75)
-        train = df.filter(~F.col(flag))
-        test = df.filter(F.col(flag))
-        for j, pm in enumerate(maps):
+    """Grid over several hold-out splits (boolean ``is_test_i`` columns): validation and train metric per parameter set.
+
+    The rows are persisted once; ``parallelism`` fits run at a time.
+    """
+    spark, maps = df.sparkSession, param_grid(est, grid)
+    held = df.persist()
+    try:
+        jobs = [(j, i, flag, pm) for i, flag in enumerate(split_flags) for j, pm in enumerate(maps)]
+
+        def one(job):
+            j, i, flag, pm = job
+            train, test = held.filter(~F.col(flag)), held.filter(F.col(flag))
             model = est.fit(train, pm)
-            rows.append((j, i, float(evaluator.evaluate(model.transform(test)))))
-    res = spark.createDataFrame(rows, "param_set int, split int, metric double")
-    params = _params_frame(spark, maps)
-    return res.groupBy("param_set").agg(F.avg("metric").alias("mean_metric"), F.stddev("metric").alias("std_metric")).join(params, "param_set")
+            return j, i, float(evaluator.evaluate(model.transform(test))), float(evaluator.evaluate(model.transform(train)))
+
+        rows = _in_threads(one, jobs, parallelism)
+    finally:
+        held.unpersist()
+    res = spark.createDataFrame(rows, "param_set int, split int, metric double, train_metric double")
+    best = res.groupBy("param_set").agg(
+        F.avg("metric").alias("mean_metric"), F.stddev("metric").alias("std_metric"),
+        F.avg("train_metric").alias("mean_train_metric"))
+    return best.join(_params_frame(spark, maps), "param_set")
+
+
+def _in_threads(work, jobs: Sequence, parallelism: int) -> list:
+    """Results in the order of the jobs; each job submits its own Spark jobs."""
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(work), list(jobs), chunksize=1)
 
 
 def _params_frame(spark: SparkSession, maps: list) -> DataFrame:
@@ -129,24 +163,31 @@ def refit_best(est: Estimator, model, train: DataFrame):
 
 
 # G8
-def cross_val_score(est: Estimator, evaluator: Evaluator, df: DataFrame, fold_col: str, k: int) -> DataFrame:
-    """Per-fold scores of one estimator: (fold, metric)."""
-    spark = df.sparkSession
-    rows = []
-    for i in range(k):
-        m = est.fit(df.filter(F.col(fold_col) != i))
-        rows.append((i, float(evaluator.evaluate(m.transform(df.filter(F.col(fold_col) == i))))))
-    return spark.createDataFrame(rows, "fold int, metric double")
+def cross_val_score(est: Estimator, evaluator: Evaluator, df: DataFrame, fold_col: str, k: int, parallelism: int = 4) -> DataFrame:
+    """Per-fold scores of one estimator: (fold, metric).  The rows are persisted once, folds run side by side."""
+    held = df.persist()
+
+    def one(i):
+        model = est.fit(held.filter(F.col(fold_col) != i))
+        return i, float(evaluator.evaluate(model.transform(held.filter(F.col(fold_col) == i))))
+
+    try:
+        rows = _in_threads(one, range(k), parallelism)
+    finally:
+        held.unpersist()
+    return df.sparkSession.createDataFrame(rows, "fold int, metric double")
 
 
 # G9
-def out_of_fold_predict(est: Estimator, df: DataFrame, fold_col: str, k: int) -> DataFrame:
+def out_of_fold_predict(est: Estimator, df: DataFrame, fold_col: str, k: int, parallelism: int = 4) -> DataFrame:
     """Each row predicted by the model that did not see it during training."""
-    parts = []
-    for i in range(k):
-        m = est.fit(df.filter(F.col(fold_col) != i))
-        parts.append(m.transform(df.filter(F.col(fold_col) == i)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    held = df.persist()
+    try:
+        models = _in_threads(lambda i: est.fit(held.filter(F.col(fold_col) != i)), range(k), parallelism)
+    finally:
+        held.unpersist()
+    out = None
+    for i, m in enumerate(models):
+        part = m.transform(df.filter(F.col(fold_col) == i))
+        out = part if out is None else out.unionByName(part)
     return out
