@@ -97,7 +97,7 @@ HOUSING_SQL = """housing AS (
            sum(l_tax) AS total_tax, sum(l_extendedprice) AS total_value
     FROM lineitem GROUP BY l_orderkey) a ON o_orderkey = a.l_orderkey)"""
 
-FRAUD_DIMS = 16
+FRAUD_DIMS = 64
 
 
 def fraud_like(spark: SparkSession, sf_dir: str, dims: int = FRAUD_DIMS) -> DataFrame:

@@ -3,24 +3,40 @@
 profile (class balance, correlations with the label, box statistics) ->
 seeded stratified folds -> isolation-forest grid scored by fold AUC ->
 refit on all training rows -> test scores, AUC on scores and on the
-contamination labels -> supervised forest / boosting / AdaBoost on the same
-split -> one comparison table of AUCs.
+contamination labels -> searches over supervised forest / boosting /
+AdaBoost on the same folds -> one comparison table of AUCs.
 """
 
 from __future__ import annotations
 
-import itertools
-
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.jobs import fixtures as fx
-from tablewright.operators import evaluate, profile, splits
+from tablewright.operators import evaluate, profile, splits, tuning
 from tablewright.operators.models import anomaly, classify
 from tablewright.session import ensure_checkpoint_dir
 
 FEATURES = [f"v{i + 1}" for i in range(fx.FRAUD_DIMS)]
+FOLDS = 3
+# The searched spaces, as far as Spark has the parameter.
+FOREST_GRID = {"n_estimators": [100, 150, 200, 250], "max_features": [1, 10, 15, 20, 25, 28]}
+DEPTHS = [3, 5, 10, 15, 20, 25, 30]
+LEAVES = [1, 2, 4, 8, 16, 32, 64]
+SUPERVISED = {
+    "random_forest": (100, {
+        "maxDepth": DEPTHS, "featureSubsetStrategy": ["sqrt", "log2", "all"], "minInstancesPerNode": LEAVES,
+        "bootstrap": [True, False], "impurity": ["gini", "entropy"]}),
+    "gbt": (100, {
+        "stepSize": [10 ** (-5 + 5 * i / 11) for i in range(12)], "maxDepth": DEPTHS, "minInstancesPerNode": LEAVES,
+        "subsamplingRate": [0.1, 0.2, 0.5, 0.9, 1.0], "featureSubsetStrategy": ["sqrt", "log2", "all"]}),
+    "regularised_gbt": (50, {
+        "minInfoGain": [0.0, 1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0, 10.0, 100.0], "maxDepth": [6, 9, 12],
+        "subsamplingRate": [0.5, 0.9, 1.0], "featureSubsetStrategy": ["0.5", "0.9", "all"]}),
+    "adaboost": (50, {"learning_rate": [10 ** (-5 + 5 * i / 49) for i in range(50)]}),
+}
 
 
 def profile_tables(df: DataFrame) -> dict[str, DataFrame]:
@@ -31,36 +47,35 @@ def profile_tables(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def forest_search(train: DataFrame, grid: dict, k: int = 3, seed: int = 50) -> DataFrame:
-    """(n_estimators, max_features, mean_auc) over stratified folds of ``train``."""
-    spark = train.sparkSession
-    folded = splits.stratified_folds(train, "Class", k, seed, ["vec_id"]).checkpoint(eager=True)
-    rows = []
-    for n_est, max_feat in itertools.product(grid["n_estimators"], grid["max_features"]):
-        aucs = []
-        for f in range(k):
-            fit_rows = folded.filter(F.col("fold") != f)
-            held = folded.filter(F.col("fold") == f)
-            m = anomaly.isolation_forest(fit_rows, FEATURES, ["vec_id"], n_estimators=n_est, max_samples=256,
-                                         max_features=max_feat, seed=seed)
-            aucs.append(evaluate.auc(m.transform(held), "anomaly_score", "Class").first()["auc"])
-        valid = [a for a in aucs if a is not None]
-        rows.append((int(n_est), int(max_feat), float(sum(valid) / len(valid)) if valid else None))
-    return spark.createDataFrame(rows, "n_estimators int, max_features int, mean_auc double")
+def forest_search(folded: DataFrame, grid: dict, seed: int = 50):
+    """The fitted search over isolation forests; ``folded`` has the fold of each row."""
+    est = anomaly.IsolationForest(FEATURES, ["vec_id"], max_samples=256, seed=seed)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="anomaly_score", labelCol="label")
+    return tuning.grid_search(est, grid, ev, folds=FOLDS, fold_col="fold").fit(folded)
+
 
+def estimators(n_estimators: int, seed: int) -> dict:
+    return {
+        "random_forest": classify.random_forest(n_estimators=n_estimators, seed=seed),
+        "gbt": classify.gbt(n_estimators=n_estimators, seed=seed),
+        "regularised_gbt": classify.regularised_gbt(n_estimators=n_estimators, seed=seed),
+        "adaboost": classify.adaboost(n_estimators=n_estimators),
+    }
 
-def run(spark: SparkSession, sf_dir: str, grid: dict | None = None, seed: int = 50) -> DataFrame:
-    """(model, auc) on the held-out rows for the tuned forest and the supervised ensembles."""
+
+def run(spark: SparkSession, sf_dir: str, grid: dict | None = None, seed: int = 50, n_estimators: int = 50,
+        spaces: dict | None = None) -> DataFrame:
+    """(model, auc) on the held-out rows: the searched forest and the searched supervised ensembles.
+
+    ``spaces``: {model: (sets to draw, {param: values})}; by default ``SUPERVISED`` in full.
+    """
     ensure_checkpoint_dir(spark)
-    grid = grid or {"n_estimators": [100, 150, 200, 250], "max_features": [1, 10, 15, 16]}
-    df = fx.fraud_like(spark, sf_dir).checkpoint(eager=True)
+    df = fx.fraud_like(spark, sf_dir).withColumn("label", F.col("Class").cast("double"))
+    df = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df).checkpoint(eager=True)
     tagged = splits.assign_split(df, [0.7, 0.3], seed, ["vec_id"])
     train, test = tagged.filter("split = 0").drop("split"), tagged.filter("split = 1").drop("split")
-    search = forest_search(train, grid, seed=seed)
-    best = search.orderBy(F.col("mean_auc").desc_nulls_last(), "n_estimators", "max_features").first()
-    forest = anomaly.isolation_forest(train, FEATURES, ["vec_id"], n_estimators=best["n_estimators"],
-                                      max_samples=256, max_features=best["max_features"], seed=seed)
-    scored = forest.transform(test)
+    folded = splits.stratified_folds(train, "Class", FOLDS, seed, ["vec_id"]).checkpoint(eager=True)
+    scored = forest_search(folded, grid or FOREST_GRID, seed).transform(test)
     rate = train.agg(F.avg("Class")).first()[0]
     labelled = anomaly.anomaly_label(scored, "anomaly_score", float(rate)).withColumn(
         "flag", (F.col("anomaly_label") == -1).cast("int"))
@@ -68,16 +83,10 @@ def run(spark: SparkSession, sf_dir: str, grid: dict | None = None, seed: int =
         "isolation_forest": evaluate.auc(scored, "anomaly_score", "Class").first()["auc"],
         "isolation_forest_hard": evaluate.auc_hard(labelled, "flag", "Class").first()["auc_hard"],
     }
-    asm = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    tr = asm.transform(train).withColumn("label", F.col("Class").cast("double"))
-    te = asm.transform(test).withColumn("label", F.col("Class").cast("double"))
-    supervised = {
-        "random_forest": classify.random_forest(n_estimators=50, max_depth=5, seed=seed),
-        "gbt": classify.gbt(n_estimators=20, max_depth=3, seed=seed),
-        "regularised_gbt": classify.regularised_gbt(n_estimators=20, max_depth=3, gamma=0.001, subsample=0.8, seed=seed),
-    }
-    for name, est in supervised.items():
-        results[name] = evaluate.auc(evaluate.score(est.fit(tr), te), "score", "label").first()["auc"]
-    ada = classify.adaboost(n_estimators=20, learning_rate=0.5).fit(tr.select("features", "label"))
-    results["adaboost"] = evaluate.auc(ada.transform(te), "score", "label").first()["auc"]
+    built = estimators(n_estimators, seed)
+    for name, (sets, space) in (spaces or SUPERVISED).items():
+        column = "score" if name == "adaboost" else "rawPrediction"
+        ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=column)
+        search = tuning.random_search(built[name], space, sets, ev, seed=seed, folds=FOLDS, fold_col="fold").fit(folded)
+        results[name] = evaluate.auc(evaluate.score(search, test), "score", "label").first()["auc"]
     return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in results.items()], "model string, auc double")

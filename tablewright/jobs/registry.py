@@ -43,7 +43,7 @@ def _r(c: str, d: int = 6):
 LOAN_COLS = fx.LOAN_KEY + fx.LOAN_NUMERIC + fx.LOAN_CATEGORICAL + ["status"]
 LINEITEM_COLS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-    "l_returnflag", "l_linestatus",
+    "l_returnflag", "l_linestatus", "l_shipdate",
 ]
 KEYS = ", ".join(fx.LOAN_KEY)
 
@@ -195,10 +195,10 @@ W_LEVELS = "WITH " + fx.LEVELS_SQL
 
 
 @register("collapse_levels", W_LEVELS + " SELECT c_custkey, CASE WHEN nation IN ("
-          + ", ".join(f"'{n}'" for n in SMALL_NATIONS) + ") THEN 'PEQUE' ELSE nation END AS nation FROM levels")
+          + ", ".join(f"'{n}'" for n in SMALL_NATIONS) + ") THEN 'FEW' ELSE nation END AS nation FROM levels")
 def q_collapse_levels(spark, sf):
     df = fx.levels_like(spark, sf)
-    return clean.collapse_levels(df, "nation", SMALL_NATIONS, "PEQUE").select("c_custkey", "nation")
+    return clean.collapse_levels(df, "nation", SMALL_NATIONS, "FEW").select("c_custkey", "nation")
 
 
 @register("collapse_rare", W_LEVELS + """, cnt AS (SELECT nation AS lvl, count(*) AS n FROM levels GROUP BY nation)
@@ -262,9 +262,88 @@ def q_value_counts(spark, sf):
     return profile.value_counts(fx.levels_like(spark, sf), "nation")
 
 
-@register("cardinality", "SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in LINEITEM_COLS + ["l_shipdate"]) + " FROM lineitem")
+@register("cardinality", "SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in LINEITEM_COLS) + " FROM lineitem")
 def q_cardinality(spark, sf):
-    return profile.cardinality(fx.table(spark, sf, "lineitem"), LINEITEM_COLS + ["l_shipdate"])
+    return profile.cardinality(fx.table(spark, sf, "lineitem"), LINEITEM_COLS)
+
+
+MIXED_SQL = """mixed AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0.0 THEN 'NaN'::DOUBLE ELSE l_tax END AS x,
+  nullif(l_discount, 0.0) AS y, 7.5::DOUBLE AS k, nullif(l_returnflag, 'A') AS s FROM lineitem)"""
+CLEAN_MIXED = ", clean AS (SELECT CASE WHEN isnan(x) THEN NULL ELSE x END AS x, y, k, s FROM mixed)"
+
+
+def _mixed(spark, sf):
+    """NaN, NULL, a constant and a string column."""
+    li = fx.table(spark, sf, "lineitem")
+    return li.select(
+        F.when(F.col("l_tax") == 0.0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("x"),
+        F.when(F.col("l_discount") != 0.0, F.col("l_discount")).alias("y"), F.lit(7.5).alias("k"),
+        F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).alias("s"))
+
+
+@register("describe_mixed", "WITH " + MIXED_SQL + CLEAN_MIXED + " " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, min({c}) AS min,
+  max({c}) AS max, NULL::VARCHAR AS text_min, NULL::VARCHAR AS text_max FROM clean""" for c in "xyk") + """
+  UNION ALL SELECT 's', count(s), NULL, NULL, NULL, NULL, min(s), max(s) FROM clean""")
+def q_describe_mixed(spark, sf):
+    d = profile.describe(_mixed(spark, sf))
+    return d.select("column", "count", _r("mean"), _r("stddev"), "min", "max", "text_min", "text_max")
+
+
+@register("summary_nan", "WITH " + MIXED_SQL + CLEAN_MIXED + " " + _describe_sql(
+    "clean", ["x", "y", "k"],
+    ", round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75"))
+def q_summary_nan(spark, sf):
+    d = profile.summary(_mixed(spark, sf), ["x", "y", "k"])
+    return d.select("column", "count", *[_r(c) for c in ["mean", "stddev", "min", "max", "p25", "p50", "p75"]])
+
+
+@register("histogram_nan", "WITH " + MIXED_SQL + CLEAN_MIXED + """, s AS (SELECT min(x) AS lo, max(x) AS hi FROM clean),
+  c AS (SELECT least(floor((x - lo) / (hi - lo) * 10), 9)::INTEGER AS bin, count(*) AS count FROM clean, s WHERE x IS NOT NULL GROUP BY bin)
+  SELECT g.bin::INTEGER AS bin, coalesce(c.count, 0)::BIGINT AS count FROM range(10) g(bin) LEFT JOIN c ON c.bin = g.bin""")
+def q_histogram_nan(spark, sf):
+    return profile.histogram(_mixed(spark, sf), "x", 10).select("bin", "count")
+
+
+@register("correlate_constant", "WITH " + MIXED_SQL + CLEAN_MIXED + """
+  SELECT 'y' AS feature, round(corr(x, y), 6) AS r FROM clean UNION ALL SELECT 'k', NULL""")
+def q_correlate_constant(spark, sf):
+    return profile.correlate_with(_mixed(spark, sf), "x", ["y", "k"]).select("feature", _r("r"))
+
+
+@register("schema_table", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i + 1}, '{c}', '{t}')" for i, (c, t) in enumerate(
+        [("l_orderkey", "bigint"), ("l_quantity", "double"), ("l_tax", "double"), ("l_discount", "double"), ("l_returnflag", "string")]))
+    + """) v(ordinal, name, type) JOIN (SELECT unnest(['l_orderkey', 'l_quantity', 'l_tax', 'l_discount', 'l_returnflag']) AS name,
+  unnest([count_if(l_orderkey IS NULL), count_if(l_quantity IS NULL), 0, count_if(l_discount = 0.0), count_if(l_returnflag IS NULL)]) AS n_null
+  FROM lineitem) USING (name)""")
+def q_schema_table(spark, sf):
+    """S6 with the number of missing values of each column."""
+    df = _nanny(spark, sf)
+    counts = clean.null_counts(df, df.columns)
+    long = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n_null")) for c in df.columns])))
+    return io.schema_table(df).select("ordinal", "name", "type").join(long, "name")
+
+
+@register("numeric_columns", "SELECT " + ", ".join(
+    f"round(avg({c}::DOUBLE), 6) AS {c}" for c in ("c_custkey", "c_nationkey", "c_acctbal")) + " FROM customer")
+def q_numeric_columns(spark, sf):
+    """The means of exactly the numeric columns."""
+    df = fx.table(spark, sf, "customer")
+    return profile.means(df, clean.numeric_columns(df)).select(*[_r(c) for c in clean.numeric_columns(df)])
+
+
+WIDE_FEATS = [f"v{i + 1}" for i in range(fx.FRAUD_DIMS)]
+W_WIDE = "WITH " + fx.fraud_sql() + ", wide AS (SELECT * REPLACE (CASE WHEN vec_id % 3 = 0 THEN NULL ELSE v64 END AS v64) FROM fraud)"
+
+
+@register("correlation_matrix_wide", W_WIDE + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT 'v{i}' AS col_a, unnest([{', '.join(repr(c) for c in WIDE_FEATS)}]) AS col_b, unnest(["
+    + ", ".join(f"round(corr(v{i}, {c}), 3)" if c != f"v{i}" else "1.0" for c in WIDE_FEATS) + "]) AS r FROM wide" for i in range(1, fx.FRAUD_DIMS + 1)) + ")")
+def q_corr_matrix_wide(spark, sf):
+    """A8 on 64 columns, one of them with missing values: the same formula as for few."""
+    df = fx.fraud_like(spark, sf).withColumn("v64", F.when(F.col("vec_id") % 3 != 0, F.col("v64")))
+    return profile.correlation_matrix(df, WIDE_FEATS)
 
 
 FRAUD_FEATS = [f"v{i + 1}" for i in range(fx.FRAUD_DIMS)]
@@ -429,9 +508,8 @@ def q_one_hot(spark, sf):
     idx = features.index_category("l_returnflag", handle_invalid="error").fit(df).transform(df)
     enc = features.one_hot(["l_returnflag_index"]).fit(idx).transform(idx)
     arr = vector_to_array(F.col("l_returnflag_onehot"))
-    # handleInvalid='keep' on the encoder adds one slot for unseen indices
     return enc.select(
-        *fx.LOAN_KEY, (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_slot"), (F.size(arr) - 1).cast("int").alias("n_slots")
+        *fx.LOAN_KEY, (F.array_position(arr, 1.0) - 1).cast("int").alias("hot_slot"), F.size(arr).alias("n_slots")
     )
 
 
@@ -441,12 +519,34 @@ def q_one_hot(spark, sf):
 def q_assemble(spark, sf):
     df = fx.loan_like(spark, sf)
     idx = features.index_category("l_returnflag", handle_invalid="error").fit(df).transform(df)
-    enc = features.one_hot(["l_returnflag_index"]).setDropLast(True).fit(idx).transform(idx)
+    enc = features.one_hot(["l_returnflag_index"]).fit(idx).transform(idx)
     vec = features.assemble(["l_quantity", "l_tax", "l_returnflag_onehot"]).transform(enc)
     arr = vector_to_array(F.col("features"))
     return vec.select(*fx.LOAN_KEY, *[arr[i].alias(f"f{i}") for i in range(5)])
 
 
+def _hot_sql(col: str, start: int, levels: int) -> str:
+    return ", ".join(f"CASE WHEN {col} = {i} THEN 1.0 ELSE 0.0 END AS f{start + i}" for i in range(levels))
+
+
+def _rank_sql(col: str, name: str) -> str:
+    return f"""{name} AS (SELECT {col} AS {name}_v, row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS {name}_i
+  FROM loan GROUP BY {col})"""
+
+
+@register("feature_pipeline", W_LOAN + ", " + ", ".join(
+    _rank_sql(c, n) for c, n in (("l_returnflag", "rf"), ("l_linestatus", "ls"), ("status", "st"))) + f"""
+  SELECT {KEYS}, l_quantity AS f0, l_tax AS f1, {_hot_sql("rf_i", 2, 3)}, {_hot_sql("ls_i", 5, 2)}, st_i::DOUBLE AS label, 7 AS n_slots
+  FROM loan JOIN rf ON l_returnflag = rf_v JOIN ls ON l_linestatus = ls_v JOIN st ON status = st_v""")
+def q_feature_pipeline(spark, sf):
+    """Every slot of the assembled vector, and the indexed label."""
+    df = fx.loan_like(spark, sf)
+    spec = features.FeatureSpec(label="status", numeric=["l_quantity", "l_tax"], categorical=["l_returnflag", "l_linestatus"])
+    out = features.feature_pipeline(spec).fit(df).transform(df)
+    arr = vector_to_array(F.col("features"))
+    return out.select(*fx.LOAN_KEY, *[arr[i].alias(f"f{i}") for i in range(7)], "label", F.size(arr).alias("n_slots"))
+
+
 STD_COLS = ["qty_per_line", "disc_per_line", "price_k"]
 
 
@@ -545,7 +645,7 @@ def q_stem(spark, sf):
 
 
 VOCAB_SQL = DOCS_TOKENS_SQL + """, dt AS (SELECT doc_id, unnest(tokens) AS term FROM toks),
-  st AS (SELECT term, count(*) AS term_count, count(DISTINCT doc_id) AS doc_freq FROM dt GROUP BY term),
+  st AS (SELECT term, count(*) AS term_count, count(DISTINCT doc_id) AS doc_freq FROM dt WHERE length(term) >= 2 GROUP BY term),
   nd AS (SELECT count(DISTINCT doc_id) AS n FROM documents),
   vf AS (SELECT term, term_count, doc_freq FROM st, nd WHERE doc_freq >= 2 AND doc_freq <= 0.95 * n
          ORDER BY term_count DESC, term LIMIT 50000),
@@ -564,8 +664,7 @@ def q_count_vectorize(spark, sf):
 def q_tfidf(spark, sf):
     toks = _docs_tokens(spark, sf)
     vocab = text.count_vectorize(toks, "doc_id", "tokens")
-    n_docs = toks.select("doc_id").distinct().count()
-    return text.tfidf(toks, "doc_id", "tokens", vocab, n_docs).select("doc_id", "term", _r("weight"))
+    return text.tfidf(toks, "doc_id", "tokens", vocab, toks.count()).select("doc_id", "term", _r("weight"))
 
 
 BUILD_VOCAB_SQL = DOCS_TOKENS_SQL + """, bv AS (SELECT term, count(*) AS term_count FROM (SELECT unnest(tokens) AS term FROM toks) GROUP BY term),
@@ -602,7 +701,7 @@ def q_encode_seq(spark, sf):
 def q_pad(spark, sf):
     toks = _docs_tokens(spark, sf)
     vocab = text.build_vocabulary(toks, "tokens")
-    s = text.encode_sequence(toks, "doc_id", "tokens", vocab)
+    s = text.encode_sequence(toks, "doc_id", "tokens", vocab, last=200)
     return text.sequence_matrix(s, "seq", 5000, 200).select("doc_id", F.array_join("padded", " ").alias("padded"))
 
 

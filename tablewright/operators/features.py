@@ -43,10 +43,14 @@ def index_label(col: str, out: str | None = None) -> StringIndexer:
 
 # X3
 def one_hot(cols: Sequence[str], drop_last: bool = False, suffix: str = "_onehot") -> OneHotEncoder:
-    """Indicator vectors of index columns (all levels kept by default)."""
+    """Indicator vectors of index columns: one slot per index, and none for unseen levels.
+
+    The indexer owns unseen levels: one fitted with ``keep`` gives them the last index, which ``drop_last=True``
+    turns into the zero vector; every real level then has a slot and no slot is dead.
+    """
     return OneHotEncoder(
         inputCols=list(cols), outputCols=[c.replace("_index", "") + suffix for c in cols], dropLast=drop_last,
-        handleInvalid="keep",
+        handleInvalid="error",
     )
 
 
@@ -68,7 +72,7 @@ def feature_pipeline(spec: FeatureSpec, out: str = "features", label_out: str =
             inputCols=list(spec.categorical), outputCols=[f"{c}_index" for c in spec.categorical],
             stringOrderType="frequencyDesc", handleInvalid="keep",
         ))
-        stages.append(one_hot([f"{c}_index" for c in spec.categorical]))
+        stages.append(one_hot([f"{c}_index" for c in spec.categorical], drop_last=True))
     stages.append(assemble(list(spec.numeric) + [f"{c}_onehot" for c in spec.categorical], out))
     if spec.label:
         stages.append(index_label(spec.label, label_out))

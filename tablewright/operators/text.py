@@ -21,6 +21,10 @@ from tablewright.plans.parallel import spread
 from tablewright.session import ensure_checkpoint_dir
 
 
+# width of a model's input vectors
+MAX_VECTOR_TERMS = 2_000_000
+
+
 # T7
 def clean_text(
     df: DataFrame,
@@ -65,9 +69,20 @@ def _terms(df: DataFrame, tokens_col: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.explode_outer(tokens_col).alias("term")).filter(F.col("term").isNotNull())
 
 
-def _doc_terms(df: DataFrame, doc_col: str, tokens_col: str) -> DataFrame:
-    """(doc, term, tf) with the per-document counts combined map-side."""
-    return _terms(df, tokens_col, doc_col).groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def _term_flags(df: DataFrame, tokens_col: str, min_len: int) -> DataFrame:
+    """One row per token of ``min_len`` characters or more with ``first``: 1 for one occurrence of each term in its row, else 0.
+
+    The row's tokens are sorted, so a term's first occurrence differs from the
+    token before it: document frequencies come from the same single explode as
+    the counts, without a shuffle by document.
+    """
+    held = F.sort_array(F.filter(F.col(tokens_col), lambda x: F.length(x) >= F.lit(int(min_len))))
+    rows = df.select(held.alias("_tw_t"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_tw_t"))
+    flags = F.zip_with("_tw_t", F.slice(before, 1, F.size("_tw_t")), lambda x, y: F.struct(
+        x.alias("term"), F.when(x.eqNullSafe(y), 0).otherwise(1).alias("first")))
+    out = rows.where(F.size("_tw_t") > 0).select(flags.alias("_tw_f"))
+    return out.select(F.explode_outer("_tw_f").alias("_tw_x")).select("_tw_x.term", "_tw_x.first")
 
 
 # T9
@@ -78,20 +93,23 @@ def count_vectorize(
     max_df: float = 0.95,
     min_df: float = 2,
     max_features: int | None = 50_000,
+    min_len: int = 2,
 ) -> DataFrame:
     """Vocabulary with document-frequency bounds and a size cap.
 
+    Terms have ``min_len`` characters or more (two: the vectoriser's token rule).
+
     Returns (term, term_count, doc_freq, term_index); ``term_index`` is the
     alphabetical position, the slot order of the resulting count vectors.
     Fractions in ``max_df``/``min_df`` are shares of the documents, integers
     absolute counts.  The cap keeps the ``max_features`` most frequent terms
     (ties by term).
     """
-    n_docs = df.select(doc_col).distinct().count()
+    n_docs = df.count()  # a document is a row
     hi = max_df * n_docs if isinstance(max_df, float) else max_df
     lo = min_df * n_docs if isinstance(min_df, float) and min_df < 1 else min_df
-    stats = _doc_terms(df, doc_col, tokens_col).groupBy("term").agg(
-        F.sum("tf").alias("term_count"), F.count(F.lit(1)).alias("doc_freq")
+    stats = _term_flags(df, tokens_col, min_len).groupBy("term").agg(
+        F.count(F.lit(1)).alias("term_count"), F.sum("first").alias("doc_freq")
     )
     stats = stats.filter((F.col("doc_freq") >= F.lit(lo)) & (F.col("doc_freq") <= F.lit(hi)))
     if max_features:
@@ -112,21 +130,38 @@ def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
 
 # T10
 def tfidf(
-    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int, max_vocab_rows: int = 1_000_000
+    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int, max_vocab_rows: int = 200_000
 ) -> DataFrame:
     """Long-form L2-normalised TF-IDF weights (doc, term, weight).
 
-    ``vocab`` comes from ``count_vectorize`` and is capped at
-    ``max_features`` rows, which is the proven bound for its broadcast.
+    A document is one row: its terms are counted, weighted and normalised in
+    the row, against the vocabulary from ``count_vectorize``, and exploded
+    last, without a shuffle.  A vocabulary of more than ``max_vocab_rows``
+    terms is joined by a shuffle instead.
     """
-    # at most max_features rows: written once, then counted and broadcast from the checkpoint
     ensure_checkpoint_dir(df.sparkSession)
     idf = idf_table(vocab, n_docs).select("term", "idf").checkpoint(eager=True)
-    n_vocab = idf.count()
-    if n_vocab > max_vocab_rows:
-        raise ValueError(f"vocabulary of {n_vocab} terms is too large to broadcast; cap it with max_features")
-    terms = _doc_terms(df, doc_col, tokens_col).join(F.broadcast(idf), "term")
-    terms = terms.select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    if idf.count() > max_vocab_rows:
+        return _tfidf_shuffled(df, doc_col, tokens_col, idf)
+    rows = idf.orderBy("term").collect()  # at most max_vocab_rows
+    if not rows:
+        return _tfidf_shuffled(df, doc_col, tokens_col, idf)
+    model = _vector_model([r["term"] for r in rows], [r["idf"] for r in rows], tokens_col, "_tw_features")
+    filled = df.select(doc_col, F.coalesce(F.col(tokens_col), F.array().cast("array<string>")).alias(tokens_col))
+    vectors = model.transform(filled).select(doc_col, F.unwrap_udt("_tw_features").alias("v"))
+    pairs = F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("w"))
+    long = vectors.select(doc_col, F.explode(pairs).alias("x")).where(F.col("x.w") != 0)
+    terms = df.sparkSession.createDataFrame([(i, r["term"]) for i, r in enumerate(rows)], "i int, term string")
+    # at most max_vocab_rows rows
+    out = long.select(doc_col, F.col("x.i").alias("_tw_i"), F.col("x.w").alias("weight")).join(
+        F.broadcast(terms), F.col("_tw_i") == F.col("i"))
+    return out.select(doc_col, "term", "weight")
+
+
+def _tfidf_shuffled(df: DataFrame, doc_col: str, tokens_col: str, idf: DataFrame) -> DataFrame:
+    """T10 for a vocabulary of any size: counts by (doc, term), joined on the term."""
+    counts = _terms(df, tokens_col, doc_col).groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = counts.join(idf, "term").select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
     # norms by a map-side-combined aggregation joined back on the document (not a
     # window), so an oversized document can be split by AQE's skew-join handling
     norms = terms.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_tw_norm"))
@@ -134,6 +169,12 @@ def tfidf(
     return out.select(doc_col, "term", F.try_divide(F.col("w"), F.col("_tw_norm")).alias("weight"))
 
 
+def _vector_model(terms: list[str], idf: list[float], tokens_col: str, out: str) -> PipelineModel:
+    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="_tw_counts")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tw_counts", outputCol="_tw_tfidf")
+    return PipelineModel([cv, scale, Normalizer(p=2.0, inputCol="_tw_tfidf", outputCol=out)])
+
+
 # T11
 def encode_text_model(
     train: DataFrame, doc_col: str, tokens_col: str, out: str = "features", **vocab_params
@@ -144,13 +185,11 @@ def encode_text_model(
     only things that reach the driver.
     """
     vocab = count_vectorize(train, doc_col, tokens_col, **vocab_params)
-    n_docs = train.select(doc_col).distinct().count()
-    rows = idf_table(vocab, n_docs).orderBy("term_index").select("term", "idf").collect()
-    terms = [r["term"] for r in rows]
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="_tw_counts")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tw_counts", outputCol="_tw_tfidf")
-    norm = Normalizer(p=2.0, inputCol="_tw_tfidf", outputCol=out)
-    return PipelineModel([cv, scale, norm]), vocab
+    held = vocab.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if held > MAX_VECTOR_TERMS:
+        raise ValueError(f"{held} terms: vectors need a vocabulary of at most {MAX_VECTOR_TERMS}; set max_features")
+    rows = idf_table(vocab, train.count()).orderBy("term_index").select("term", "idf").collect()
+    return _vector_model([r["term"] for r in rows], [r["idf"] for r in rows], tokens_col, out), vocab
 
 
 # T12 / L2
@@ -170,6 +209,9 @@ def rank_terms(vocab: DataFrame) -> DataFrame:
     return ranked
 
 
+SALTS = 16
+
+
 # T13
 def encode_sequence(
     df: DataFrame,
@@ -180,22 +222,31 @@ def encode_sequence(
     out: str = "seq",
     hot_terms: int = 10_000,
     first_id: int = 2,
+    last: int | None = None,
 ) -> DataFrame:
-    """Tokens -> ids in order; unknown terms -> ``unknown_id``.
+    """Tokens -> ids in order; unknown terms -> ``unknown_id``.  ``last`` keeps only a document's last tokens.
 
     The most frequent ``hot_terms`` ids are looked up through a broadcast
-    (bounded by ``hot_terms`` rows); the long tail goes through a shuffle
-    join whose keys are, by construction, not hot.  Documents are then
-    re-assembled with an ordered ``collect_list`` per document.
+    (bounded by ``hot_terms`` rows).  The other tokens are first reduced to
+    their distinct terms per task and term (map side), looked up once per
+    distinct term, and the ids come back through a salted join: a frequent
+    term that the vocabulary lacks is dealt to ``SALTS`` tasks.  Documents are
+    then re-assembled with an ordered ``collect_list`` per document.
     """
+    if last is not None:
+        held = F.col(tokens_col)
+        df = df.withColumn(tokens_col, F.slice(held, F.greatest(F.size(held) - int(last) + 1, F.lit(1)), int(last)))
     cutoff = first_id + hot_terms  # ids are dense from first_id in frequency order (build_vocabulary)
     hot = vocab.filter(F.col("term_id") < F.lit(cutoff)).select(F.col("term").alias("_h_term"), F.col("term_id").alias("_h_id"))
     cold = vocab.filter(F.col("term_id") >= F.lit(cutoff)).select(F.col("term").alias("_c_term"), F.col("term_id").alias("_c_id"))
     toks = df.select(doc_col, F.posexplode_outer(tokens_col).alias("pos", "term")).filter(F.col("term").isNotNull())
     toks = toks.join(F.broadcast(hot), F.col("term") == F.col("_h_term"), "left")
     matched = toks.filter(F.col("_h_id").isNotNull()).select(doc_col, "pos", F.col("_h_id").alias("id"))
-    rest = toks.filter(F.col("_h_id").isNull()).select(doc_col, "pos", "term")
-    rest = rest.join(cold, F.col("term") == F.col("_c_term"), "left").select(
+    rest = toks.filter(F.col("_h_id").isNull()).select(
+        doc_col, "pos", "term", F.pmod(F.xxhash64(doc_col, "pos"), F.lit(SALTS)).alias("salt"))
+    known = rest.select("term", "salt").distinct().join(cold, F.col("term") == F.col("_c_term"))
+    known = known.select(F.col("term").alias("_k_term"), F.col("salt").alias("_k_salt"), "_c_id")
+    rest = rest.join(known, (F.col("term") == F.col("_k_term")) & (F.col("salt") == F.col("_k_salt")), "left").select(
         doc_col, "pos", F.coalesce(F.col("_c_id"), F.lit(unknown_id)).alias("id")
     )
     ids = matched.unionByName(rest)
