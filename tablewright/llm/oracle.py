@@ -31,3 +31,41 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_
   coalesce(r.spans, '') AS hit_spans
 FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid) LEFT JOIN r USING (rid)
 """
+
+# the tree of sharding.layout: 3 regions of 4 racks of 2 shards, and shard 24 in a region of its own
+ORACLE["op1_sharding"] = r"""
+WITH RECURSIVE leaf(n, region, rack, shard) AS (
+  SELECT n, CASE WHEN s < 24 THEN s // 8 ELSE 3 + s - 24 END, CASE WHEN s < 24 THEN s // 2 % 4 ELSE 0 END, s
+  FROM (VALUES (24), (25)) v(n), range(25) r(s) WHERE s < n),
+node AS (
+  SELECT n, '' AS parent, region::VARCHAR AS name, count(*)::DOUBLE AS weight FROM leaf GROUP BY n, region
+  UNION ALL SELECT n, region::VARCHAR, region || '/' || rack, count(*)::DOUBLE FROM leaf GROUP BY n, region, rack
+  UNION ALL SELECT n, region || '/' || rack, region || '/' || rack || '/' || shard, 1.0 FROM leaf),
+doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body, coalesce(doc_id::VARCHAR, '') AS key FROM documents),
+keys AS (SELECT DISTINCT key FROM doc),
+score AS (
+  SELECT key, n, parent, name,
+    -ln((('0x' || substr(md5(key || '|' || name), 1, 8))::BIGINT + 0.5) / 4294967296.0) / weight AS score FROM keys, node),
+pick AS (
+  SELECT key, n, parent, arg_min(name, score) AS name FROM score GROUP BY key, n, parent),
+place AS (
+  SELECT a.key, a.n, c.name AS path FROM pick a JOIN pick b ON b.key = a.key AND b.n = a.n AND b.parent = a.name
+  JOIN pick c ON c.key = a.key AND c.n = a.n AND c.parent = b.name WHERE a.parent = ''),
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
+crc AS (
+  SELECT rid, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(body)), '..'),
+    lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS text_crc32
+  FROM doc, crc_table),
+r AS (
+  SELECT doc.doc_id, doc.key, octet_length(encode(body)) + 8 AS size, text_crc32, string_split(p.path, '/') AS p,
+    string_split(g.path, '/') AS g
+  FROM doc JOIN crc USING (rid) JOIN place p ON p.key = doc.key AND p.n = 24 JOIN place g ON g.key = doc.key AND g.n = 25)
+SELECT doc_id, size, text_crc32, 'key' AS law, p[1]::INTEGER AS region, p[2]::INTEGER AS rack, p[3]::INTEGER AS shard,
+  g[3]::INTEGER AS grown_shard,
+  row_number() OVER (PARTITION BY p[3] ORDER BY md5(key), doc_id, text_crc32, size) - 1 AS slot
+FROM r
+"""
