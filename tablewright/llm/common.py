@@ -44,7 +44,7 @@ def utf8(column: str) -> Column:
 
 
 def scan(
-    df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: StructType, rows: int = 2000
+    df: DataFrame, make: Callable[[], Callable[[list], list[tuple]]], schema: StructType, rows: int = 500
 ) -> DataFrame:
     """Map blocks of at most ``rows`` rows to result tuples; ``make`` builds a task's worker function once."""
     names = df.columns
@@ -52,16 +52,21 @@ def scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                block = batch.slice(at, rows)
-                out = work([block.column(i).to_pylist() for i in range(len(names))])
-                columns = list(zip(*out)) if out else [()] * len(arrow)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        for block in sliced(batches, rows):
+            out = work([block.column(i).to_pylist() for i in range(len(names))])
+            columns = list(zip(*out)) if out else [()] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a worker turns few texts into Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _arrow_type(name: str) -> pa.DataType:
     if name.startswith("array<"):
         return pa.list_(_arrow_type(name[6:-1]))
@@ -104,7 +109,7 @@ def crc_column(column: str) -> Column:
 class WordHash(dict):
     """word -> 64-bit hash, remembered up to a bound."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from tablewright.llm.common import cut, documents, fold, rolling, scan, segments, utf8
+from tablewright.llm.common import cut, documents, fold, rolling, scan, segments, sliced, utf8
 
 WIDTH = 10
 BLOCK_BYTES = 32 << 20
@@ -189,7 +189,7 @@ def remove(
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent, key=key) -> Iterator[pa.RecordBatch]:
             found = _window_set(key, lambda: sent.value, width)
-            for batch in batches:
+            for batch in sliced(batches):
                 bodies = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
                 clean = [b.as_py() is None or next(found.hits(found.numbers(b.as_py())), None) is None for b in bodies]
                 yield batch.filter(pa.array(clean, pa.bool_()))

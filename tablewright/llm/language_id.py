@@ -26,14 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tablewright.llm.common import crc_column, documents, mix, scan
+from tablewright.llm.common import crc_column, documents, mix, scan, sliced
 
 BITS = 20
 HASHES = 3
 SIZES = (4,)
 MIN_SHARE = 0.005
 MAX_LANGUAGES = 1024
-PIECE = 1 << 19
+PIECE = 1 << 18
 UNDETERMINED = "und"
 REJECT_BELOW = 0.2
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -207,9 +207,8 @@ def keep_known(df: DataFrame, filters: Filters, text: str = "text", least: float
     sent = df.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            found = [p for at in range(0, len(texts), 500) for p in sent.value.predict(texts[at : at + 500])]
+        for batch in sliced(batches):
+            found = sent.value.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
             yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in found], pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

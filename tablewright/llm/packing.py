@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tablewright.llm.common import documents, utf8
+from tablewright.llm.common import documents, sliced, utf8
 from tablewright.llm.quality_rules import pieces
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
 WINDOW = 4096
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 1_000_000
 BLOCK = 400
 K1, B = 1.2, 0.75
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -44,7 +44,7 @@ LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 class Ids:
     """Chunk -> ids as little-endian uint32 bytes; the two latest generations of chunks are remembered."""
 
-    LIMIT = 600_000
+    LIMIT = 300_000
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
@@ -224,18 +224,16 @@ def pack(
                     arrays.append(pa.array([p.tolist() for p in cols[5]], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
-        for batch in batches:
+        for batch in sliced(batches, BLOCK):
             kind = batch.schema.field(0).type
-            ids, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), BLOCK):
-                doc_ids += ids[at : at + BLOCK]
-                new = tokens.of(bodies[at : at + BLOCK])
-                docs += new
-                held += sum(map(len, new))
-                if held >= shard_tokens:
-                    packer.shard(doc_ids, docs)
-                    doc_ids, docs, held = [], [], 0
-                    yield from out()
+            doc_ids += batch.column(0).to_pylist()
+            new = tokens.of(batch.column(1).to_pylist())
+            docs += new
+            held += sum(map(len, new))
+            if held >= shard_tokens:
+                packer.shard(doc_ids, docs)
+                doc_ids, docs, held = [], [], 0
+                yield from out()
         if docs:
             packer.shard(doc_ids, docs)
         packer.close()

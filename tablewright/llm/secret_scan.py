@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
-from tablewright.llm.common import cut, documents, scan, utf8
+from tablewright.llm.common import cut, documents, scan, sliced, utf8
 from tablewright.llm.spans import Span, digest, joined, replace, to_code_points
 
 KINDS = ("assign", "access", "hex", "model")
@@ -309,7 +309,7 @@ def redact(df: DataFrame, judge: Judge | None, text: str = "text", length: str =
     sent = df.sparkSession.sparkContext.broadcast(judge)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             at = batch.schema.get_field_index(text)
             bodies = batch.column(at).cast(pa.binary()).to_pylist()
             changed = {}
