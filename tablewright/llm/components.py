@@ -16,8 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours, then jumps to the label's label, so the number of
     rounds grows with the logarithm of a component's diameter.
     """
-    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = cut(both.where(F.col("a") != F.col("b")).distinct())
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = cut(edges.where(F.col("a") != F.col("b")).select(F.inline(ways)).distinct())
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select(
         "id", F.least("id", "m").alias("root")))
     for _ in range(MAX_ROUNDS):

@@ -5,7 +5,7 @@
 2. Chosen paths: a run starts with all sets in one node.  A node samples some of the tokens' places (each with
    probability 1 / (threshold * places), one at least) and sends every set to a child for each sampled token, so sets
    that share the token meet.  Children of at most ``LEAF`` sets are compared by brute force.  In larger ones every
-   set is compared with a pivot, sets very close to the pivot stop there, and the others are split again on newly
+   set is compared with ``PIVOTS`` pivots, sets close to one stop there, and the others are split again on newly
    sampled tokens.  Enough runs are made that a pair at the threshold is met with probability ``RECALL``
    (``runs_for``).  Comparisons use the tokens, at a bar low enough (``CANDIDATE``) to keep every pair at the
    threshold; what they give are candidate edges, at most one per set and node.
@@ -13,8 +13,9 @@
    shingle sets (32-bit hashes); groups larger than ``BLOCK`` in pairs of blocks, one task each.  This counts every
    link and gives the final edges; their components are the classes.
 
-Why stopping at a pivot loses no pair: if J(x, pivot) >= 0.9 and J(x, y) >= 0.8, the Jaccard distance's triangle
-inequality gives J(y, pivot) >= 0.7, so y is a candidate of the same pivot.
+Why stopping at a pivot loses no pair: if J(x, pivot) >= 0.75 and J(x, y) >= 0.8, the Jaccard distance's triangle
+inequality gives J(y, pivot) >= 0.55, so y is a candidate of the same pivot (``PIVOT_CANDIDATE``).  A group of alike
+texts, however large, thus ends at its first pivots.
 
 Copies are counted, never paired.  Nothing is capped: a large group costs more tasks, not more memory in one.
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tablewright.llm.common import WordHash, cut, documents, fold, mix, rolling, scan, segments, utf8
+from tablewright.llm.common import WordHash, cut, documents, fold, mix, rolling, scan, segments, sliced, utf8
 from tablewright.llm.components import components
 
 WORDS = 5
@@ -42,10 +43,12 @@ THRESHOLD = 0.8
 COORDINATES = 64
 RECALL = 0.995
 LEVELS = 3
-LEAF = 128
+LEAF = 1000
 MAX_LEVELS = 12
 CANDIDATE = 0.65
-STOP = 0.9
+PIVOTS = 8
+PIVOT_CANDIDATE = 0.45
+STOP = 0.75
 BLOCK = 1024
 FILTER_BITS = 26
 _SALTS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -192,21 +195,29 @@ STEP = StructType([
 
 
 def _pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, sid, tokens, pivot, pivot's tokens) -> candidate edges to the pivot, and child nodes of the others."""
+    """(node, sid, tokens, pivots, pivots' tokens) -> candidate edges to the pivots, and child nodes of sets far from all."""
     places: dict[int, np.ndarray] = {}
     for batch in batches:
-        if not batch.num_rows:
+        n = batch.num_rows
+        if not n:
             continue
         nodes, sids, _, pivots, _ = (batch.column(i).to_pylist() for i in range(5))
-        own, other = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 4)
-        )
-        alike = (own == other).mean(axis=1)
-        out = [(s, p, None) for s, p, x in zip(sids, pivots, alike) if x >= CANDIDATE and s != p]
-        for r in np.flatnonzero(alike < STOP).tolist():
+        own = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(n, 1, -1)
+        other = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(n, PIVOTS, -1)
+        alike = (own == other).mean(axis=2)
+        out, joined = [], {}
+        for r in np.flatnonzero(alike.max(axis=1) >= PIVOT_CANDIDATE).tolist():
+            near = np.flatnonzero(alike[r] >= PIVOT_CANDIDATE).tolist()
+            union = joined.setdefault(nodes[r], Union(PIVOTS))
+            for k in near:  # to one pivot, and to those that no earlier set has joined to it
+                if k == near[0] or union.find(k) != union.find(near[0]):
+                    union.join(k, near[0])
+                    if (p := pivots[r][16 * k : 16 * k + 16]) != sids[r]:
+                        out.append((sids[r], p, None))
+        for r in np.flatnonzero(alike.max(axis=1) < STOP).tolist():
             if (node := nodes[r]) not in places:
                 places[node] = sampled(node)
-            out += [(sids[r], None, c) for c in children(node, places[node], own[r][places[node]]).tolist()]
+            out += [(sids[r], None, c) for c in children(node, places[node], own[r, 0][places[node]]).tolist()]
         columns = list(zip(*out)) if out else [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int64()))], names=["a", "b", "node"])
@@ -220,32 +231,34 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
     """Edges (a, b) between sets (sid, tokens, nodes) that meet on a chosen path and look alike."""
     members = sets.select("sid", F.explode("nodes").alias("node"))
     tokens = sets.select(F.col("sid").alias("s"), "tokens")
-    edges = None
-
-    def add(more: DataFrame) -> None:
-        nonlocal edges
-        edges = more if edges is None else edges.unionAll(more)
-
+    edges = leaves = None
     for level in range(MAX_LEVELS + 1):
         sizes = members.groupBy(F.col("node").alias("n")).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         met = members.join(sizes, F.col("node") == F.col("n")).select("node", "sid", "size")
         met = cut(met.join(tokens, F.col("sid") == F.col("s")).select("node", "sid", "tokens", "size"))
         small = met.where(F.col("size") <= LEAF).select("node", "sid", "tokens")
-        add(_ordered(small, "node").mapInArrow(grouped(_leaf, EDGE), EDGE))
+        leaves = small if leaves is None else leaves.unionAll(small)
         large = met.where(F.col("size") > LEAF)
         if not large.limit(1).count():
             break
-        if level == MAX_LEVELS:
-            add(_ordered(_block_pairs(large.withColumn("group", F.col("node")), LEAF).select("key", "sid", "tokens"), "key")
-                .mapInArrow(grouped(_leaf, EDGE), EDGE))
+        if level == MAX_LEVELS:  # the exact way for what is still large: all pairs, in pairs of blocks
+            dealt = _block_pairs(large.withColumn("group", F.col("node")), LEAF)
+            leaves = leaves.unionAll(dealt.select(F.col("key").alias("node"), "sid", "tokens"))
             break
-        pick = F.min(F.struct(F.xxhash64("node", "sid").alias("h"), "sid", "tokens")).alias("p")
-        pivots = large.groupBy(F.col("node").alias("n")).agg(pick).select("n", F.col("p.sid").alias("pivot"), F.col("p.tokens").alias("pt"))
-        paired = large.join(pivots, F.col("node") == F.col("n")).select("node", "sid", "tokens", "pivot", "pt")
+        # one smallest hash each; a node may draw the same set twice
+        picks = [F.min(F.struct(F.xxhash64("node", "sid", F.lit(i)).alias("h"), "sid", "tokens")).alias(f"p{i}") for i in range(PIVOTS)]
+        drawn = large.groupBy(F.col("node").alias("n")).agg(*picks)
+        every = range(PIVOTS)
+        pivots = drawn.select(
+            "n", F.concat(*[F.col(f"p{i}.sid") for i in every]).alias("pivots"),
+            F.concat(*[F.col(f"p{i}.tokens") for i in every]).alias("pt"))
+        paired = large.join(pivots, F.col("node") == F.col("n")).select("node", "sid", "tokens", "pivots", "pt")
         step = cut(paired.mapInArrow(_pivot, STEP))
-        add(step.where(F.col("node").isNull()).select("a", "b"))
+        more = step.where(F.col("node").isNull()).select("a", "b")
+        edges = more if edges is None else edges.unionAll(more)
         members = step.where(F.col("node").isNotNull()).select(F.col("a").alias("sid"), "node").distinct()
-    return edges
+    compared = _ordered(leaves, "node").mapInArrow(grouped(_leaf, EDGE), EDGE)
+    return compared if edges is None else edges.unionAll(compared)
 
 
 def _block_pairs(df: DataFrame, block: int) -> DataFrame:
@@ -427,7 +440,7 @@ def keep_one(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     def split(alone: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, held = WordHash(), sent.value
-            for batch in batches:
+            for batch in sliced(batches):
                 keys = []
                 for body in batch.column(batch.schema.get_field_index(text)).cast(pa.binary()):
                     values = shingles(body.as_py() or b"", hashes)
