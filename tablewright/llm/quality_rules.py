@@ -3,7 +3,7 @@
 Each document's words are numbered, a suffix array is built by prefix doubling, and the longest common prefixes of
 neighbouring suffixes come from the doubling ranks.  The longest-common-prefix intervals are the maximal repeated
 substrings; the union of their occurrences of ``MIN_REPEAT`` words or more must cover at most ``MAX_COVERED`` of the
-words, and the longest repeat may not exceed ``MAX_LONGEST`` words and ``MAX_LONGEST_SHARE`` of the words at once.
+words, and the longest repeat may not exceed ``MAX_LONGEST`` words, however little of the document it covers.
 
 Nulls: a null text has no words, so it fails the base rule of 20 words.  Repeated rows are judged one by one, other
 columns are ignored.  A document is one unit of work: memory is a few dozen bytes a word.
@@ -26,7 +26,6 @@ WINDOW = 8
 MIN_REPEAT = 6
 MAX_COVERED = 0.3
 MAX_LONGEST = 50
-MAX_LONGEST_SHARE = 0.2
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
 
@@ -160,7 +159,7 @@ def rules(text: bytes) -> tuple:
     lines = Counter(line for line in text.split(b"\n") if line.strip(SPACES))
     repeat, cover, longest, maximal = repetition(ids)
     failed = n < MIN_WORDS or 100 * repeat > 30 * n
-    kept = not failed and cover <= MAX_COVERED * n and not (longest > MAX_LONGEST and longest > MAX_LONGEST_SHARE * n)
+    kept = not failed and cover <= MAX_COVERED * n and longest <= MAX_LONGEST
     share = cover / n if n else 0.0
     return n, chars - spaces, symbols, sum(lines.values()) - len(lines), repeat, failed, kept, share, longest, maximal
 

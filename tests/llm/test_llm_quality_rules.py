@@ -65,6 +65,16 @@ def test_verdict():
     assert q.rules(once.encode())[8] == 60
 
 
+def test_one_long_repeat_decides_alone():
+    for n, size in ((5000, 700), (5000, q.MAX_LONGEST + 1), (400, q.MAX_LONGEST + 1)):
+        words = [f"w{i}" for i in range(n - size)]
+        found = q.rules(" ".join(words + words[:size]).encode())
+        assert found[5] is False and found[7] <= q.MAX_COVERED and found[8] == size
+        assert found[6] is False
+    words = [f"w{i}" for i in range(400)]
+    assert q.rules(" ".join(words + words[: q.MAX_LONGEST]).encode())[6] is True
+
+
 def test_odd_rows_and_empty_table(spark, tmp_path):
     rows = q.op4_quality_rules(spark, saved(odd_documents(spark), tmp_path / "odd")).collect()
     assert len(rows) == len(TEXTS)
