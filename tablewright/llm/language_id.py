@@ -1,13 +1,16 @@
 """Language identification with bit-sliced Bloom filters of character n-grams.
 
-Learning: for every language, the n-grams of letters (with word edges) that at least ``MIN_SHARE`` of its documents
-hold.  All languages share one table of ``2**BITS`` rows; each n-gram of a language sets that language's bit in
+Learning: for every language, the n-grams of one to four letters (with word edges) that at least ``MIN_SHARE`` of its
+documents hold; the short ones carry scripts without spaces and short texts.  All languages share one table of ``2**BITS`` rows; each n-gram of a language sets that language's bit in
 ``HASHES`` rows, so the AND of an n-gram's rows is the bitmask of all languages that contain it.  Counting runs
-in Spark (n-grams per block first, then a sum by n-gram); only the table's rows, a fixed number, reach the driver.
+in Spark (n-grams per block first, then a sum by n-gram); only the table's rows reach the driver, ``2**BITS`` bytes for
+each eight languages.  No language is left out.
 
 Prediction: every n-gram occurrence of the whole text is looked up; the popcount of each language's bit, less the
 share expected from its filter's false positives, decides.  Ties go to the language with more learned documents, then
-to the smaller name; a text too short for any n-gram gets the first language with score 0.
+to the smaller name; a text with letters of which no n-gram is known gets the first language with score 0.
+``keep_known`` drops what is undetermined and nothing else: the score's height depends on script, length and subject,
+so it's no ground to drop a text.
 
 Nulls and odd input: a null text or one without a letter is ``und`` with score 0; a null language is not learned
 from; without any learned language everything is ``und``.  Texts of any length are worked through in pieces.
@@ -16,6 +19,7 @@ Repeated rows are judged one by one; other columns pass through ``keep_known`` u
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -30,12 +34,10 @@ from tablewright.llm.common import crc_column, documents, mix, scan, sliced
 
 BITS = 20
 HASHES = 3
-SIZES = (4,)
+MAX_SIZE = 4
 MIN_SHARE = 0.005
-MAX_LANGUAGES = 1024
 PIECE = 1 << 18
 UNDETERMINED = "und"
-REJECT_BELOW = 0.2
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -64,19 +66,17 @@ def _hashed(held: list[str], owners: list[int]) -> Iterator[tuple[np.ndarray, np
     number = np.repeat(np.array(owners, np.int64), [len(x) for x in held])
     space = points == 32
     out_n, out_h = [], []
-    for size in SIZES:
+    value, inner = np.ones(len(points), np.uint64), np.zeros(len(points), bool)
+    for size in range(1, MAX_SIZE + 1):
         m = len(points) - size + 1
         if m <= 0:
-            continue
-        value = np.full(m, size, np.uint64)
-        inner = np.zeros(m, bool)
-        for j in range(size):
-            value *= np.uint64(0x100000001B3)
-            value += points[j : j + m]
-            if 0 < j < size - 1:
-                inner |= space[j : j + m]
+            break
+        value = value[:m] * np.uint64(0x100000001B3) + points[size - 1 :]
+        inner = inner[:m]
+        if size > 2:
+            inner = inner | space[size - 2 : size - 2 + m]
         # no n-gram spans two words: a space may only be its first or last point, and not both beside each other
-        good = ~inner & ~(space[:m] & space[size - 1 : size - 1 + m]) & (number[:m] == number[size - 1 : size - 1 + m])
+        good = ~inner & ~(space[:m] & space[size - 1 :]) & (number[:m] == number[size - 1 :])
         out_n.append(number[:m][good])
         out_h.append(mix(value[good]))
     if any(map(len, out_n)):
@@ -106,7 +106,7 @@ class Filters:
         for number, hashes in grams(texts):
             total += np.bincount(number, minlength=n)
             rows = _rows_of(hashes, bits, k)
-            low, high = int(number[0]), int(number[-1]) + 1
+            low, high = int(number.min()), int(number.max()) + 1
             for b, plane in enumerate(self.table):
                 masks = plane[rows[0]]
                 for r in rows[1:]:
@@ -131,7 +131,7 @@ class Filters:
 def learn(df: DataFrame, lang: str = "lang", text: str = "text", min_share: float = MIN_SHARE) -> Filters:
     """Filters from all rows with a non-null language.  Languages are ordered by learned documents, then name."""
     rows = df.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = [r["lang"] for r in sizes]
     if not languages:
         return Filters([], np.zeros((1, 1 << BITS), np.uint8), np.zeros(0))
@@ -156,8 +156,8 @@ def learn(df: DataFrame, lang: str = "lang", text: str = "text", min_share: floa
 
     schema = StructType([StructField("l", LongType()), StructField("gram", LongType()), StructField("n", LongType())])
     frequent = scan(rows, make, schema).groupBy("l", "gram").agg(F.sum("n").alias("n"))
-    limit = F.create_map(*[x for i, v in enumerate(least) for x in (F.lit(i).cast("long"), F.lit(float(v)))])
-    frequent = frequent.where(F.col("n") >= limit[F.col("l")]).select("l", "gram")
+    limit = F.from_json(F.lit(json.dumps(least)), "array<double>")
+    frequent = frequent.where(F.col("n") >= limit[F.col("l").cast("int")]).select("l", "gram")
 
     def make_rows() -> Callable:
         def work(columns: list) -> list[tuple]:
@@ -202,8 +202,8 @@ def predict(df: DataFrame, filters: Filters, keep: list[str], text: str = "text"
     return scan(df.select(*keep, F.col(text).alias("_text")), make, schema, rows=500)
 
 
-def keep_known(df: DataFrame, filters: Filters, text: str = "text", least: float = REJECT_BELOW) -> DataFrame:
-    """The rows whose language is determined with a score of at least ``least``; every column stays as it is."""
+def keep_known(df: DataFrame, filters: Filters, text: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows whose language is determined (with a score of at least ``least``); every column stays as it is."""
     sent = df.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

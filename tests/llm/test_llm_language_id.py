@@ -39,6 +39,45 @@ def test_more_than_eight_languages(spark):
     assert [p[0] for p in f.predict([f"{n}wort{n}" for n in names])] == names
 
 
+CLEAN = [
+    ("zh", "我们今天去公园散步天气很好"), ("zh", "图书馆里有许多新书"), ("zh", "他每天早上喝一杯茶"),
+    ("ja", "きのうは雨が降りました"), ("ja", "カタカナとひらがなを学ぶ"), ("ja", "駅まで歩いて行きます"),
+    ("th", "วันนี้อากาศดีมาก"), ("th", "ฉันชอบอ่านหนังสือ"), ("en", "a b c"), ("en", "ok"), ("en", "Zbigniew Brzezinski"),
+    ("en", "for (int i = 0; i < n; i++) x[i] = y[i];"),
+]
+
+
+def test_stage_keeps_clean_short_and_unspaced_texts(spark):
+    import corpus_pipeline as cp
+
+    # 400 documents of each language, so that an n-gram of one document is below MIN_SHARE
+    filler = {"zh": range(0x4E00, 0x4F00), "ja": [*range(0x3041, 0x3090), *range(0x30A1, 0x30F0)], "th": range(0x0E01, 0x0E2E),
+              "en": range(ord("a"), ord("z") + 1)}
+    rows = []
+    for lang, points in filler.items():
+        step = 5 if lang == "en" else 14
+        for i in range(400):
+            held = [chr(points[zlib.crc32(f"{lang}{i}-{j}".encode()) % len(points)]) for j in range(28)]
+            rows.append((len(rows), lang, " ".join("".join(held[k : k + step]) for k in range(0, 28, step))))
+    clean = [(10_000 + i, lang, text) for i, (lang, text) in enumerate(CLEAN)]
+    none = [(20_000, "en", "123 456"), (20_001, "en", None), (20_002, "en", "")]
+    docs = spark.createDataFrame(rows + clean + none, "doc_id long, lang string, text string")
+    kept = cp.known_language(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows + clean}
+    found = {r.doc_id: r for r in li.predict(docs, li.learn(docs), ["doc_id"]).collect()}
+    for i, lang, _ in clean:
+        if lang != "zh":  # the filler holds few of its characters
+            assert found[i].lang_pred == lang and found[i].score > 0, i
+
+
+def test_no_language_is_left_out(spark):
+    names = [f"l{i:04d}" for i in range(1030)]
+    word = {n: "".join(chr(97 + int(c)) for c in n[1:]) for n in names}
+    f = li.learn(spark.createDataFrame([(n, f"x{word[n]}") for n in names], "lang string, text string"))
+    assert f.languages == names
+    assert f.predict([f"x{word[n]}" for n in names[-3:]]) == [(n, f.predict([f"x{word[n]}"])[0][1]) for n in names[-3:]]
+
+
 def test_odd_rows_and_empty_table(spark, tmp_path):
     folder = saved(odd_documents(spark), tmp_path / "odd")
     rows = li.op8_language_id(spark, folder).collect()
