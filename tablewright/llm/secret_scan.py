@@ -2,7 +2,8 @@
 
 Candidates are the rules' findings and every run of key characters of ``MIN_TOKEN`` or more with a digit.  The
 network (numpy: embedding, one convolution, max over time, logistic output) reads the candidate with its surrounding
-context.  It is trained on labelled findings: rule findings are positive; runs that are plainly something else
+context.  A run is read whole: in overlapping windows of ``INSIDE`` bytes, and each part between ``/ . =`` by itself; its
+score is the highest, and the parts that reach the threshold are what is added.  It is trained on labelled findings: rule findings are positive; runs that are plainly something else
 (addresses, host names, IPs, numbers) are negative; all others are unlabelled and only scored.  At most
 ``SAMPLE`` distinct windows of each kind and label train it, chosen by hash from all documents.  A held-out part of that sample
 calibrates the scores (Platt) and sets, per kind of candidate, a threshold that keeps ``RECALL`` of the positives: of
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -46,6 +48,7 @@ TOKEN_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/
 TOKEN = re.compile(rb"[A-Za-z0-9+/_=.-]+")
 DIGITS = re.compile(rb"[0-9]+")
 PLAIN_NUMBER = re.compile(rb"[0-9.+/=_-]+")
+PART = re.compile(rb"[^/.=]+")
 HOST = re.compile(rb"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\.?")
 
 
@@ -97,6 +100,36 @@ def window_of(body: bytes, start: int, end: int) -> bytes:
     return left + inside + body[end : end + RIGHT].ljust(RIGHT, b"\0")
 
 
+def pieces_of(body: bytes, start: int, end: int) -> list[tuple[int, int]]:
+    """The run in overlapping windows that cover all of it, then its separated parts of ``MIN_TOKEN`` or more alike."""
+    parts = [(start, end)]
+    if end - start > INSIDE:
+        parts += [m.span() for m in PART.finditer(body, start, end) if MIN_TOKEN <= m.end() - m.start() < end - start]
+    out = []
+    for a, z in parts:
+        out += [(at, at + INSIDE) for at in range(a, z - INSIDE, INSIDE // 2)]
+        out.append((max(a, z - INSIDE), z))
+    return list(dict.fromkeys(out))
+
+
+def reached(body: bytes, start: int, end: int, pieces: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pieces of a run, widened to the separated parts that their ends lie in, those that touch joined."""
+    if end - start <= INSIDE:
+        return [(start, end)] if pieces else []
+    parts = [m.span() for m in PART.finditer(body, start, end)] if pieces else []
+    first, last = [a for a, _ in parts], [z for _, z in parts]
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(pieces):
+        i, j = bisect_right(first, a) - 1, bisect_left(last, z)
+        a = first[i] if i >= 0 and last[i] > a else a
+        z = last[j] if j < len(parts) and first[j] < z else z
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], z)
+        else:
+            out.append((a, z))
+    return out
+
+
 def candidates(body: bytes) -> list[tuple[str, int, int, int | None]]:
     """(kind, start, end, label): the rules' findings, then runs that lie in none of them."""
     rules = rule_spans(body)
@@ -187,7 +220,8 @@ class Judge:
     def scores(self, windows: list[bytes]) -> np.ndarray:
         if not windows:
             return np.zeros(0)
-        return sigmoid(self.slope * self.net.logits(CharNet.codes(windows)) + self.offset)
+        z = [self.net.logits(CharNet.codes(windows[at : at + 4096])) for at in range(0, len(windows), 4096)]
+        return sigmoid(self.slope * np.concatenate(z) + self.offset)
 
 
 def train(samples: list[tuple[str, int, bytes]], recall: float = RECALL) -> Judge | None:
@@ -270,12 +304,19 @@ def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | No
 def judged(body: bytes, judge: Judge | None) -> tuple[list[Span], list[Span], list[float]]:
     """(rule spans, added spans, scores of both), offsets in bytes."""
     found = candidates(body)
-    scores = judge.scores([window_of(body, a, z) for _, a, z, _ in found]).tolist() if judge and found else [0.0] * len(found)
     rules = [(k, a, z) for k, a, z, label in found if label == 1]
-    added = [
-        (k, a, z) for (k, a, z, label), s in zip(found, scores)
-        if label is None and judge and s >= judge.thresholds["model"]
-    ]
+    if not judge or not found:
+        return rules, [], [0.0] * len(found)
+    pieces = [pieces_of(body, a, z) for _, a, z, _ in found]
+    windows = {w: i for i, w in enumerate(dict.fromkeys(window_of(body, *p) for held in pieces for p in held))}
+    every = judge.scores(list(windows)).tolist()
+    added, scores = [], []
+    for (k, a, z, label), held in zip(found, pieces):
+        own = [every[windows[window_of(body, *p)]] for p in held]
+        scores.append(max(own))
+        if label is None:
+            high = [p for p, s in zip(held, own) if s >= judge.thresholds["model"]]
+            added += [(k, *span) for span in reached(body, a, z, high)]
     return rules, added, scores
 
 

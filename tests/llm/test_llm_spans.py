@@ -88,6 +88,36 @@ def test_network_adds_what_looks_like_a_secret(spark):
     assert clean.n_chars == len(clean.text)
 
 
+class KeyJudge:
+    """Knows one key: scores a window by whether it holds it."""
+
+    thresholds = {"model": 0.5}
+
+    def __init__(self, key):
+        self.key = key.encode()
+
+    def scores(self, windows):
+        inside = [w[secret_scan.LEFT : secret_scan.LEFT + secret_scan.INSIDE] for w in windows]
+        return np.array([float(self.key in w) for w in inside])
+
+
+def test_secret_deep_in_a_run_is_found():
+    key, path = "Xq7Rt2Lm9Pz4Kw8Nv3Jh6Gy5", "//hooks.example.com/services/teams/channels/incoming/"
+    for text in (f"see {path}{key} now", f"see {path}{key}/{'z' * 60}1 now", f"see {'z' * 990}1{key}{'y' * 990} now"):
+        rules, added, scores = secret_scan.judged(text.encode(), KeyJudge(key))
+        at = text.index(key)
+        assert not rules and max(scores) == 1
+        assert len(added) == 1 and added[0][1] <= at and at + len(key) <= added[0][2]
+
+
+def test_pieces_cover_the_whole_run():
+    for n in (16, 48, 49, 72, 73, 500):
+        for body in (b"x" * n, (b"ab1/" * n)[:n], (b"0123456789abcdefgh." * n)[:n]):
+            pieces = secret_scan.pieces_of(body, 0, n)
+            assert {p for a, z in pieces for p in range(a, z)} == set(range(n))
+            assert all(z - a <= secret_scan.INSIDE for a, z in pieces)
+
+
 def test_secrets_odd_rows_and_empty_table(spark, tmp_path):
     folder = saved(odd_documents(spark), tmp_path / "odd")
     rows = secret_scan.op7_secret_scan(spark, folder).collect()
