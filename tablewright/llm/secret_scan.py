@@ -1,12 +1,14 @@
 """Secret scan: rules find the sure secrets, a character convolutional network judges every other candidate.
 
-Candidates are the rules' findings and every run of key characters of ``MIN_TOKEN`` or more with a digit.  The
+Candidates are the rules' findings, passwords of ``scheme://user:password@host``, and what the rules leave of runs of key
+characters: ``MIN_TOKEN`` or more with a digit, or ``MIN_LETTERS`` letters in a row.  Shorter words without a digit are
+judged only as such passwords.  The
 network (numpy: embedding, one convolution, max over time, logistic output) reads the candidate with its surrounding
 context.  A run is read whole: in overlapping windows of ``INSIDE`` bytes, and each part between ``/ . =`` by itself; its
 score is the highest, and the parts that reach the threshold are what is added.  It is trained on labelled findings: rule findings are positive; runs that are plainly something else
 (addresses, host names, IPs, numbers) are negative; all others are unlabelled and only scored.  At most
-``SAMPLE`` distinct windows of each kind and label train it, chosen by hash from all documents.  A held-out part of that sample
-calibrates the scores (Platt) and sets, per kind of candidate, a threshold that keeps ``RECALL`` of the positives: of
+``SAMPLE`` distinct windows of each kind and label train it, chosen by hash from all documents.  All distinct windows held
+out (30 %), scored in Spark and counted by log odds in steps of 0.001, calibrate the scores (Platt) and set, per kind of candidate, a threshold that keeps ``RECALL`` of the positives: of
 those that do, the one halfway to the negatives (in log odds).  Candidates outside the rules' findings that reach the threshold are added as kind ``model``.
 
 Nulls: a null text is empty and has no findings; without findings of both labels no model is trained and none are
@@ -32,7 +34,9 @@ from tablewright.llm.common import cut, documents, scan, sliced, utf8
 from tablewright.llm.spans import Span, digest, joined, replace, to_code_points
 
 KINDS = ("assign", "access", "hex", "model")
-MIN_TOKEN = 16
+MIN_TOKEN = 8
+MIN_PART = 16
+MIN_LETTERS = 16
 SAMPLE = 3000
 RECALL = 0.99
 LEFT, INSIDE, RIGHT = 24, 48, 12
@@ -47,6 +51,10 @@ KEYWORDS = (b"passw", b"secret", b"token", b"key")
 TOKEN_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
 TOKEN = re.compile(rb"[A-Za-z0-9+/_=.-]+")
 DIGITS = re.compile(rb"[0-9]+")
+LETTERS = re.compile(rb"(?<![A-Za-z])[A-Za-z]{%d,}" % MIN_LETTERS)
+EITHER = re.compile(DIGITS.pattern + b"|" + LETTERS.pattern)
+USER = re.compile(rb"[A-Za-z0-9._%+-]+")
+PASSWORD = re.compile(rb"://[^\s:/@]{0,64}:([^\s/@]{1,256})@")
 PLAIN_NUMBER = re.compile(rb"[0-9.+/=_-]+")
 PART = re.compile(rb"[^/.=]+")
 HOST = re.compile(rb"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\.?")
@@ -65,11 +73,10 @@ def rule_spans(body: bytes) -> list[Span]:
 
 
 def token_spans(body: bytes) -> list[tuple[int, int]]:
-    """Maximal runs of key characters with a digit, ``MIN_TOKEN`` or longer."""
-    if len(body.translate(None, b"0123456789")) == len(body):
-        return []
+    """Maximal runs of key characters, ``MIN_TOKEN`` or longer with a digit or with ``MIN_LETTERS`` letters in a row."""
     out, end = [], 0
-    for m in DIGITS.finditer(body):
+    some = len(body.translate(None, b"0123456789")) < len(body)
+    for m in (EITHER if some else LETTERS).finditer(body):
         if m.start() < end:
             continue
         size = 256
@@ -88,11 +95,28 @@ def token_spans(body: bytes) -> list[tuple[int, int]]:
 def label_of(body: bytes, start: int, end: int) -> int | None:
     """0 for a run that is plainly no secret, else None."""
     run = body[start:end]
-    if PLAIN_NUMBER.fullmatch(run) or HOST.fullmatch(run) or body[end : end + 1] == b"@" or body[start - 1 : start] == b"@":
+    if body[end : end + 1] == b"@":  # the user of an address, not a password
+        host = TOKEN.match(body, end + 1)
+        plain = USER.fullmatch(run) and host and HOST.fullmatch(host[0])
+        return 0 if plain and body[max(0, start - 1) : start] != b":" else None
+    if PLAIN_NUMBER.fullmatch(run) or HOST.fullmatch(run) and body[max(0, start - 1) : start] != b"@":
         return 0
+    if body[max(0, start - 1) : start] == b"@" and HOST.fullmatch(run):
+        low = max(0, start - 1 - 256)
+        user = start - 1 - len(body[low : start - 1]) + len(body[low : start - 1].rstrip(TOKEN_BYTES + b"%"))
+        return 0 if USER.fullmatch(body, user, start - 1) and body[max(0, user - 1) : user] != b":" else None
     return None
 
 
+def free(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans ``taken`` leave of a run."""
+    out = []
+    for a, z in sorted(x for x in taken if x[0] < end and start < x[1]):
+        out.append((start, a))
+        start = max(start, z)
+    return [(a, z) for a, z in [*out, (start, end)] if a < z]
+
+
 def window_of(body: bytes, start: int, end: int) -> bytes:
     """Left context, the candidate's first bytes and right context, at fixed places."""
     left = body[max(0, start - LEFT) : start].rjust(LEFT, b"\0")
@@ -101,10 +125,10 @@ def window_of(body: bytes, start: int, end: int) -> bytes:
 
 
 def pieces_of(body: bytes, start: int, end: int) -> list[tuple[int, int]]:
-    """The run in overlapping windows that cover all of it, then its separated parts of ``MIN_TOKEN`` or more alike."""
+    """The run in overlapping windows that cover all of it, then its separated parts of ``MIN_PART`` or more alike."""
     parts = [(start, end)]
     if end - start > INSIDE:
-        parts += [m.span() for m in PART.finditer(body, start, end) if MIN_TOKEN <= m.end() - m.start() < end - start]
+        parts += [m.span() for m in PART.finditer(body, start, end) if MIN_PART <= m.end() - m.start() < end - start]
     out = []
     for a, z in parts:
         out += [(at, at + INSIDE) for at in range(a, z - INSIDE, INSIDE // 2)]
@@ -133,10 +157,17 @@ def reached(body: bytes, start: int, end: int, pieces: list[tuple[int, int]]) ->
 def candidates(body: bytes) -> list[tuple[str, int, int, int | None]]:
     """(kind, start, end, label): the rules' findings, then runs that lie in none of them."""
     rules = rule_spans(body)
-    out = [(k, a, z, 1) for k, a, z in rules]
-    for a, z in token_spans(body):
-        if all(z <= x[1] or x[2] <= a for x in rules):
-            out.append(("model", a, z, label_of(body, a, z)))
+    out: list[tuple[str, int, int, int | None]] = [(k, a, z, 1) for k, a, z in rules]
+    taken = [(a, z) for _, a, z in rules]
+    if b"://" in body:
+        words = [m.span(1) for m in PASSWORD.finditer(body)]
+        words = [x for x in words if all(x[1] <= a or z <= x[0] for a, z in taken)]
+        out += [("model", a, z, None) for a, z in words]
+        taken += words
+    for run in token_spans(body):
+        for a, z in free(*run, taken):
+            if (a, z) == run or z - a >= MIN_TOKEN and EITHER.search(body, a, z):
+                out.append(("model", a, z, label_of(body, a, z)))
     return out
 
 
@@ -224,49 +255,61 @@ class Judge:
         return sigmoid(self.slope * np.concatenate(z) + self.offset)
 
 
-def train(samples: list[tuple[str, int, bytes]], recall: float = RECALL) -> Judge | None:
-    """(kind, label, window) rows -> a calibrated judge; None without both labels in both parts."""
+def train(samples: list[tuple[str, int, bytes]]) -> CharNet | None:
+    """(kind, label, window) rows -> a network; None without both labels."""
     samples = sorted(samples, key=lambda s: (zlib.crc32(s[2]), s[2]))
-    part = np.array([zlib.crc32(b"part" + w) % 10 < 7 for _, _, w in samples], bool)
     y = np.array([label for _, label, _ in samples], float)
-    if any(len(np.unique(y[m])) < 2 for m in (part, ~part)):
+    if len(np.unique(y)) < 2:
         return None
-    codes = CharNet.codes([w for _, _, w in samples])
     net = CharNet()
-    net.fit(codes[part], y[part])
-    z, t = net.logits(codes[~part]), y[~part]
-    slope, offset = _platt(z, t)
-    kinds = np.array([k for k, _, _ in samples])[~part]
+    net.fit(CharNet.codes([w for _, _, w in samples]), y)
+    return net
+
+
+def calibrate(net: CharNet, counted: list[tuple[str, int, float, int]], recall: float = RECALL) -> Judge | None:
+    """(kind, label, log odds, windows) rows of all held-out windows -> a judge; None without both labels."""
+    counted = sorted(counted)
+    kinds = np.array([k for k, *_ in counted])
+    t, z, n = (np.array([r[i] for r in counted], float) for i in (1, 2, 3))
+    if len(np.unique(t)) < 2:
+        return None
+    slope, offset = _platt(z, t, n)
     x = slope * z + offset
-    low = float(np.quantile(x[t == 0], 0.999))
+
+    def quantile(of: np.ndarray, q: float) -> float:
+        order = np.argsort(x[of], kind="stable")
+        upto = np.cumsum(n[of][order])
+        return float(x[of][order][np.searchsorted(upto, np.floor(q * (upto[-1] - 1)), side="right")])
+
+    low = quantile(t == 0, 0.999)
 
     def level(of: np.ndarray) -> float:
-        high = float(np.quantile(of, 1 - recall, method="lower"))
+        high = quantile(of, 1 - recall)
         return float(sigmoid(np.array((high + low) / 2 if low < high else high)))
 
-    positive = {k: x[(t == 1) & (kinds == k)] for k in KINDS[:-1]}
-    thresholds = {k: level(v) if len(v) else level(x[t == 1]) for k, v in positive.items()}
-    return Judge(net, slope, offset, thresholds | {"model": max(0.5, level(x[t == 1]))})
+    positive = {k: (t == 1) & (kinds == k) for k in KINDS[:-1]}
+    thresholds = {k: level(v if v.any() else t == 1) for k, v in positive.items()}
+    return Judge(net, slope, offset, thresholds | {"model": max(0.5, level(t == 1))})
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _platt(z: np.ndarray, t: np.ndarray) -> tuple[float, float]:
+def _platt(z: np.ndarray, t: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """Logistic calibration with smoothed targets and a pull towards (1, 0): damped Newton steps."""
-    n1, n0 = t.sum(), (1 - t).sum()
+    n1, n0 = (n * t).sum(), (n * (1 - t)).sum()
     goal = np.where(t == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
 
     def loss(v: np.ndarray) -> float:
         x = v[0] * z + v[1]
-        return float((np.logaddexp(0, x) - goal * x).sum() + 0.5 * (v[0] - 1) ** 2 + 0.5 * v[1] ** 2)
+        return float((n * (np.logaddexp(0, x) - goal * x)).sum() + 0.5 * (v[0] - 1) ** 2 + 0.5 * v[1] ** 2)
 
     v = np.array([1.0, 0.0])
     for _ in range(50):
         p = sigmoid(v[0] * z + v[1])
-        w = p * (1 - p)
-        g = np.array([((p - goal) * z).sum() + v[0] - 1, (p - goal).sum() + v[1]])
+        w, d = n * p * (1 - p), n * (p - goal)
+        g = np.array([(d * z).sum() + v[0] - 1, d.sum() + v[1]])
         h = np.array([[(w * z * z).sum() + 1, (w * z).sum()], [(w * z).sum(), w.sum() + 1]])
         step, part = np.linalg.solve(h, g), 1.0
         while part > 1e-4 and loss(v - part * step) > loss(v):
@@ -278,7 +321,7 @@ def _platt(z: np.ndarray, t: np.ndarray) -> tuple[float, float]:
 
 
 def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | None:
-    """Train on at most ``sample`` distinct windows of each label and kind of finding, chosen by hash."""
+    """Train on at most ``sample`` distinct windows of each label and kind, chosen by hash; calibrate on all held out."""
 
     def make() -> Callable:
         def work(columns: list) -> list[tuple]:
@@ -294,11 +337,26 @@ def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | No
     schema = StructType([
         StructField("kind", StringType()), StructField("label", LongType()), StructField("window", BinaryType())])
     found = cut(scan(df.select(utf8(text).alias("body")), make, schema).distinct())
+    fits = F.crc32(F.concat(F.lit(bytearray(b"part")), F.col("window"))) % 10 < 7
     picked = []
     for kind, label in [(k, 1) for k in KINDS[:-1]] + [(KINDS[-1], 0)]:
-        part = found.where((F.col("kind") == kind) & (F.col("label") == label))
+        part = found.where(fits & (F.col("kind") == kind) & (F.col("label") == label))
         picked += part.orderBy(F.xxhash64("window"), "window").limit(sample).collect()
-    return train([(r["kind"], r["label"], bytes(r["window"])) for r in picked])
+    net = train([(r["kind"], r["label"], bytes(r["window"])) for r in picked])
+    if net is None:
+        return None
+    sent = df.sparkSession.sparkContext.broadcast(net)
+
+    def make_odds() -> Callable:
+        def work(columns: list) -> list[tuple]:
+            z = sent.value.logits(CharNet.codes(columns[2]))
+            return list(zip(columns[0], columns[1], np.floor(np.clip(z, -40, 40) * 1000).astype(np.int64).tolist()))
+
+        return work
+
+    odds = StructType([*schema.fields[:2], StructField("z", LongType())])
+    counted = scan(found.where(~fits), make_odds, odds).groupBy("kind", "label", "z").count().collect()
+    return calibrate(net, [(r["kind"], r["label"], r["z"] / 1000, r["count"]) for r in counted])
 
 
 def judged(body: bytes, judge: Judge | None) -> tuple[list[Span], list[Span], list[float]]:
@@ -314,7 +372,7 @@ def judged(body: bytes, judge: Judge | None) -> tuple[list[Span], list[Span], li
     for (k, a, z, label), held in zip(found, pieces):
         own = [every[windows[window_of(body, *p)]] for p in held]
         scores.append(max(own))
-        if label is None:
+        if label != 1:
             high = [p for p, s in zip(held, own) if s >= judge.thresholds["model"]]
             added += [(k, *span) for span in reached(body, a, z, high)]
     return rules, added, scores

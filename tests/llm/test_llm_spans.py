@@ -118,6 +118,34 @@ def test_pieces_cover_the_whole_run():
             assert all(z - a <= secret_scan.INSIDE for a, z in pieces)
 
 
+def test_every_candidate_is_judged():
+    for key in ("Passw0rd123456789", "s3cretpw", "hunter", "QWERTZUIOPASDFGHJK"):
+        texts = [f"db scheme://user:{key}@host.example.com/x"]
+        if key != "hunter":  # a short word is judged as a password of an address only
+            texts += [f"use {key} there", f"x {'0123456789abcdef' * 2}_{key}-Z8 y"]
+        for text in texts:
+            at = text.index(key)
+            _, added, _ = secret_scan.judged(text.encode(), KeyJudge(key))
+            assert len(added) == 1 and added[0][1] <= at and at + len(key) <= added[0][2], text
+            body = text.encode()
+            assert all(label != 0 for _, a, z, label in secret_scan.candidates(body) if a <= at < z)
+    labels = {text: [x[3] for x in secret_scan.candidates(text.encode())] for text in
+              ("to anna.ray12@corp.example.com it", "at host12.example.com it", "no 10.20.30.141 it")}
+    assert all(x == [0] for x in labels.values()), labels
+    _, added, _ = secret_scan.judged(b"no 10.20.30.141 it", KeyJudge("10.20.30.141"))
+    assert added == [("model", 3, 15)]  # labelled windows are judged too
+
+
+def test_threshold_from_all_held_out_windows(spark):
+    docs, _ = _findings(spark)
+    few, real = [], secret_scan.calibrate
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(secret_scan, "calibrate", lambda net, rows: few.append(sum(r[3] for r in rows)) or real(net, rows))
+        for sample in (20, 3000):
+            assert secret_scan.learn(docs, sample=sample) is not None
+    assert few[0] == few[1] > 200
+
+
 def test_secrets_odd_rows_and_empty_table(spark, tmp_path):
     folder = saved(odd_documents(spark), tmp_path / "odd")
     rows = secret_scan.op7_secret_scan(spark, folder).collect()
