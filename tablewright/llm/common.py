@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SEGMENT_BYTES = 1 << 20
+EXPAND = 65_536
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +39,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def expand(placed: DataFrame, names: list[str], column: str) -> DataFrame:
+    """One row for each of the ``_n`` numbers from ``_start``, in blocks that spread over tasks."""
+    top = (F.col("_n") - 1) / EXPAND
+    blocks = placed.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(top).cast("long"))))
+    blocks = blocks.select(
+        *names,
+        (F.col("_start") + F.col("_block") * EXPAND).alias("_from"),
+        F.least(F.lit(EXPAND).cast("long"), F.col("_n") - F.col("_block") * EXPAND).alias("_many"),
+    )
+    many = F.sequence(F.lit(0).cast("long"), F.col("_many") - 1)
+    return blocks.withColumn("_i", F.explode(many)).select(*names, (F.col("_from") + F.col("_i")).alias(column))
+
+
 def utf8(column: str) -> Column:
     """The text's UTF-8 bytes; null becomes empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

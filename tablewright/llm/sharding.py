@@ -19,10 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cut, documents
+from tablewright.llm.common import cut, documents, expand
 
 SLOT_BUCKETS = 1024
-EXPAND = 65_536
 
 
 @dataclass(frozen=True)
@@ -97,14 +96,16 @@ def assign(df: DataFrame, leaves: list[Leaf], key: str = "doc_id", column: str =
 
 
 def slots(df: DataFrame, group: str, order: list[str], n_groups: int, column: str = "slot") -> DataFrame:
-    """Number the rows of each group from 0 without gaps, in the order (md5 of the first order column, order).
+    """Number the rows of each group from 0 without gaps, in the order (md5 of all order columns, order).
 
     ``df`` must hold nothing but ``group``, ``order`` and columns that these determine: equal rows are counted
-    first and expanded at the end, so a row repeated any number of times never gathers in one task.
+    first and expanded at the end, so a row repeated any number of times never gathers in one task, and rows that
+    share one id but differ in size or text spread over all buckets.
     """
     names = df.columns
-    first = F.coalesce(F.col(order[0]).cast("string"), F.lit(""))
-    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).withColumn("_h", F.md5(first.cast("binary")))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumn("_h", F.md5(F.concat_ws("|", *parts).cast("binary")))
     head = F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")
     # narrow rows, read twice below: the table is scanned once
     counted = cut(counted.withColumn("_bucket", F.floor(head * SLOT_BUCKETS / 4096).cast("int")))
@@ -118,20 +119,7 @@ def slots(df: DataFrame, group: str, order: list[str], n_groups: int, column: st
         offsets, (F.col(group) == F.col("_g")) & (F.col("_bucket") == F.col("_b"))
     )
     placed = placed.select(*names, (F.col("_before") + F.col("_inside")).alias("_start"), "_n")
-    return _expand(placed, names, column)
-
-
-def _expand(placed: DataFrame, names: list[str], column: str) -> DataFrame:
-    """One row for each of the ``_n`` slots from ``_start``, in blocks that spread over tasks."""
-    top = (F.col("_n") - 1) / EXPAND
-    blocks = placed.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(top).cast("long"))))
-    blocks = blocks.select(
-        *names,
-        (F.col("_start") + F.col("_block") * EXPAND).alias("_from"),
-        F.least(F.lit(EXPAND).cast("long"), F.col("_n") - F.col("_block") * EXPAND).alias("_many"),
-    )
-    many = F.sequence(F.lit(0).cast("long"), F.col("_many") - 1)
-    return blocks.withColumn("_i", F.explode(many)).select(*names, (F.col("_from") + F.col("_i")).alias(column))
+    return expand(placed, names, column)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from odd import TEXTS, no_documents, odd_documents, saved
 
-from tablewright.llm import sharding
+from tablewright.llm import common, sharding
 
 
 @pytest.fixture(scope="module")
@@ -61,12 +61,20 @@ def test_a_weight_moves_rows_only_through_its_subtree(spark):
 
 
 def test_slots_expand_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "EXPAND", 4)
+    monkeypatch.setattr(common, "EXPAND", 4)
     df = spark.createDataFrame([(7, 1)] * 11 + [(8, 1), (9, 2)], "doc_id long, g int")
     rows = sharding.slots(df, "g", ["doc_id"], 2).collect()
     assert sorted(r.slot for r in rows if r.g == 1) == list(range(12))
     assert len({r.slot for r in rows if r.doc_id == 7}) == 11
 
 
+def test_rows_of_one_id_spread_over_buckets(spark):
+    df = spark.range(2000).selectExpr("cast(null as long) doc_id", "id mark", "1 g")
+    rows = sharding.slots(df, "g", ["doc_id", "mark"], 2).collect()
+    assert sorted(r.slot for r in rows) == list(range(2000))
+    # ordered by a hash of all columns, not by the id's hash and then the mark
+    assert [r.mark for r in sorted(rows, key=lambda r: r.slot)] != list(range(2000))
+
+
 def test_empty_table(spark, tmp_path):
     assert sharding.op1_sharding(spark, saved(no_documents(spark), tmp_path)).count() == 0
