@@ -5,10 +5,15 @@ seeded stratified folds -> isolation-forest grid scored by fold AUC ->
 refit on all training rows -> test scores, AUC on scores and on the
 contamination labels -> searches over supervised forest / boosting /
 AdaBoost on the same folds -> one comparison table of AUCs.
+
+The searches keep every finished fit in a table (``tuning.resumable_search``):
+given a ``path``, a job that was stopped goes on where it ended.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -47,11 +52,14 @@ def profile_tables(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def forest_search(folded: DataFrame, grid: dict, seed: int = 50):
-    """The fitted search over isolation forests; ``folded`` has the fold of each row."""
-    est = anomaly.IsolationForest(FEATURES, ["vec_id"], max_samples=256, seed=seed)
-    ev = BinaryClassificationEvaluator(rawPredictionCol="anomaly_score", labelCol="label")
-    return tuning.grid_search(est, grid, ev, folds=FOLDS, fold_col="fold").fit(folded)
+def searched(est, maps: list[dict], folded: DataFrame, column: str, path: str) -> tuple:
+    """(model of the best parameters fitted on all rows, its mean fold AUC, its mean AUC on the rows it learned from)."""
+    ev = BinaryClassificationEvaluator(rawPredictionCol=column, labelCol="label")
+    table = tuning.resumable_search(est, maps, ev, folded, "fold", FOLDS, path).persist()
+    best = tuning.best_set(table, maps)
+    top = table.orderBy(F.col("mean_metric").desc(), "param_set").first()
+    table.unpersist()
+    return est.copy(best).fit(folded), top["mean_metric"], top["mean_train_metric"]
 
 
 def estimators(n_estimators: int, seed: int) -> dict:
@@ -64,29 +72,34 @@ def estimators(n_estimators: int, seed: int) -> dict:
 
 
 def run(spark: SparkSession, sf_dir: str, grid: dict | None = None, seed: int = 50, n_estimators: int = 50,
-        spaces: dict | None = None) -> DataFrame:
-    """(model, auc) on the held-out rows: the searched forest and the searched supervised ensembles.
+        spaces: dict | None = None, path: str | None = None) -> DataFrame:
+    """(model, auc, cv_auc, train_auc): the searched forest and the searched supervised ensembles.
 
+    ``auc`` is of the held-out rows, ``cv_auc`` and ``train_auc`` are the winning parameters' means over the folds.
     ``spaces``: {model: (sets to draw, {param: values})}; by default ``SUPERVISED`` in full.
     """
-    ensure_checkpoint_dir(spark)
+    folder = path or f"{ensure_checkpoint_dir(spark)}/tw-fraud-{uuid.uuid4().hex}"
     df = fx.fraud_like(spark, sf_dir).withColumn("label", F.col("Class").cast("double"))
     df = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df).checkpoint(eager=True)
     tagged = splits.assign_split(df, [0.7, 0.3], seed, ["vec_id"])
     train, test = tagged.filter("split = 0").drop("split"), tagged.filter("split = 1").drop("split")
     folded = splits.stratified_folds(train, "Class", FOLDS, seed, ["vec_id"]).checkpoint(eager=True)
-    scored = forest_search(folded, grid or FOREST_GRID, seed).transform(test)
+    forest = anomaly.IsolationForest(FEATURES, ["vec_id"], max_samples=256, seed=seed)
+    maps = tuning.param_grid(forest, grid or FOREST_GRID)
+    model, cv, own = searched(forest, maps, folded, "anomaly_score", f"{folder}/isolation_forest")
+    scored = model.transform(test)
     rate = train.agg(F.avg("Class")).first()[0]
     labelled = anomaly.anomaly_label(scored, "anomaly_score", float(rate)).withColumn(
         "flag", (F.col("anomaly_label") == -1).cast("int"))
-    results = {
-        "isolation_forest": evaluate.auc(scored, "anomaly_score", "Class").first()["auc"],
-        "isolation_forest_hard": evaluate.auc_hard(labelled, "flag", "Class").first()["auc_hard"],
-    }
+    results = [
+        ("isolation_forest", evaluate.auc(scored, "anomaly_score", "Class").first()["auc"], cv, own),
+        ("isolation_forest_hard", evaluate.auc_hard(labelled, "flag", "Class").first()["auc_hard"], None, None),
+    ]
     built = estimators(n_estimators, seed)
     for name, (sets, space) in (spaces or SUPERVISED).items():
         column = "score" if name == "adaboost" else "rawPrediction"
-        ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol=column)
-        search = tuning.random_search(built[name], space, sets, ev, seed=seed, folds=FOLDS, fold_col="fold").fit(folded)
-        results[name] = evaluate.auc(evaluate.score(search, test), "score", "label").first()["auc"]
-    return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in results.items()], "model string, auc double")
+        maps = tuning.random_sets(built[name], space, sets, seed)
+        model, cv, own = searched(built[name], maps, folded, column, f"{folder}/{name}")
+        results.append((name, evaluate.auc(evaluate.score(model, test), "score", "label").first()["auc"], cv, own))
+    rows = [(k, *(None if v is None else float(v) for v in values)) for k, *values in results]
+    return spark.createDataFrame(rows, "model string, auc double, cv_auc double, train_auc double")

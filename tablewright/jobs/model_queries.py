@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
+from tablewright.functions.hashing import sql_unit_hash
 from tablewright.jobs import fixtures as fx
 from tablewright.jobs import loan
 from tablewright.jobs.registry import VOCAB_SQL, _docs_tokens, _r, register
 from tablewright.operators import evaluate, features, splits, text, tuning
-from tablewright.operators.models import anomaly, classify, regress
+from tablewright.operators.models import anomaly, classify, columns, regress
 from tablewright.plans.parallel import spread
 from tablewright.session import ensure_checkpoint_dir
 
@@ -36,6 +38,35 @@ def q_gbt(spark, sf):
     return loan.run(spark, sf, n_estimators=10, max_depth=3).drop("seconds")
 
 
+TREE_MODELS = ["decision_tree", "gbt", "gbt_regressor", "random_forest"]
+
+
+@register("score_columns", "WITH " + fx.LOAN_SQL + """ SELECT unnest([""" + ", ".join(f"'{m}'" for m in TREE_MODELS) + f"""]) AS model,
+  count(*) AS n_rows, 0::BIGINT AS mismatches FROM loan WHERE {sql_unit_hash(1234, fx.LOAN_KEY)} >= 0.8
+  AND """ + " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in fx.LOAN_NUMERIC) + " AND " + " AND ".join(
+    f"{c} IS NOT NULL" for c in fx.LOAN_CATEGORICAL))
+def q_score_columns(spark, sf):
+    """Fitted trees and ensembles as column expressions give every test row what the model gives."""
+    tr, te = _loan_vectors(spark, sf)
+    tr = tr.select("features", "label").persist()
+    models = {
+        "decision_tree": classify.decision_tree(max_depth=5),
+        "gbt": classify.gbt(n_estimators=4, max_depth=3),
+        "gbt_regressor": GBTRegressor(labelCol="label", maxIter=3, maxDepth=3, seed=1),
+        "random_forest": classify.random_forest(n_estimators=6, max_depth=4),
+    }
+    out = None
+    for name, est in models.items():
+        model = est.fit(tr)
+        held = model.transform(te).withColumnRenamed("prediction", "p")
+        held = columns.score_columns(model, held)
+        own = vector_to_array("probability")[1] if name != "gbt_regressor" else F.col("p")
+        off = (F.abs(own - F.col("score")) > 1e-9) | (F.abs(F.col("p") - F.col("prediction")) > 1e-9)
+        one = held.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("mismatches")).select(F.lit(name).alias("model"), "*")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 @register("score")
 def q_score(spark, sf):
     return loan.scores(spark, sf)
@@ -239,6 +270,30 @@ def q_search_results(spark, sf):
     return tuning.search_results(spark, model, secs).drop("seconds").select("param_set", "params", _r("mean_metric"), _r("std_metric"))
 
 
+SEARCH_SETS = [(d, i) for d in (2, 4) for i in ("entropy", "gini")]
+
+
+@register("resumable_search", "SELECT * FROM (VALUES " + ", ".join(
+    f"({n}, 'impurity={i}, maxDepth={d}', 3::BIGINT, 6::BIGINT, true)" for n, (d, i) in enumerate(SEARCH_SETS)) + """)
+  v(param_set, params, folds, reused, same) WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_resumable_search(spark, sf):
+    """A search that ended after half of its sets goes on; the table equals an uninterrupted search's."""
+    import uuid
+
+    tr, _ = _loan_vectors(spark, sf)
+    tr = splits.folds(tr.select(*fx.LOAN_KEY, "features", "label"), 3, 7, fx.LOAN_KEY).checkpoint(eager=True)
+    ev = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    est, path = classify.decision_tree(), f"{ensure_checkpoint_dir(spark)}/tw-resume-{uuid.uuid4().hex}"
+    half, whole = {"maxDepth": [2], "impurity": ["entropy", "gini"]}, {"maxDepth": [2, 4], "impurity": ["entropy", "gini"]}
+    tuning.resumable_search(est, half, ev, tr, "fold", 3, f"{path}/a").collect()
+    reused = tuning.search_table(spark, f"{path}/a").count()
+    resumed = tuning.resumable_search(est, whole, ev, tr, "fold", 3, f"{path}/a")
+    plain = tuning.resumable_search(est, whole, ev, tr, "fold", 3, f"{path}/b")
+    both = resumed.join(plain.select("params", F.col("mean_metric").alias("m"), F.col("mean_train_metric").alias("t")), "params")
+    near = (F.abs(F.col("m") - F.col("mean_metric")) < 1e-9) & (F.abs(F.col("t") - F.col("mean_train_metric")) < 1e-9)
+    return both.select("param_set", "params", "folds", F.lit(reused).cast("long").alias("reused"), near.alias("same"))
+
+
 @register("random_search")
 def q_random_search(spark, sf):
     tr, _ = _loan_vectors(spark, sf)

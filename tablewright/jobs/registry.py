@@ -66,6 +66,54 @@ def q_read_delimited_infer(spark, sf):
     return io.read_delimited(spark, path, sep=";", infer=True, pin=li.schema)
 
 
+LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# two kinds of broken lines: a value of another type, and a field too few
+BROKEN_SQL = """lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_linenumber
+    WHEN 6 THEN concat_ws(';', l_orderkey, l_linenumber, 'x' || l_partkey, l_suppkey)
+    WHEN 7 THEN concat_ws(';', l_orderkey, l_linenumber, l_partkey)
+    ELSE concat_ws(';', l_orderkey, l_linenumber, l_partkey, l_suppkey) END AS line FROM lineitem)"""
+
+
+def _broken_lines(spark, sf):
+    li = fx.table(spark, sf, "lineitem").select(*[F.col(c).cast("long").alias(c) for c in LINE_COLS])
+    key, number, part, supp = (F.col(c) for c in LINE_COLS)
+    line = F.when(number == 6, F.concat_ws(";", key, number, F.concat(F.lit("x"), part), supp)).when(
+        number == 7, F.concat_ws(";", key, number, part)).otherwise(F.concat_ws(";", key, number, part, supp))
+    path = f"{ensure_checkpoint_dir(spark)}/tw-broken-{uuid.uuid4().hex}"
+    li.select(line.alias("value")).write.text(path)
+    return io.read_delimited(spark, path, schema=li.schema, header=False, corrupt="bad_line")
+
+
+@register("read_delimited_corrupt", "WITH " + BROKEN_SQL + """ SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_linenumber <> 6 THEN l_partkey END AS l_partkey, CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS l_suppkey,
+  CASE WHEN l_linenumber >= 6 THEN line END AS bad_line FROM lines""")
+def q_read_corrupt(spark, sf):
+    """Lines that don't fit the schema keep their text beside what could be read."""
+    return _broken_lines(spark, sf)
+
+
+@register("reject_report", """SELECT count(*) AS n_rows, count_if(l_linenumber < 6) AS n_good, count_if(l_linenumber >= 6) AS n_rejected,
+  count_if(l_linenumber < 6) AS n_kept, sum(CASE WHEN l_linenumber < 6 THEN l_partkey END)::BIGINT AS kept_parts FROM lineitem""")
+def q_reject_report(spark, sf):
+    """The report and the good side of the quarantine."""
+    df = _broken_lines(spark, sf)
+    good, _ = io.quarantine(df, "bad_line")
+    kept = good.agg(F.count(F.lit(1)).alias("n_kept"), F.sum("l_partkey").alias("kept_parts"))
+    return io.reject_report(df, "bad_line").join(F.broadcast(kept))  # one row each
+
+
+@register("read_text_files", r"""SELECT source, string_agg(regexp_replace(text, '[\r\n]', ' ', 'g') || chr(10), '' ORDER BY doc_id) AS text
+  FROM documents WHERE text IS NOT NULL GROUP BY source""")
+def q_read_text_files(spark, sf):
+    """S3: one row a file; the files are the documents of each source, a line each."""
+    docs = fx.table(spark, sf, "documents").where(F.col("text").isNotNull())
+    lines = docs.select("source", "doc_id", F.regexp_replace("text", r"[\r\n]", " ").alias("value"))
+    path = f"{ensure_checkpoint_dir(spark)}/tw-texts-{uuid.uuid4().hex}"
+    lines.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(path)
+    files = io.read_text_files(spark, f"{path}/*")
+    return files.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "text")
+
+
 @register("read_corpus", "SELECT doc_id, text, lang AS label FROM documents")
 def q_read_corpus(spark, sf):
     return io.read_corpus(spark, f"{sf}/documents.parquet", label_col="lang")
@@ -267,6 +315,66 @@ def q_cardinality(spark, sf):
     return profile.cardinality(fx.table(spark, sf, "lineitem"), LINEITEM_COLS)
 
 
+@register("cardinality_mixed", "WITH " + NAN_SQL + """ SELECT count(DISTINCT l_orderkey) AS l_orderkey, count(DISTINCT l_tax) AS l_tax,
+  count(DISTINCT l_discount) AS l_discount, count(DISTINCT l_returnflag) AS l_returnflag FROM nanny""")
+def q_cardinality_mixed(spark, sf):
+    """A5 over a derived table with NaN and NULL, in one pass."""
+    return profile.cardinality(_nanny(spark, sf), ["l_orderkey", "l_tax", "l_discount", "l_returnflag"])
+
+
+SKETCH_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+SKETCH_RANK = 0.02
+
+
+def _sketches(spark, sf):
+    """Sketches by return flag and line status of two loads, merged by return flag."""
+    li = fx.table(spark, sf, "lineitem")
+    loads = [li.where("l_linenumber <= 2"), li.where("l_linenumber > 2")]
+    by = ["l_returnflag", "l_linestatus"]
+    return li, profile.merge_sketches(*[profile.sketch(d, SKETCH_COLS, by) for d in loads], by=["l_returnflag"])
+
+
+def _rank_checked(li, found, quantiles: dict[str, float]):
+    """``near``: whether the exact rank of every quantile is within SKETCH_RANK of its share."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in SKETCH_COLS])
+    rows = li.select(F.col("l_returnflag").alias("_g"), F.explode(pairs).alias("p")).select("_g", F.col("p.column").alias("_c"), F.col("p.x").alias("_x"))
+    # a row for each flag and column
+    joined = rows.join(F.broadcast(found), (F.col("_g") == F.col("l_returnflag")) & (F.col("_c") == F.col("column")))
+    counts = []
+    for q in quantiles:
+        counts += [F.count_if(F.col("_x") < F.col(q)).alias(f"{q}_lo"), F.count_if(F.col("_x") <= F.col(q)).alias(f"{q}_hi")]
+    ranks = joined.groupBy("l_returnflag", "column").agg(F.count(F.lit(1)).alias("_n"), *counts)
+    near = F.lit(True)
+    for q, p in quantiles.items():
+        near = near & (F.col(f"{q}_lo") <= (p + SKETCH_RANK) * F.col("_n")) & (F.col(f"{q}_hi") >= (p - SKETCH_RANK) * F.col("_n"))
+    return found.join(ranks.select("l_returnflag", "column", near.alias("near")), ["l_returnflag", "column"])
+
+
+@register("summary_sketch", " UNION ALL ".join(f"""SELECT l_returnflag, '{c}' AS "column", count({c}) AS count, round(avg({c}::DOUBLE), 6) AS mean,
+  min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, true AS near FROM lineitem GROUP BY l_returnflag""" for c in SKETCH_COLS))
+def q_summary_sketch(spark, sf):
+    """A2 from merged sketches: exact counts, means and ends; quantiles within 2 % of their rank."""
+    li, merged = _sketches(spark, sf)
+    found = _rank_checked(li, profile.sketch_summary(merged), {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    return found.select("l_returnflag", "column", "count", _r("mean"), "min", "max", "near")
+
+
+@register("box_sketch", " UNION ALL ".join(f"""SELECT l_returnflag, '{c}' AS "column", count({c}) AS count, min({c})::DOUBLE AS min,
+  max({c})::DOUBLE AS max, true AS near, true AS share_near FROM lineitem GROUP BY l_returnflag""" for c in SKETCH_COLS))
+def q_box_sketch(spark, sf):
+    """A11 from merged sketches: quartiles and the share of outliers within 2 % of their rank."""
+    li, merged = _sketches(spark, sf)
+    found = _rank_checked(li, profile.sketch_box(merged), {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in SKETCH_COLS])
+    rows = li.select(F.col("l_returnflag").alias("_g"), F.explode(pairs).alias("p")).select("_g", F.col("p.column").alias("_c"), F.col("p.x").alias("_x"))
+    fences = F.broadcast(found.select("l_returnflag", "column", "lower_fence", "upper_fence"))
+    out = rows.join(fences, (F.col("_g") == F.col("l_returnflag")) & (F.col("_c") == F.col("column")))
+    out = out.groupBy("l_returnflag", "column").agg(
+        F.avg(((F.col("_x") < F.col("lower_fence")) | (F.col("_x") > F.col("upper_fence"))).cast("double")).alias("_share"))
+    near = F.abs(F.col("_share") - F.col("outlier_share")) <= 2 * SKETCH_RANK
+    return found.join(out, ["l_returnflag", "column"]).select("l_returnflag", "column", "count", "min", "max", "near", near.alias("share_near"))
+
+
 MIXED_SQL = """mixed AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0.0 THEN 'NaN'::DOUBLE ELSE l_tax END AS x,
   nullif(l_discount, 0.0) AS y, 7.5::DOUBLE AS k, nullif(l_returnflag, 'A') AS s FROM lineitem)"""
 CLEAN_MIXED = ", clean AS (SELECT CASE WHEN isnan(x) THEN NULL ELSE x END AS x, y, k, s FROM mixed)"
@@ -691,10 +799,48 @@ SEQ_SQL = BUILD_VOCAB_SQL + """, pt AS (SELECT doc_id, unnest(tokens) AS term, u
 def q_encode_seq(spark, sf):
     toks = _docs_tokens(spark, sf)
     vocab = text.build_vocabulary(toks, "tokens")
-    s = text.encode_sequence(toks, "doc_id", "tokens", vocab, hot_terms=100)
+    s = text.encode_sequence(toks, "doc_id", "tokens", vocab)
     return s.select("doc_id", F.array_join("seq", " ").alias("seq"))
 
 
+# every row is a document, also where an id repeats or is missing
+REPEATED = "nullif(lang, 'en')"
+
+
+def _repeated_tokens(spark, sf):
+    ensure_checkpoint_dir(spark)
+    toks = text.clean_text(fx.table(spark, sf, "documents"), "text", "tokens", stemming=False)
+    return toks.select(F.expr(REPEATED).alias("grp"), "tokens").checkpoint(eager=True)
+
+
+ROWS_SQL = f"""rw AS (SELECT row_number() OVER () AS r, {REPEATED} AS grp, {SQL_TOKENS} AS tokens FROM documents),
+  pt AS (SELECT r, grp, unnest(tokens) AS term, unnest(generate_series(1, len(tokens))) AS pos FROM rw)"""
+
+
+@register("tfidf_repeated_ids", "WITH " + ROWS_SQL + """, nd AS (SELECT count(*) AS n FROM rw),
+  st AS (SELECT term, count(*) AS term_count, count(DISTINCT r) AS doc_freq FROM pt WHERE length(term) >= 2 GROUP BY term),
+  vf AS (SELECT term, doc_freq FROM st, nd WHERE doc_freq >= 2 AND doc_freq <= 0.95 * n ORDER BY term_count DESC, term LIMIT 50000),
+  tfq AS (SELECT r, grp, term, count(*) AS tf FROM pt GROUP BY r, grp, term),
+  w AS (SELECT r, grp, term, tf * (ln((1 + nd.n) / (1 + doc_freq::DOUBLE)) + 1) AS w FROM tfq JOIN vf USING (term), nd)
+  SELECT grp, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY r)), 6) AS weight FROM w""")
+def q_tfidf_repeated(spark, sf):
+    """T10 where the language stands in for the id: repeated for most rows, null for the others."""
+    toks = _repeated_tokens(spark, sf)
+    vocab = text.count_vectorize(toks, "grp", "tokens")
+    return text.tfidf(toks, "grp", "tokens", vocab, toks.count()).select("grp", "term", _r("weight"))
+
+
+@register("encode_sequence_repeated_ids", "WITH " + ROWS_SQL + """, bv AS (SELECT term, count(*) AS term_count FROM pt GROUP BY term),
+  vocab AS (SELECT term, row_number() OVER (ORDER BY term_count DESC, term) + 1 AS term_id FROM bv)
+  SELECT any_value(rw.grp) AS grp, coalesce(string_agg(term_id, ' ' ORDER BY pos), '') AS seq
+  FROM rw LEFT JOIN pt USING (r) LEFT JOIN vocab USING (term) GROUP BY r""")
+def q_encode_repeated(spark, sf):
+    """T13 with the same ids."""
+    toks = _repeated_tokens(spark, sf)
+    s = text.encode_sequence(toks, "grp", "tokens", text.build_vocabulary(toks, "tokens"))
+    return s.select("grp", F.array_join("seq", " ").alias("seq"))
+
+
 @register("pad_sequences", "WITH " + SEQ_SQL + """, tr AS (SELECT doc_id, list_transform(seq, lambda x: CASE WHEN x >= 5000 THEN 0 ELSE x END) AS s FROM seqs)
   SELECT doc_id, array_to_string(list_concat(list_transform(range(greatest(200 - len(s), 0)), lambda x: 0),
          list_slice(s, greatest(len(s) - 200 + 1, 1), len(s))), ' ') AS padded FROM tr""")
@@ -730,6 +876,24 @@ def q_roc_ties(spark, sf):
     return r.select("threshold", "tp", "fp", "cum_tp", "cum_fp", _r("tpr", 9), _r("fpr", 9))
 
 
+SPARSE_SQL = """, k AS (SELECT *, lead(tp) OVER o AS ntp, lead(fp) OVER o AS nfp, row_number() OVER o AS r FROM c WINDOW o AS (ORDER BY threshold DESC))
+  SELECT threshold, cum_tp::BIGINT AS cum_tp, cum_fp::BIGINT AS cum_fp, round(cum_tp / P, 9) AS tpr, round(cum_fp / N, 9) AS fpr
+  FROM k WHERE r = 1 OR ntp IS NULL OR ntp <> tp OR nfp <> fp"""
+
+
+@register("roc_points_sparse", _roc_sql("score") + SPARSE_SQL)
+def q_roc_sparse(spark, sf):
+    """E2 without the points inside straight lines."""
+    r = evaluate.roc_points(fx.score_like(spark, sf), "score", "label", drop_intermediate=True)
+    return r.select("threshold", "cum_tp", "cum_fp", _r("tpr", 9), _r("fpr", 9))
+
+
+@register("roc_points_ties_sparse", _roc_sql("score_ties") + SPARSE_SQL)
+def q_roc_ties_sparse(spark, sf):
+    r = evaluate.roc_points(fx.score_like(spark, sf), "score_ties", "label", drop_intermediate=True)
+    return r.select("threshold", "cum_tp", "cum_fp", _r("tpr", 9), _r("fpr", 9))
+
+
 def _auc_sql(score: str) -> str:
     return _roc_sql(score) + " SELECT round(sum(fp * ((cum_tp - tp) + tp / 2.0)) / (max(P) * max(N)), 9) AS auc FROM c"
 

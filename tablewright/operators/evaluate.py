@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.plans.ordered import ordinal, prefix_sum
+from tablewright.plans.ordered import following, ordinal, prefix_sum
 
 
 def _is_pos(label: str, pos_label) -> Column:
@@ -48,11 +48,22 @@ def _score_counts(df: DataFrame, score_col: str, label: str, pos_label, groups:
 
 
 # E2
-def roc_points(df: DataFrame, score_col: str, label: str, pos_label=1, groups: Sequence[str] = ()) -> DataFrame:
-    """(threshold, tp, fp, cum_tp, cum_fp, tpr, fpr): one point per distinct score, descending."""
+def roc_points(
+    df: DataFrame, score_col: str, label: str, pos_label=1, groups: Sequence[str] = (), drop_intermediate: bool = False
+) -> DataFrame:
+    """(threshold, tp, fp, cum_tp, cum_fp, tpr, fpr): one point per distinct score, descending.
+
+    ``drop_intermediate`` leaves out the points inside a straight line: those whose step equals the next one.  The
+    next point may lie in another range of scores; the first and the last point of a group always stay.
+    """
     groups = list(groups)
     counts = _score_counts(df, score_col, label, pos_label, groups)
     cum = prefix_sum(counts, [F.col("threshold").desc()], ["tp", "fp"], partition_by=groups, total_prefix="all_")
+    if drop_intermediate:
+        step = F.struct("tp", "fp")
+        cum = following(cum, [F.col("threshold").desc()], {"_next": step}, groups)
+        first = (F.col("cum_tp") == F.col("tp")) & (F.col("cum_fp") == F.col("fp"))
+        cum = cum.filter(first | F.col("_next").isNull() | (F.col("_next") != step))
     return cum.select(
         *groups, "threshold", "tp", "fp", "cum_tp", "cum_fp",
         F.try_divide(F.col("cum_tp").cast("double"), F.col("all_tp").cast("double")).alias("tpr"),
@@ -123,8 +134,9 @@ def mae(df: DataFrame, pred: str, label: str) -> DataFrame:
 
 # E8
 def r2(df: DataFrame, pred: str, label: str) -> DataFrame:
-    """1 - SSE / SST with SST = n * var_pop(y), all in one aggregation."""
-    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
+    """1 - SSE / SST with SST = n * var_pop(y), all in one aggregation over the rows that have both values."""
+    both = F.col(label).isNotNull() & F.col(pred).isNotNull()
+    y, p = F.when(both, F.col(label).cast("double")), F.col(pred).cast("double")
     out = df.agg(
         F.sum((y - p) * (y - p)).alias("_sse"), F.var_pop(y).alias("_var"), F.count(y).cast("double").alias("_n")
     )

@@ -141,25 +141,27 @@ def linear_svm(label: str = "label", features: str = "features", C: float = 1.0,
 
 
 def sgd_linear(label: str = "label", features: str = "features", alpha: float = 1e-4, penalty: str = "l2",
-               max_iter: int = 100, l1_ratio: float = 0.15, n_classes: int | None = None):
-    """Hinge-loss linear model.  ``l2`` uses Spark's LinearSVC per class; ``elasticnet``
-    uses the data-parallel trainer (``models.trainer``)."""
+               max_iter: int = 100, l1_ratio: float = 0.15, n_classes: int | None = None, local_epochs: int = 1, seed: int = 0):
+    """Hinge-loss linear model.  ``l2`` uses Spark's LinearSVC per class; ``elasticnet`` takes stochastic steps in
+    every partition and averages the models each round (``models.sgd``)."""
     if penalty == "l2":
         return linear_svm(label, features, reg_param=alpha, max_iter=max_iter)
     if penalty == "elasticnet":
-        from tablewright.operators.models.trainer import LinearTrainer
+        from tablewright.operators.models.sgd import SGDTrainer
 
-        return LinearTrainer(labelCol=label, featuresCol=features, loss="hinge", alpha=alpha, l1_ratio=l1_ratio,
-                             maxIter=max_iter, numClasses=n_classes)
+        return SGDTrainer(labelCol=label, featuresCol=features, loss="hinge", alpha=alpha, l1_ratio=l1_ratio,
+                          maxIter=max_iter, localEpochs=local_epochs, numClasses=n_classes, seed=seed)
     raise ValueError("penalty must be 'l2' or 'elasticnet'")
 
 
 # M11
-def perceptron(label: str = "label", features: str = "features", max_iter: int = 50, n_classes: int | None = None):
-    from tablewright.operators.models.trainer import LinearTrainer
+def perceptron(label: str = "label", features: str = "features", max_iter: int = 50, n_classes: int | None = None,
+               local_epochs: int = 1, shuffle: bool = True, seed: int = 0):
+    """Averaged perceptron: ``max_iter`` rounds of ``local_epochs`` epochs in every partition (``models.sgd``)."""
+    from tablewright.operators.models.sgd import SGDTrainer
 
-    return LinearTrainer(labelCol=label, featuresCol=features, loss="perceptron", alpha=0.0, l1_ratio=0.0,
-                         maxIter=max_iter, numClasses=n_classes)
+    return SGDTrainer(labelCol=label, featuresCol=features, loss="perceptron", maxIter=max_iter, localEpochs=local_epochs,
+                      shuffle=shuffle, numClasses=n_classes, seed=seed)
 
 
 # M12
@@ -207,30 +209,32 @@ class AdaBoost(Estimator, _AdaBoostParams, DefaultParamsReadable, DefaultParamsW
         label, features, rate = self.getLabelCol(), self.getFeaturesCol(), self.getOrDefault("learning_rate")
         ensure_checkpoint_dir(df.sparkSession)
         data = df.select(features, F.col(label).cast("double").alias(label), F.lit(1.0).alias("_w")).persist()
-        k = max(int(data.agg(F.max(label)).first()[0] or 0) + 1, 2)
-        trees, alphas = [], []
-        for t in range(self.getOrDefault("n_estimators")):
-            tree = DecisionTreeClassifier(labelCol=label, featuresCol=features, weightCol="_w",
-                                          maxDepth=self.getOrDefault("max_depth"), predictionCol="_p",
-                                          rawPredictionCol="_raw", probabilityCol="_prob").fit(data)
-            pred = tree.transform(data)
-            wrong = (F.col("_p") != F.col(label)).cast("double")
-            row = pred.agg(F.sum(F.col("_w") * wrong).alias("e"), F.sum("_w").alias("s")).first()
-            err = (row["e"] or 0.0) / row["s"]
-            if err >= 1.0 - 1.0 / k:
-                break
-            err = max(err, 1e-10)
-            alpha = rate * (math.log((1 - err) / err) + math.log(k - 1))
-            trees.append(tree)
-            alphas.append(alpha)
-            if err <= 1e-10:
-                break
-            new = pred.select(features, label, (F.col("_w") * F.exp(F.lit(alpha) * wrong)).alias("_w"))
-            new = new.checkpoint(eager=True) if (t + 1) % self.CHECKPOINT_EVERY == 0 else new.persist()
-            new.count()  # before what it is made from is let go
+        k, trees, alphas = 2, [], []
+        try:
+            k = max(int(data.agg(F.max(label)).first()[0] or 0) + 1, 2)
+            for t in range(self.getOrDefault("n_estimators")):
+                tree = DecisionTreeClassifier(labelCol=label, featuresCol=features, weightCol="_w",
+                                              maxDepth=self.getOrDefault("max_depth"), predictionCol="_p",
+                                              rawPredictionCol="_raw", probabilityCol="_prob").fit(data)
+                pred = tree.transform(data)
+                wrong = (F.col("_p") != F.col(label)).cast("double")
+                row = pred.agg(F.sum(F.col("_w") * wrong).alias("e"), F.sum("_w").alias("s")).first()
+                err = (row["e"] or 0.0) / row["s"]
+                if err >= 1.0 - 1.0 / k:
+                    break
+                err = max(err, 1e-10)
+                alpha = rate * (math.log((1 - err) / err) + math.log(k - 1))
+                trees.append(tree)
+                alphas.append(alpha)
+                if err <= 1e-10:
+                    break
+                new = pred.select(features, label, (F.col("_w") * F.exp(F.lit(alpha) * wrong)).alias("_w"))
+                new = new.checkpoint(eager=True) if (t + 1) % self.CHECKPOINT_EVERY == 0 else new.persist()
+                new.count()  # before what it is made from is let go
+                data.unpersist()
+                data = new
+        finally:
             data.unpersist()
-            data = new
-        data.unpersist()
         model = AdaBoostModel(trees, alphas, k)
         return model._set(labelCol=label, featuresCol=features, predictionCol=self.getPredictionCol())
 

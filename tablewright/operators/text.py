@@ -8,12 +8,18 @@ shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions import text as tf
 from tablewright.plans.ordered import ordinal
@@ -23,6 +29,13 @@ from tablewright.session import ensure_checkpoint_dir
 
 # width of a model's input vectors
 MAX_VECTOR_TERMS = 2_000_000
+# terms that tasks look up in memory, and the bytes of the longest of them: 25 MB at most
+HOT_TERMS = 100_000
+HOT_TERM_BYTES = 256
+# parts that a frequent term without an entry is dealt to
+SALTS = 16
+# rows that a task works on at once
+BLOCK_ROWS = 1000
 
 
 # T7
@@ -128,50 +141,95 @@ def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
     )
 
 
-# T10
-def tfidf(
-    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int, max_vocab_rows: int = 200_000
+def _looked_up(
+    df: DataFrame, tokens_col: str, vocab: DataFrame, value: str, rank: str, keep: list[str], work: Callable, schema: T.StructType
 ) -> DataFrame:
+    """Rows to rows by ``work(batch, tokens, value of each token)``; a row stays a row, whatever its id.
+
+    The ``HOT_TERMS`` first terms by ``rank`` (from 0) go to the tasks as one Arrow table.  Only if there are more,
+    rows get a key of their own, written once with a reliable checkpoint; the other terms of each row are joined in by
+    a shuffle (a frequent term without an entry is dealt to ``SALTS`` tasks) and come back to the row by that key.
+    """
+    spark = df.sparkSession
+    kind = vocab.schema[value].dataType
+    entries = vocab.select("term", F.col(value).alias("value"), F.col(rank).alias("rank"))
+    hot = (F.col("rank") < HOT_TERMS) & (F.octet_length("term") <= HOT_TERM_BYTES)
+    held = entries.where(hot).select("term", "value").toArrow()  # at most HOT_TERMS terms of HOT_TERM_BYTES bytes
+    cold = entries.where(~hot).select(F.col("term").alias("_tw_term"), "value")
+    rows = df.select(*keep, F.col(tokens_col).alias("_tw_tokens"))
+    if cold.isEmpty():
+        empty = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("value", kind)]))
+        rows = rows.withColumn("_tw_cold", F.lit(None).cast(empty))
+    else:
+        ensure_checkpoint_dir(spark)
+        rows = rows.withColumn("_tw_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+        terms = rows.select("_tw_row", F.explode(F.array_distinct("_tw_tokens")).alias("term"))
+        known = F.broadcast(entries.where(hot).select(F.col("term").alias("_tw_hot")))
+        terms = terms.join(known, F.col("term") == F.col("_tw_hot"), "left_anti")
+        terms = terms.withColumn("salt", F.pmod(F.xxhash64("_tw_row"), F.lit(SALTS)))
+        found = terms.select("term", "salt").distinct().join(cold, F.col("term") == F.col("_tw_term"))
+        found = found.select(F.col("_tw_term"), F.col("salt").alias("_tw_salt"), "value")
+        found = terms.join(found, (F.col("term") == F.col("_tw_term")) & (F.col("salt") == F.col("_tw_salt")))
+        found = found.groupBy("_tw_row").agg(F.collect_list(F.struct("term", "value")).alias("_tw_cold"))
+        rows = rows.join(found, "_tw_row", "left").drop("_tw_row")
+    sent = spark.sparkContext.broadcast((held["term"].combine_chunks(), held["value"].combine_chunks()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, values = sent.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
+                tokens = batch.column("_tw_tokens")
+                flat = tokens.flatten()
+                coded = flat.dictionary_encode() if flat.type == pa.string() else flat.cast(pa.string()).dictionary_encode()
+                entry = pc.take(values, pc.index_in(coded.dictionary, terms))
+                more = batch.column("_tw_cold").flatten()
+                if len(more):
+                    place = pc.index_in(coded.dictionary, more.field("term"))
+                    entry = pc.coalesce(entry, pc.take(more.field("value"), place))
+                sizes = np.where(tokens.is_null().to_numpy(zero_copy_only=False), 0, pc.fill_null(pc.list_value_length(tokens), 0))
+                yield work(batch, np.repeat(np.arange(batch.num_rows), sizes), coded, entry)
+
+    return rows.mapInArrow(run, schema)
+
+
+# T10
+def tfidf(df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int) -> DataFrame:
     """Long-form L2-normalised TF-IDF weights (doc, term, weight).
 
-    A document is one row: its terms are counted, weighted and normalised in
-    the row, against the vocabulary from ``count_vectorize``, and exploded
-    last, without a shuffle.  A vocabulary of more than ``max_vocab_rows``
-    terms is joined by a shuffle instead.
+    A document is one row, whatever its id: rows that share an id are weighted by themselves, and rows with a null id
+    stay.  Terms are counted, weighted and normalised in the row, against the vocabulary from ``count_vectorize`` of
+    any size (``_looked_up``).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    idf = idf_table(vocab, n_docs).select("term", "idf").checkpoint(eager=True)
-    if idf.count() > max_vocab_rows:
-        return _tfidf_shuffled(df, doc_col, tokens_col, idf)
-    rows = idf.orderBy("term").collect()  # at most max_vocab_rows
-    if not rows:
-        return _tfidf_shuffled(df, doc_col, tokens_col, idf)
-    model = _vector_model([r["term"] for r in rows], [r["idf"] for r in rows], tokens_col, "_tw_features")
-    filled = df.select(doc_col, F.coalesce(F.col(tokens_col), F.array().cast("array<string>")).alias(tokens_col))
-    vectors = model.transform(filled).select(doc_col, F.unwrap_udt("_tw_features").alias("v"))
-    pairs = F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("w"))
-    long = vectors.select(doc_col, F.explode(pairs).alias("x")).where(F.col("x.w") != 0)
-    terms = df.sparkSession.createDataFrame([(i, r["term"]) for i, r in enumerate(rows)], "i int, term string")
-    # at most max_vocab_rows rows
-    out = long.select(doc_col, F.col("x.i").alias("_tw_i"), F.col("x.w").alias("weight")).join(
-        F.broadcast(terms), F.col("_tw_i") == F.col("i"))
-    return out.select(doc_col, "term", "weight")
-
-
-def _tfidf_shuffled(df: DataFrame, doc_col: str, tokens_col: str, idf: DataFrame) -> DataFrame:
-    """T10 for a vocabulary of any size: counts by (doc, term), joined on the term."""
-    counts = _terms(df, tokens_col, doc_col).groupBy(doc_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    terms = counts.join(idf, "term").select(doc_col, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    # norms by a map-side-combined aggregation joined back on the document (not a
-    # window), so an oversized document can be split by AQE's skew-join handling
-    norms = terms.groupBy(doc_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_tw_norm"))
-    out = terms.join(norms, doc_col)
-    return out.select(doc_col, "term", F.try_divide(F.col("w"), F.col("_tw_norm")).alias("weight"))
-
-
-def _vector_model(terms: list[str], idf: list[float], tokens_col: str, out: str) -> PipelineModel:
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol="_tw_counts")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tw_counts", outputCol="_tw_tfidf")
+    ranked = ordinal(idf_table(vocab, n_docs).select("term", "idf", "doc_freq"), [F.col("doc_freq").desc(), F.col("term").asc()], out="_rk")
+    ranked = ranked.withColumn("_rk", F.col("_rk") - 1)
+
+    def weigh(batch: pa.RecordBatch, rows: np.ndarray, coded: pa.DictionaryArray, idf: pa.Array) -> pa.RecordBatch:
+        code = pc.fill_null(coded.indices, -1).to_numpy()
+        known = pc.fill_null(idf, 0.0).to_numpy()
+        good = code >= 0
+        good[good] = known[code[good]] > 0
+        size = max(len(known), 1)
+        pair, tf = np.unique(rows[good] * size + code[good], return_counts=True)
+        row, term = pair // size, pair % size
+        w = tf * known[term] if len(known) else np.zeros(0)
+        norm = np.sqrt(np.bincount(row, w * w, batch.num_rows))
+        columns = [batch.column(doc_col).take(pa.array(row)), coded.dictionary.take(pa.array(term)), pa.array(w / norm[row])]
+        return pa.RecordBatch.from_arrays(columns, names=[doc_col, "term", "weight"])
+
+    out = T.StructType([df.schema[doc_col], T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())])
+    return _looked_up(df, tokens_col, ranked, "idf", "_rk", [doc_col], weigh, out)
+
+
+def _vector_model(entries: pa.Table, tokens_col: str, out: str) -> PipelineModel:
+    """Counts, weights and normalises in the JVM.  The vocabulary gets there as one string, not term by term."""
+    jvm = SparkContext._active_spark_context._jvm
+    terms = entries["term"].to_pylist()
+    cut = next(c for c in map(chr, range(1, 1 << 16)) if not any(c in t for t in terms))
+    java = jvm.java.util.regex.Pattern.compile(cut, jvm.java.util.regex.Pattern.LITERAL).split(cut.join(terms), -1)
+    cv = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", java)
+    cv.setInputCol(tokens_col).setOutputCol("_tw_counts")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(entries["idf"].to_numpy()), inputCol="_tw_counts", outputCol="_tw_tfidf")
     return PipelineModel([cv, scale, Normalizer(p=2.0, inputCol="_tw_tfidf", outputCol=out)])
 
 
@@ -188,8 +246,10 @@ def encode_text_model(
     held = vocab.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     if held > MAX_VECTOR_TERMS:
         raise ValueError(f"{held} terms: vectors need a vocabulary of at most {MAX_VECTOR_TERMS}; set max_features")
-    rows = idf_table(vocab, train.count()).orderBy("term_index").select("term", "idf").collect()
-    return _vector_model([r["term"] for r in rows], [r["idf"] for r in rows], tokens_col, out), vocab
+    if not held:
+        raise ValueError("no terms within the bounds: an empty vocabulary")
+    entries = idf_table(vocab, train.count()).orderBy("term_index").select("term", "idf").toArrow()
+    return _vector_model(entries, tokens_col, out), vocab
 
 
 # T12 / L2
@@ -209,53 +269,32 @@ def rank_terms(vocab: DataFrame) -> DataFrame:
     return ranked
 
 
-SALTS = 16
-
-
 # T13
 def encode_sequence(
-    df: DataFrame,
-    doc_col: str,
-    tokens_col: str,
-    vocab: DataFrame,
-    unknown_id: int = 1,
-    out: str = "seq",
-    hot_terms: int = 10_000,
-    first_id: int = 2,
+    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, unknown_id: int = 1, out: str = "seq", first_id: int = 2,
     last: int | None = None,
-) -> DataFrame:
+) -> DataFrame:
     """Tokens -> ids in order; unknown terms -> ``unknown_id``.  ``last`` keeps only a document's last tokens.
 
-    The most frequent ``hot_terms`` ids are looked up through a broadcast
-    (bounded by ``hot_terms`` rows).  The other tokens are first reduced to
-    their distinct terms per task and term (map side), looked up once per
-    distinct term, and the ids come back through a salted join: a frequent
-    term that the vocabulary lacks is dealt to ``SALTS`` tasks.  Documents are
-    then re-assembled with an ordered ``collect_list`` per document.
+    A document is one row, whatever its id: rows that share an id, and rows with a null one, keep their own tokens.
+    Rows without tokens get an empty sequence; null tokens are left out.  Ids are dense from ``first_id`` in frequency
+    order (``build_vocabulary``), so the most frequent terms are looked up in the task (``_looked_up``).
     """
     if last is not None:
-        held = F.col(tokens_col)
+        held = F.filter(F.col(tokens_col), lambda x: x.isNotNull())
         df = df.withColumn(tokens_col, F.slice(held, F.greatest(F.size(held) - int(last) + 1, F.lit(1)), int(last)))
-    cutoff = first_id + hot_terms  # ids are dense from first_id in frequency order (build_vocabulary)
-    hot = vocab.filter(F.col("term_id") < F.lit(cutoff)).select(F.col("term").alias("_h_term"), F.col("term_id").alias("_h_id"))
-    cold = vocab.filter(F.col("term_id") >= F.lit(cutoff)).select(F.col("term").alias("_c_term"), F.col("term_id").alias("_c_id"))
-    toks = df.select(doc_col, F.posexplode_outer(tokens_col).alias("pos", "term")).filter(F.col("term").isNotNull())
-    toks = toks.join(F.broadcast(hot), F.col("term") == F.col("_h_term"), "left")
-    matched = toks.filter(F.col("_h_id").isNotNull()).select(doc_col, "pos", F.col("_h_id").alias("id"))
-    rest = toks.filter(F.col("_h_id").isNull()).select(
-        doc_col, "pos", "term", F.pmod(F.xxhash64(doc_col, "pos"), F.lit(SALTS)).alias("salt"))
-    known = rest.select("term", "salt").distinct().join(cold, F.col("term") == F.col("_c_term"))
-    known = known.select(F.col("term").alias("_k_term"), F.col("salt").alias("_k_salt"), "_c_id")
-    rest = rest.join(known, (F.col("term") == F.col("_k_term")) & (F.col("salt") == F.col("_k_salt")), "left").select(
-        doc_col, "pos", F.coalesce(F.col("_c_id"), F.lit(unknown_id)).alias("id")
-    )
-    ids = matched.unionByName(rest)
-    seqs = ids.groupBy(doc_col).agg(F.sort_array(F.collect_list(F.struct("pos", F.col("id").cast("int").alias("id")))).alias("_s"))
-    seqs = seqs.select(doc_col, F.col("_s.id").alias(out))
-    # documents without tokens keep an empty sequence
-    return df.select(doc_col).join(seqs, doc_col, "left").select(
-        doc_col, F.coalesce(F.col(out), F.array().cast("array<int>")).alias(out)
-    )
+    entries = vocab.select("term", F.col("term_id").cast("int").alias("term_id"), (F.col("term_id") - first_id).alias("_rk"))
+
+    def encode(batch: pa.RecordBatch, rows: np.ndarray, coded: pa.DictionaryArray, ids: pa.Array) -> pa.RecordBatch:
+        known = pc.fill_null(ids, unknown_id).to_numpy().astype(np.int32)
+        code = pc.fill_null(coded.indices, -1).to_numpy()
+        good = code >= 0
+        ends = np.concatenate(([0], np.cumsum(np.bincount(rows[good], minlength=batch.num_rows)))).astype(np.int32)
+        flat = known[code[good]] if len(known) else np.zeros(0, np.int32)
+        return pa.RecordBatch.from_arrays([batch.column(doc_col), pa.ListArray.from_arrays(ends, flat)], names=[doc_col, out])
+
+    schema = T.StructType([df.schema[doc_col], T.StructField(out, T.ArrayType(T.IntegerType()))])
+    return _looked_up(df, tokens_col, entries, "term_id", "_rk", [doc_col], encode, schema)
 
 
 def sequence_matrix(df: DataFrame, seq_col: str, max_features: int, maxlen: int, out: str = "padded") -> DataFrame:

@@ -7,6 +7,7 @@ can be stratified.  Results come back as DataFrames.
 
 from __future__ import annotations
 
+import hashlib
 import random
 import time
 from collections.abc import Mapping, Sequence
@@ -57,9 +58,8 @@ def grid_search(est: Estimator, grid: Mapping[str, Sequence] | list, evaluator:
 
 
 # G2
-def random_search(est: Estimator, space: Mapping[str, Sequence], n_iter: int, evaluator: Evaluator, seed: int = 0,
-                  **kw) -> CrossValidator:
-    """``n_iter`` parameter sets drawn (with a seed) from the listed values."""
+def random_sets(est: Estimator, space: Mapping[str, Sequence], n_iter: int, seed: int = 0) -> list[dict]:
+    """``n_iter`` different parameter sets drawn (with a seed) from the listed values, or all, if there are fewer."""
     rng = random.Random(seed)
     maps, seen = [], set()
     for _ in range(n_iter * 20):
@@ -70,7 +70,13 @@ def random_search(est: Estimator, space: Mapping[str, Sequence], n_iter: int, ev
             continue
         seen.add(choice)
         maps.append({find_param(est, k): v for k, v in choice})
-    return grid_search(est, maps, evaluator, seed=seed, **kw)
+    return maps
+
+
+def random_search(est: Estimator, space: Mapping[str, Sequence], n_iter: int, evaluator: Evaluator, seed: int = 0,
+                  **kw) -> CrossValidator:
+    """Search over ``random_sets``."""
+    return grid_search(est, random_sets(est, space, n_iter, seed), evaluator, seed=seed, **kw)
 
 
 # G3
@@ -124,6 +130,85 @@ def search_results(spark: SparkSession, model, seconds: float | None = None) ->
     return out.withColumn("seconds", F.lit(seconds)) if seconds is not None else out
 
 
+def _named(params: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name))
+
+
+# G1 / G4 / S7
+def resumable_search(
+    est: Estimator, grid: Mapping[str, Sequence] | list, evaluator: Evaluator, df: DataFrame, fold_col: str, folds: int,
+    path: str, parallelism: int = 4, train_metric: bool = True,
+) -> DataFrame:
+    """Cross-validated search that keeps every finished (parameter set, fold) in a table at ``path``.
+
+    A search that was stopped goes on where it ended: sets and folds that the table holds are not fitted again, and
+    the result is that of an uninterrupted search.  A finished fit is one Parquet folder, committed as a whole by
+    Spark.  Entries are found by the estimator, the parameters' text and the fold, so a search over a larger grid
+    reuses what a smaller one left.  Gives (param_set, params, mean_metric, std_metric, mean_train_metric, folds);
+    ``search_table`` reads the single fits.
+    """
+    spark, maps = df.sparkSession, grid if isinstance(grid, list) else param_grid(est, grid)
+    names, learner = [_named(m) for m in maps], _learner(est)
+    done = {(r["params"], r["fold"]) for r in search_table(spark, path).where(F.col("learner") == learner).collect()}
+    jobs = [(j, fold) for fold in range(folds) for j in range(len(maps)) if (names[j], fold) not in done]
+    if jobs:
+        held = df.persist()
+
+        def one(job: tuple[int, int]) -> None:
+            j, fold = job
+            began = time.time()
+            train, test = held.filter(F.col(fold_col) != fold), held.filter(F.col(fold_col) == fold)
+            model = est.fit(train, maps[j])
+            metric = float(evaluator.evaluate(model.transform(test)))
+            fitted = float(evaluator.evaluate(model.transform(train))) if train_metric else None
+            row = (learner, names[j], fold, metric, fitted, time.time() - began)
+            key = hashlib.sha256(f"{learner}|{names[j]}|{fold}".encode()).hexdigest()[:32]
+            spark.createDataFrame([row], SEARCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/fit={key}")
+
+        try:
+            _in_threads(one, jobs, parallelism)
+        finally:
+            held.unpersist()
+    table = search_table(spark, path).where((F.col("learner") == learner) & (F.col("fold") < folds))
+    order = spark.createDataFrame(list(enumerate(names)), "param_set int, params string")
+    each = table.join(F.broadcast(order), "params")  # one row for each set of the grid
+    return each.groupBy("param_set", "params").agg(
+        F.avg("metric").alias("mean_metric"), F.stddev_samp("metric").alias("std_metric"),
+        F.avg("train_metric").alias("mean_train_metric"), F.count(F.lit(1)).alias("folds"),
+    )
+
+
+def best_set(results: DataFrame, maps: list[dict], larger: bool = True) -> dict:
+    """The parameter set of the best mean metric in a table of results (ties: the first one)."""
+    order = F.col("mean_metric").desc() if larger else F.col("mean_metric").asc()
+    return maps[results.orderBy(order, "param_set").first()["param_set"]]
+
+
+SEARCH_SCHEMA = "learner string, params string, fold int, metric double, train_metric double, seconds double"
+
+
+def _learner(est: Estimator) -> str:
+    """The estimator with the parameters that the grid doesn't set."""
+    stages = est.getStages() if isinstance(est, Pipeline) else [est]
+    texts = []
+    for s in stages:
+        own = {p.name: v for p, v in s.extractParamMap().items()}
+        texts.append(f"{type(s).__name__}({', '.join(f'{k}={own[k]}' for k in sorted(own))})")
+    return " | ".join(texts)
+
+
+def search_table(spark: SparkSession, path: str) -> DataFrame:
+    """The finished fits of a search: learner, params, fold, metric, train_metric, seconds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # only folders that were committed
+    found = system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/fit=*/_SUCCESS"))
+    paths = [str(f.getPath().getParent()) for f in found or []]
+    if not paths:
+        return spark.createDataFrame([], SEARCH_SCHEMA)
+    return spark.read.schema(SEARCH_SCHEMA).parquet(*paths)
+
+
 # G5
 def best_params(model) -> dict:
     """Winning parameters, read from the best model (last stage of a pipeline)."""

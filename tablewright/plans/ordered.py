@@ -168,6 +168,34 @@ def prefix_sum(
     return joined.select(*[local[c] for c in df.columns], *cums, *totals)
 
 
+def following(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    values: dict[str, Column],
+    partition_by: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add each row's ``values`` of the row behind it: ``lead(v) over (partition by .. order by ..)`` for any group size.
+
+    Inside a range of the order it is a window over the range; the last row of a range takes the first row of the
+    next range that has rows, from a table of one row per range (broadcast while that is small).  NULL behind a
+    group's last row.
+    """
+    partition_by = list(partition_by)
+    group = F.struct(*partition_by, F.lit(0).alias("_tw_one"))
+    held = F.struct(group.alias("g"), *[v.alias(k) for k, v in values.items()])
+    ranged = _ranged(df.withColumn("_tw_v", held), order, partition_by, num_partitions)
+    inside = Window.partitionBy(PID).orderBy(IDX)
+    local = ranged.withColumn("_tw_next", F.lead("_tw_v").over(inside))
+    edges = ranged.groupBy(PID).agg(F.min_by("_tw_v", IDX).alias("_tw_edge"))
+    edges = edges.select(PID, F.lead("_tw_edge").over(Window.orderBy(PID)).alias("_tw_edge"))
+    edges = _renamed(edges, [], edges.count())
+    joined = local.join(edges, local[PID] == edges["_tw_rpid"], "inner")
+    behind = F.coalesce("_tw_next", "_tw_edge")
+    same = behind["g"].eqNullSafe(F.col("_tw_v")["g"])
+    return joined.select(*[local[c] for c in df.columns], *[F.when(same, behind[k]).alias(k) for k in values])
+
+
 def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Element-wise inequality in which two missing values are equal."""
     return ~((a == b) | (pd.isna(a) & pd.isna(b)))

@@ -19,14 +19,28 @@ def read_delimited(
     infer: bool = False,
     pin: T.StructType | None = None,
     mode: str = "PERMISSIVE",
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Delimited text with an explicit schema, or with inferred types pinned to ``pin``.
 
+    ``corrupt`` names a further column that holds the whole line of a row which doesn't fit the schema (a value of
+    another type, too few or too many fields) and is NULL for all others; without it such values become NULL unseen.
+    ``quarantine`` and ``reject_report`` work on it.
+
     Inference is a full extra pass over the files; on large inputs give a
     schema.  ``pin`` casts the inferred columns to the declared types so the
     result schema is stable across files.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
+    if corrupt is not None:
+        if schema is None:
+            raise ValueError("corrupt rows are those that don't fit a schema: give one")
+        if corrupt in schema.names:
+            raise ValueError(f"the schema has a column {corrupt!r} already")
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+        df = reader.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])).csv(path)
+        # true of every row; it reads all fields, for a row's verdict would else depend on the columns that a query reads
+        return df.where(F.pmod(F.hash(*schema.names), F.lit(1)) == 0)
     if schema is not None:
         return reader.schema(schema).csv(path)
     df = reader.option("inferSchema", infer).csv(path)
@@ -35,6 +49,17 @@ def read_delimited(
     return df
 
 
+def quarantine(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, without the corrupt column; the rejected rows as they are)."""
+    return df.where(F.col(corrupt).isNull()).drop(corrupt), df.where(F.col(corrupt).isNotNull())
+
+
+def reject_report(df: DataFrame, corrupt: str) -> DataFrame:
+    """(n_rows, n_good, n_rejected) of a table read with a corrupt column."""
+    bad = F.col(corrupt).isNotNull()
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_rejected"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = True, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
 

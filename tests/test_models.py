@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import evaluate, tuning
 from tablewright.operators.models import anomaly, classify, regress
-from tablewright.operators.models.trainer import LinearTrainer
 from tablewright.sources import io
 
 
@@ -30,7 +29,7 @@ def test_gbt_probabilities_sum_to_one(spark):
 
 def test_trainer_hinge_learns(spark):
     df = _toy(spark)
-    m = LinearTrainer(loss="hinge", alpha=1e-4, maxIter=20, numClasses=2).fit(df)
+    m = classify.sgd_linear(alpha=1e-4, penalty="elasticnet", max_iter=20, n_classes=2).fit(df)
     acc = evaluate.accuracy(m.transform(df), "prediction", "label").first()[0]
     assert acc > 0.9
 
