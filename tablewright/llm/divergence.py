@@ -164,7 +164,8 @@ def pair_sums(counts: DataFrame, totals: DataFrame) -> DataFrame:
     sliced = cut(sizes.withColumn("slice", F.floor(F.coalesce(F.sum("sources").over(before), F.lit(0)) / MAX_GROUPS)))
     summed = zero
     for number in [r[0] for r in sliced.select("slice").distinct().orderBy("slice").collect()]:
-        of = sliced.where(F.col("slice") == number)
+        # languages of at most MAX_GROUPS groups, or one
+        of = F.broadcast(sliced.where(F.col("slice") == number))
         summed = summed.unionAll(_slice_sums(rows.join(of.select("lang", "blocks"), "lang"), totals.join(of, "lang")))
     return summed.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
@@ -250,6 +251,8 @@ def _runs(batches: Iterator[pa.RecordBatch], most: dict[str, int]) -> Iterator[p
 
 def term_values(counts: DataFrame, totals: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     """(lang, source, item, value, rank): the terms that a source has beyond its language's rate, the first ``top``."""
+    # a hot source's terms aren't shuffled by it while the groups are few
+    totals = F.broadcast(totals) if totals.count() <= MAX_GROUPS else totals
     rows = counts.where(F.col("term").isNotNull() & (F.col("n") > 0)).join(totals, ["lang", "source"])
     p = rate(F.col("n") + 1, F.col("n_group") + F.col("v")).alias("p")
     q = rate(F.col("n_lang") + 1, F.col("n_all") + F.col("v")).alias("q")

@@ -9,20 +9,24 @@ each eight languages.  No language is left out.
 Prediction: every n-gram occurrence of the whole text is looked up; the popcount of each language's bit, less the
 share expected from its filter's false positives, decides.  Ties go to the language with more learned documents, then
 to the smaller name; a text with letters of which no n-gram is known gets the first language with score 0.
-``keep_known`` drops what is undetermined and nothing else: the score's height depends on script, length and subject,
-so it's no ground to drop a text.
-
-Nulls and odd input: a null text or one without a letter is ``und`` with score 0; a null language is not learned
-from; without any learned language everything is ``und``.  Texts of any length are worked through in pieces.
-Repeated rows are judged one by one; other columns pass through ``keep_known`` unchanged.
+``settle`` lets the verdicts take effect on a table: texts without a letter go, and so do texts whose language is not
+among the ``wanted`` ones, if those are given; a missing language is filled in.  The height of a score depends on
+script, length and subject, so it's no ground to drop a text.
+
+Nulls and odd input: a null text or one without a letter (by Unicode category; digits in circles, superscripts and
+the like are none) is ``und`` with score 0; a null language is not learned from; without any learned language
+everything is ``und``, and ``settle`` keeps what has a letter.  Texts of any length are worked through in pieces.
+Repeated rows are judged one by one; other columns pass through ``settle`` unchanged.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,33 @@ MAX_SIZE = 4
 MIN_SHARE = 0.005
 PIECE = 1 << 18
 UNDETERMINED = "und"
+
+
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+@cache
+def _numerals() -> tuple[re.Pattern, re.Pattern]:
+    r"""Numerals that ``\w`` holds and ``\d`` doesn't (superscripts, digits in circles, fractions ..), by plane: a
+    pattern of the first plane's characters alone is searched by a table."""
+    held = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+    return tuple(re.compile(f"[{''.join(c for c in held if (c > chr(0xFFFF)) == beyond)}]") for beyond in (False, True))
+
+
+def letters_of(text: str) -> str:
+    """The text in lower case, its runs of what isn't a letter as one space each."""
+    text = text.lower()
+    if not text.isascii():
+        near, beyond = _numerals()
+        text = near.sub(" ", text)
+        text = beyond.sub(" ", text) if max(text) > chr(0xFFFF) else text
+    return _NOT_LETTERS.sub(" ", text).strip()
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pieces of (document number, n-gram hash) over all n-gram occurrences of the texts' words."""
     held, owners, size = [], [], 0
@@ -48,7 +76,7 @@ def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         body = text or ""
         for at in range(0, len(body), PIECE):
             # a piece starts where the last one ended; a word cut there yields two shorter words
-            letters = _NOT_LETTERS.sub(" ", body[at : at + PIECE].lower()).strip()
+            letters = letters_of(body[at : at + PIECE])
             if not letters:
                 continue
             held.append(f" {letters} ")
@@ -122,9 +150,9 @@ class Filters:
         true = np.maximum(hits - total[:, None] * self.false_rate, 0) / (1 - self.false_rate)
         best = true.argmax(axis=1)
         share = true[np.arange(len(texts)), best] / np.maximum(total, 1)
-        sure = [t >= 64 or any(map(str.isalpha, x or "")) for x, t in zip(texts, total)]
         return [
-            (self.languages[b], float(min(1.0, s))) if k else (UNDETERMINED, 0.0) for b, s, k in zip(best, share, sure)
+            (self.languages[b], float(min(1.0, s))) if has_letter(x) else (UNDETERMINED, 0.0)
+            for x, b, s in zip(texts, best, share)
         ]
 
 
@@ -202,14 +230,26 @@ def predict(df: DataFrame, filters: Filters, keep: list[str], text: str = "text"
     return scan(df.select(*keep, F.col(text).alias("_text")), make, schema, rows=500)
 
 
-def keep_known(df: DataFrame, filters: Filters, text: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows whose language is determined (with a score of at least ``least``); every column stays as it is."""
+def settle(
+    df: DataFrame, filters: Filters, text: str = "text", lang: str = "lang", wanted: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows whose language is determined (and ``wanted``, if given), with a missing language filled in."""
     sent = df.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for batch in sliced(batches):
-            found = sent.value.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in found], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            if not known.languages:
+                yield batch.filter(pa.array(map(has_letter, texts), pa.bool_()))
+                continue
+            found = known.predict(texts)
+            at = batch.schema.get_field_index(lang)
+            field = batch.schema.field(at)
+            held = [own if own is not None else name for own, (name, _) in zip(batch.column(at).to_pylist(), found)]
+            batch = batch.set_column(at, field.with_nullable(True), pa.array(held, field.type))
+            keeps = [name != UNDETERMINED and (wanted is None or name in wanted) for name, _ in found]
+            yield batch.filter(pa.array(keeps, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 

@@ -1,15 +1,23 @@
 """Information-theoretic sanitisation of personal data.
 
 Rules find e-mail addresses, IPs, card and phone numbers: the protected entities.  The corpus then tells how strongly
-a term reveals an entity: with document frequencies, information content IC(e) = -log2 P(e) and pointwise mutual
-information PMI(e, t) = log2(P(e, t) / P(e) P(t)).  A term that stands within ``REACH`` words of an entity in at least
-``MIN_TEXTS`` different texts and has PMI >= ``ALPHA`` * IC discloses it: knowing the term gives away that share of
-the entity's information.  All its occurrences, in any document, are generalised, or removed when PMI reaches IC
-itself (the term stands nowhere else).
-
-Three scans: entities with their near terms (a small share of all words, counted by term and entity in a shuffle),
-document frequencies of those terms, and the spans.  The terms go to the executors in blocks of at most
-``BLOCK_TERMS``; more terms mean more scans, not a larger broadcast.
+a term reveals an entity.  Everything is counted in documents (rows): information content IC(e) = -log2 P(e), pointwise
+mutual information PMI(e, t) = log2(P(e, t) / P(e) P(t)), where e and t may stand anywhere in a document.  A term
+discloses an entity when PMI >= ``ALPHA`` * IC, that is, when knowing the term gives away that share of the entity's
+information, and when their meeting is no accident: they meet in two different texts at least, and the chance of so
+many meetings of independent words (a Poisson tail's Chernoff bound) times the entity's terms is at most ``CHANCE``.
+All occurrences of a disclosing term, in any document, are generalised, or removed when PMI reaches IC itself (the
+term stands nowhere else).  An entity of a single text meets all the words of that text once, which says nothing
+about any of them.
+
+Pairs stay few without a cap: entities that stand in exactly the same texts are one class, and so are terms; a term
+is paired with a class only if its document frequency lets it reach the threshold at all, which leaves the frequent
+terms out; and what meets in one text only drops out before any pairing.  Document frequencies of the terms in
+question come from one scan: tasks count the distinct words of their documents that a bitmap of hashes lets through
+(``BITS`` bits whatever the corpus; false hits drop out in the join).
+
+The disclosing terms go to the executors in blocks of at most ``BLOCK_TERMS``; more terms mean more scans, not a
+larger broadcast.
 
 Nulls: a null text is empty.  Repeated rows count as documents in the frequencies, but copies of one text never make
 a term disclosing by themselves.  Other columns are ignored.
@@ -21,18 +29,18 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from tablewright.llm.common import cut, documents, fold, scan, utf8
+from tablewright.llm.common import WordHash, cut, documents, fold, scan, utf8
 from tablewright.llm.spans import Span, digest, joined, replace, to_code_points
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH = 8
-MIN_TEXTS = 3
 ALPHA = 0.8
-MIN_TERM_BYTES = 3
+CHANCE = 0.05
+BITS = 27
 BLOCK_TERMS = 500_000
 
 # The rules, anchored where a run of digits or a plus sign begins.
@@ -41,7 +49,7 @@ CARD = re.compile(rb"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+FOLDED = re.compile(rb"[^ ]+")
 
 
 def emails(body: bytes) -> Iterator[tuple[int, int]]:
@@ -92,58 +100,91 @@ def rule_spans(body: bytes) -> list[Span]:
     return found
 
 
-def near_terms(body: bytes, spans: list[Span], reach: int = REACH) -> Iterator[tuple[bytes, bytes]]:
-    """(entity, term) for the terms within ``reach`` words of each entity; parts of entities are no terms."""
-    margin = 64 * reach
-    for kind, a, z in spans:
-        entity = kind.encode() + b":" + re.sub(rb"[\x20().-]" if kind in ("card", "phone") else rb"\x00", b"", body[a:z]).lower()
-        low, high = max(0, a - margin), min(len(body), z + margin)
-        left = [(m.start() + low, m.end() + low) for m in WORD.finditer(body[low:a])]
-        right = [(m.start() + z, m.end() + z) for m in WORD.finditer(body[z:high])]
-        # a word cut by the margin's edge is left out
-        left = left[1:] if low and left and left[0][0] == low else left
-        right = right[:-1] if high < len(body) and right and right[-1][1] == high else right
-        for x, y in left[-reach:] + right[:reach]:
-            if y - x >= MIN_TERM_BYTES and all(y <= s[1] or s[2] <= x for s in spans):
-                yield entity, fold(body[x:y])
+def entities_and_terms(body: bytes, spans: list[Span]) -> tuple[list[bytes], list[bytes]]:
+    """The distinct entities of a text and its distinct words outside them."""
+    entities, rest, at = {}, [], 0
+    for kind, a, z in sorted(spans, key=lambda s: s[1:]):
+        held = body[a:z].translate(None, b" ().-") if kind in ("card", "phone") else body[a:z]
+        entities[kind.encode() + b":" + held.lower()] = None
+        if a > at:
+            rest.append(body[at:a])
+        at = max(at, z)
+    rest.append(body[at:])
+    return list(entities), list(dict.fromkeys(fold(b" ".join(rest)).split()))
 
 
-def disclosures(df: DataFrame, text: str = "text", alpha: float = ALPHA, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """Terms that disclose an entity: term, ic and pmi (bits) of the entity that it reveals most."""
+def _texts_with_entities(bodies: DataFrame) -> DataFrame:
+    """(label, n, entities, terms) of every text with an entity: n equal rows."""
 
-    def make_pairs() -> Callable:
+    def make() -> Callable:
         def work(columns: list) -> list[tuple]:
             import xxhash
 
-            out: Counter = Counter()
+            held: dict[bytes, int] = {}
             for body in columns[0]:
-                if spans := rule_spans(body):
-                    label = xxhash.xxh3_64_intdigest(body) - (1 << 63)
-                    out.update({(e, t, label) for e, t in near_terms(body, spans)})
-                    out.update({(e, None, label) for e, _ in near_terms(body, spans)})
-            return [(*k, n) for k, n in out.items()]
+                if body in held or rule_spans(body):
+                    held[body] = held.get(body, 0) + 1
+            return [
+                (xxhash.xxh3_64_intdigest(body) - (1 << 63), n, *entities_and_terms(body, rule_spans(body)))
+                for body, n in held.items()
+            ]
 
         return work
 
-    pair = StructType([
-        StructField("entity", BinaryType()), StructField("term", BinaryType()), StructField("label", LongType()),
-        StructField("n", LongType()),
+    schema = StructType([
+        StructField("label", LongType()), StructField("n", LongType()), StructField("entities", ArrayType(BinaryType())),
+        StructField("terms", ArrayType(BinaryType())),
     ])
+    return scan(bodies, make, schema)
+
+
+def _classes(members: DataFrame, name: str, *more: str) -> DataFrame:
+    """(label, n, name, ..): members that stand in the same texts (and agree in ``more``) as one class each.
+
+    A class is known by its number of texts and two independent 128 bits of hash over their labels.
+    """
+    mark = [F.bit_xor(F.xxhash64("label")), F.sum(F.pmod(F.xxhash64(F.lit(name), "label"), F.lit(1 << 40)))]
+    each = members.groupBy(name, *more).agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows"), *[
+        m.alias(f"mark{i}") for i, m in enumerate(mark)])
+    return each.where("texts >= 2").withColumn("class", F.xxhash64("texts", "mark0", "mark1", *more))
+
+
+def disclosures(df: DataFrame, text: str = "text", alpha: float = ALPHA, chance: float = CHANCE) -> DataFrame:
+    """Terms that disclose an entity: term, ic and pmi (bits) of the entity that it reveals most."""
     bodies = df.select(utf8(text).alias("body"))
-    # one row per entity, term and text; then per entity and term
-    counted = scan(bodies, make_pairs, pair).groupBy("entity", "term", "label").agg(F.sum("n").alias("n"))
-    counted = counted.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
-    counted = cut(counted.where(F.col("texts") >= min_texts))
-    entities = counted.where(F.col("term").isNull()).select("entity", F.col("n").alias("n_entity"))
-    joint = counted.where(F.col("term").isNotNull()).select("entity", "term", F.col("n").alias("n_joint"))
-    frequency = cut(document_frequency(bodies, joint.select("term").distinct()))
+    held = cut(_texts_with_entities(bodies))
     n_docs = df.count()
-    scored = joint.join(entities, "entity").join(frequency, "term")
+    labels = held.groupBy("label").agg(F.sum("n").alias("n"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    labels = cut(labels)
+    # entities of two texts at least, as classes; one member stands for all
+    entities = labels.select("label", "n", F.explode("entities").alias("entity"))
+    classes = cut(_classes(entities, "entity").select("entity", F.col("class").alias("e_class"), F.col("rows").alias("n_entity")))
+    in_texts = entities.join(classes, "entity").select("label", "e_class", "n_entity").distinct()
+    in_texts = cut(in_texts.where(F.col("n_entity") < n_docs))
+    # terms of their texts, two texts at least
+    texts = in_texts.select("label").distinct()
+    terms = labels.join(texts, "label").select("label", "n", F.explode("terms").alias("term"))
+    wanted = cut(_classes(terms, "term").select("term"))
+    frequency = cut(document_frequency(bodies, wanted))
+    terms = cut(terms.join(frequency, "term"))
+    t_classes = cut(_classes(terms, "term", "n_term").select("term", F.col("class").alias("t_class")))
+    members = terms.join(t_classes, "term").groupBy("label", "n", "t_class", "n_term").agg(F.count(F.lit(1)).alias("size"))
+    # pmi >= alpha * ic means n_joint / n_term >= (n_entity / n_docs) ** (1 - alpha), and n_joint <= n_entity
+    most = F.col("n_entity") * F.pow(n_docs / F.col("n_entity"), F.lit(1 - alpha)) * 1.000001
+    pairs = members.join(in_texts, "label").where(F.col("n_term") <= most)
+    pairs = pairs.groupBy("e_class", "t_class", "n_entity", "n_term").agg(
+        F.sum("n").alias("n_joint"), F.count(F.lit(1)).alias("k"), F.max("size").alias("size"))
+    pairs = cut(pairs)
+    tests = pairs.groupBy("e_class").agg(F.sum("size").alias("tests"))
+    expected = F.col("n_entity") * F.col("n_term") / n_docs
+    odds = F.col("k") * F.log(F.col("k") / expected) - F.col("k") + expected
+    scored = pairs.where("k >= 2").join(tests, "e_class")
+    scored = scored.where((F.col("k") > expected) & (odds >= F.log(F.col("tests") / chance)))
     ic = -F.log2(F.col("n_entity") / n_docs)
     pmi = F.log2(F.col("n_joint") * n_docs / (F.col("n_entity") * F.col("n_term")))
-    scored = scored.withColumn("ic", ic).withColumn("pmi", F.least(pmi, F.col("ic"))).where(F.col("ic") > 0)
-    best = F.max_by(F.struct("ic", "pmi"), F.col("pmi") / F.col("ic")).alias("best")
-    found = scored.where(F.col("pmi") >= alpha * F.col("ic")).groupBy("term").agg(best)
+    scored = scored.withColumn("ic", ic).withColumn("pmi", F.least(pmi, F.col("ic"))).where(F.col("pmi") >= alpha * F.col("ic"))
+    best = F.max_by(F.struct("ic", "pmi"), F.struct(F.col("pmi") / F.col("ic"), F.col("ic"))).alias("best")
+    found = scored.groupBy("t_class").agg(best).join(t_classes, "t_class")
     return cut(found.select("term", "best.ic", "best.pmi"))
 
 
@@ -155,28 +196,42 @@ def _blocks(terms: DataFrame, block_terms: int) -> list[DataFrame]:
     return [terms.where(F.pmod(F.xxhash64("term"), F.lit(k)) == i) for i in range(k)]
 
 
-def document_frequency(bodies: DataFrame, terms: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """How many rows hold each of the terms."""
-    sc, out = bodies.sparkSession.sparkContext, None
-    terms = cut(terms)
-    for block in _blocks(terms, block_terms):
-        sent = sc.broadcast(frozenset(bytes(r[0]) for r in block.select("term").collect()))
+def document_frequency(bodies: DataFrame, terms: DataFrame, bits: int = BITS) -> DataFrame:
+    """(term, n_term): how many rows hold each of the terms."""
 
-        def make(sent=sent) -> Callable:
-            wanted = sent.value
+    def make_places() -> Callable:
+        known = WordHash()
 
-            def work(columns: list) -> list[tuple]:
-                held: Counter = Counter()
-                for body in columns[0]:
-                    held.update(wanted.intersection(fold(body).split()))
-                return list(held.items())
+        def work(columns: list) -> list[tuple]:
+            at = known.array([bytes(t) for t in columns[0]]) >> np.uint64(64 - bits)
+            return list(zip((at >> np.uint64(3)).astype(np.int64).tolist(), (1 << (at & np.uint64(7)).astype(np.int64)).tolist()))
 
-            return work
+        return work
 
-        schema = StructType([StructField("term", BinaryType()), StructField("n", LongType())])
-        part = scan(bodies, make, schema).groupBy("term").agg(F.sum("n").alias("n_term"))
-        out = part if out is None else out.unionAll(part)
-    return out
+    place = StructType([StructField("byte", LongType()), StructField("bits", LongType())])
+    # at most 2 ** (bits - 3) rows
+    filled = scan(terms.select("term"), make_places, place, rows=50_000).groupBy("byte").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 3), np.uint8)
+    table[filled["byte"].to_numpy()] = filled["bits"].to_numpy()
+    sent = bodies.sparkSession.sparkContext.broadcast(table)
+
+    def make() -> Callable:
+        known, held = WordHash(), sent.value
+
+        def work(columns: list) -> list[tuple]:
+            out: Counter = Counter()
+            for body in columns[0]:
+                words = list(set(fold(body).split()))
+                at = known.array(words) >> np.uint64(64 - bits)
+                hit = held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+                out.update(words[i] for i in np.flatnonzero(hit))
+            return list(out.items())
+
+        return work
+
+    schema = StructType([StructField("term", BinaryType()), StructField("n", LongType())])
+    counted = scan(bodies, make, schema).groupBy("term").agg(F.sum("n").alias("n_term"))
+    return counted.join(terms, "term", "left_semi")
 
 
 def term_spans(body: bytes, terms: dict[bytes, float]) -> list[tuple[int, int, bytes]]:
@@ -185,15 +240,7 @@ def term_spans(body: bytes, terms: dict[bytes, float]) -> list[tuple[int, int, b
     held = terms.keys() & set(folded.split())
     if not held:
         return []
-    out = []
-    for term in held:
-        at = folded.find(term)
-        while at >= 0:
-            end = at + len(term)
-            if (at == 0 or folded[at - 1] == 32) and (end == len(folded) or folded[end] == 32):
-                out.append((at, end, term))
-            at = folded.find(term, end)
-    return sorted(out)
+    return [(*m.span(), m[0]) for m in FOLDED.finditer(folded) if m[0] in held]
 
 
 def find(
@@ -231,19 +278,35 @@ def find(
     return state
 
 
+def apart(near: list[tuple], rules: list[Span]) -> list[tuple]:
+    """The spans (start, end, ..), sorted, that touch none of the rules' findings: one sweep over both."""
+    taken: list[list[int]] = []
+    for a, z in sorted(s[1:] for s in rules):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], z)
+        else:
+            taken.append([a, z])
+    out, i = [], 0
+    for x in near:
+        while i < len(taken) and taken[i][1] <= x[0]:
+            i += 1
+        if i == len(taken) or x[1] <= taken[i][0]:
+            out.append(x)
+    return out
+
+
 def _finish(doc_id: object, body: bytes, found: list | None, terms: dict, last: bool, with_text: bool) -> tuple:
-    flat = found or []
+    flat = list(found or [])
     for a, z, term in term_spans(body, terms) if terms else []:
-        flat = [*flat, a, z, int(terms[term] >= 1)]
+        flat += (a, z, int(terms[term] >= 1))
     if not last:
         return doc_id, body, flat
     rules = rule_spans(body)
-    near = [(a, z, sure) for a, z, sure in zip(flat[::3], flat[1::3], flat[2::3])]
-    near = [x for x in near if all(x[1] <= s[1] or s[2] <= x[0] for s in rules)]
+    near = apart(sorted(zip(flat[::3], flat[1::3], flat[2::3])), rules)
     every = to_code_points(body, rules + [("term", a, z) for a, z, _ in near])
     base = joined(every[: len(rules)], KINDS)
-    n = [sum(s[0] == k for s in rules) for k in KINDS[:4]]
-    row = (doc_id, *n, digest(base), joined(every, KINDS))
+    count = Counter(s[0] for s in rules)
+    row = (doc_id, *(count[k] for k in KINDS[:4]), digest(base), joined(every, KINDS))
     if not with_text:
         return row
     marks = [(a, z, b"[" + k.upper().encode() + b"]") for k, a, z in rules]

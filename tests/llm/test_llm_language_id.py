@@ -1,5 +1,7 @@
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
 from odd import TEXTS, no_documents, odd_documents, saved
@@ -70,6 +72,69 @@ def test_stage_keeps_clean_short_and_unspaced_texts(spark):
             assert found[i].lang_pred == lang and found[i].score > 0, i
 
 
+def test_popcounts_decide_what_stays_and_what_is_filled_in(spark):
+    words = {"aa": "kilo mega giga", "bb": "nano pico femto"}
+    rows = [(i, ("aa", "bb")[i % 2], words[("aa", "bb")[i % 2]]) for i in range(40)]
+    rows += [(100, None, "kilo giga mega"), (101, None, "femto nano"), (102, "aa", "pico femto pico"), (103, None, "12 34"), (104, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    filters = li.learn(docs.where("doc_id < 40"))
+    kept = {r.doc_id: r.lang for r in li.settle(docs, filters).collect()}
+    assert kept == {r[0]: r[1] for r in rows[:40]} | {100: "aa", 101: "bb", 102: "aa"}
+    wanted = {r.doc_id for r in li.settle(docs, filters, wanted=["aa"]).collect()}
+    assert wanted == {r[0] for r in rows[:40] if r[1] == "aa"} | {100}
+    # nothing learned: no ground to drop what has letters
+    assert li.settle(docs, li.learn(docs.limit(0))).count() == 43
+
+
+LETTERLESS = ["²" * 100, "①② " * 60, "Ⅷ½¾ " * 50, "١٢٣ " * 40, "_ - _", "\u0300\u0301", "𐄇𝟘 🄂" * 30, "", None]
+
+
+def test_only_letters_make_a_language(spark):
+    f = li.learn(spark.createDataFrame([("en", "some words"), ("xx", "² ① a")], "lang string, text string"), min_share=0.0)
+    assert f.predict(LETTERLESS) == [("und", 0.0)] * len(LETTERLESS)
+    assert all(p[0] in f.languages for p in f.predict(["²" * 5000 + "a", "é", "日", "ª"]))
+    assert f.counts(["² ① word", "word"])[0].tolist() == [f.counts(["word"])[0][0]] * 2
+
+
+def exact_sets(rows, min_share):
+    """N-grams by language in plain sets: those in at least min_share of its documents."""
+    held, sizes = {}, Counter(lang for lang, _ in rows)
+    for lang, text in rows:
+        held.setdefault(lang, Counter()).update(set(plain_grams(text)))
+    return {x: {g for g, n in c.items() if n >= max(1.0, min_share * sizes[x])} for x, c in held.items()}
+
+
+def plain_grams(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    for word in (f" {w} " for w in words):
+        for size in range(1, 5):
+            for at in range(len(word) - size + 1):
+                g = word[at : at + size]
+                if not (g[0] == " " == g[-1]):
+                    yield g
+
+
+def test_filters_against_exact_sets(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang", "text").collect()
+    rows = [(r.lang, r.text) for r in docs if r.lang and r.text]
+    sets = exact_sets(rows, li.MIN_SHARE)
+    f = li.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(sets) == sorted(f.languages)
+    texts = [t for _, t in rows]
+    total, hits = f.counts(texts)
+    estimate = np.maximum(hits - total[:, None] * f.false_rate, 0) / (1 - f.false_rate)
+    for i, (text, (name, score)) in enumerate(zip(texts, f.predict(texts))):
+        grams = list(plain_grams(text))
+        exact = {x: sum(g in held for g in grams) for x, held in sets.items()}
+        assert total[i] == len(grams)
+        for j, x in enumerate(f.languages):
+            assert hits[i, j] >= exact[x]  # a filter finds all that it holds
+            # beyond them only false positives, which the correction takes away on average
+            assert abs(estimate[i, j] - exact[x]) <= 0.01 * len(grams) + 5 * max(exact.values()) ** 0.5
+        best = max(exact.values())
+        assert exact[name] >= best - 0.01 * len(grams) - 1
+
+
 def test_no_language_is_left_out(spark):
     names = [f"l{i:04d}" for i in range(1030)]
     word = {n: "".join(chr(97 + int(c)) for c in n[1:]) for n in names}
@@ -89,6 +154,6 @@ def test_odd_rows_and_empty_table(spark, tmp_path):
     none = saved(no_documents(spark), tmp_path / "none")
     assert li.op8_language_id(spark, none).count() == 0
     docs = odd_documents(spark)
-    kept = li.keep_known(docs, li.learn(docs), least=0.0)
+    kept = li.settle(docs, li.learn(docs))
     assert kept.columns == docs.columns and kept.where("text is null or doc_id = 7").count() == 0
     assert li.learn(no_documents(spark)).predict(["text"]) == [("und", 0.0)]

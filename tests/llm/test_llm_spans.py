@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -191,3 +192,99 @@ def test_pii_odd_rows_and_empty_table(spark, tmp_path):
     rows = pii.op10_pii_sanitisation(spark, saved(odd_documents(spark), tmp_path / "odd")).collect()
     assert len(rows) == len(TEXTS) and {r.spans for r in rows} == {""}
     assert pii.op10_pii_sanitisation(spark, saved(no_documents(spark), tmp_path / "none")).count() == 0
+
+
+def brute_disclosures(texts, alpha=pii.ALPHA, chance=pii.CHANCE):
+    """Every pair of an entity and a word, from sets of documents."""
+    n = len(texts)
+    bodies = [t.encode() for t in texts]
+    held = [pii.entities_and_terms(b, pii.rule_spans(b)) for b in bodies]
+    words = [set(pii.fold(b).split()) for b in bodies]
+    e_docs, out = {}, {}
+    for i, (entities, _) in enumerate(held):
+        for e in entities:
+            e_docs.setdefault(e, []).append(i)
+    pairs = {}
+    for e, docs in e_docs.items():
+        if len({bodies[i] for i in docs}) < 2 or len(docs) == n:
+            continue
+        for t in {t for i in docs for t in held[i][1]}:
+            joint = [i for i in docs if t in held[i][1]]
+            k, n_t, n_e = len({bodies[i] for i in joint}), sum(t in w for w in words), len(docs)
+            # terms must be in two texts with recurring entities at all
+            pairs[e, t] = (k, len(joint), n_t, n_e)
+    recurring = {e for e, _ in pairs}
+    spread = {}
+    for i, (entities, terms) in enumerate(held):
+        if recurring.intersection(entities):
+            for t in terms:
+                spread.setdefault(t, set()).add(bodies[i])
+    tests = {}
+    for (e, t), (_, _, n_t, n_e) in pairs.items():
+        if len(spread[t]) >= 2 and n_t <= n_e * (n / n_e) ** (1 - alpha) * 1.000001:
+            tests[e] = tests.get(e, 0) + 1
+    for (e, t), (k, joint, n_t, n_e) in pairs.items():
+        expected = n_e * n_t / n
+        ic, pmi = -np.log2(n_e / n), np.log2(joint * n / (n_e * n_t))
+        odds = k * np.log(k / expected) - k + expected
+        if k >= 2 and k > expected and pmi >= alpha * ic - 1e-12 and odds >= np.log(tests.get(e, 1) / chance):
+            out[t] = max(out.get(t, (0, 0, 0)), (round(min(pmi, ic) / ic, 9), round(ic, 9), round(min(pmi, ic), 9)))
+    return out
+
+
+def test_disclosures_against_all_pairs(spark):
+    r = random.Random(8)
+    common = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(700):
+        person = r.randrange(60)
+        text = [r.choice(common) for _ in range(12)] + [f"rare{r.randrange(900)}"]
+        if r.random() < 0.3:
+            text.insert(0, f"Name{person}")
+            text.append(f"p{person}@mail.example.com")
+        if r.random() < 0.1:
+            text += [f"p{person}@mail.example.com", f"10.0.{person}.7", f"Town{person % 7}"]
+        texts += [" ".join(text)] * (3 if r.random() < 0.05 else 1)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    found = {bytes(x.term).decode(): (round(x.pmi / x.ic, 9), round(x.ic, 9), round(x.pmi, 9)) for x in pii.disclosures(df).collect()}
+    want = {t.decode(): v for t, v in brute_disclosures(texts).items()}
+    assert found == want and sum(t.startswith("name") for t in found) > 20
+
+
+def test_names_far_away_and_entities_of_two_texts(spark):
+    filler = lambda i, n: " ".join(f"{'abcdefghij'[(i * 7 + j * j) % 10]}{(i * j) % 5}" for j in range(n))
+    texts = [filler(i, 60) for i in range(1500)]
+    # a heading far before the address, in three texts and in two; Li is a short name
+    for i in range(3):
+        texts.append(f"Letter of Zebediah Li\n{filler(i, 300)} write to x.y@corp.example.com {filler(i + 1, 40)}")
+    for i in range(2):
+        texts.append(f"Quenby says {filler(i + 5, 200)} +1 555 010 9999 {filler(i + 2, 30)}")
+    texts.append("Zebediah alone")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    terms = {bytes(r.term).decode() for r in pii.disclosures(df).collect()}
+    assert {"zebediah", "li", "quenby"} <= terms and not {"a0", "b1", "alone"} & terms
+    rows = {r.doc_id: r for r in pii.find(df, pii.disclosures(df), with_text=True).collect()}
+    assert rows[1505].sanitised == "[TERM] alone" and "Quenby" not in rows[1503].sanitised
+
+
+def test_many_findings_in_one_text_stay_linear(spark):
+    many = " ".join(f"u{i}@m{i % 50}.example.com name{i} 1.2.{i % 250}.{i // 250 % 250}" for i in range(30_000))
+    body, began = many.encode(), time.time()
+    assert len(body) > 1_000_000
+    spans = pii.rule_spans(body)
+    entities, terms = pii.entities_and_terms(body, spans)
+    row = pii._finish(1, body, None, {t: 1.0 for t in terms}, True, True)
+    assert len(entities) == 60_000 and row[1] == 30_000 and row[-1].count("[EMAIL]") == 30_000 and "name7" not in row[-1]
+    assert time.time() - began < 20
+    # two texts alike: all their entities are one class, all their words another
+    df = spark.createDataFrame([(1, many), (2, many + " end"), (3, "other words")] + [(i, f"text {i}") for i in range(4, 300)], "doc_id long, text string")
+    began = time.time()
+    assert pii.disclosures(df, chance=1e9).count() >= 30_000 and time.time() - began < 60
+
+
+def test_apart_is_the_plain_filter():
+    r = random.Random(2)
+    for _ in range(300):
+        spans = [("k", a, a + r.randint(1, 6)) for a in r.sample(range(60), 6)]
+        near = sorted((a, a + r.randint(1, 5), 0) for a in r.sample(range(60), 12))
+        assert pii.apart(near, spans) == [x for x in near if all(x[1] <= s[1] or s[2] <= x[0] for s in spans)]
