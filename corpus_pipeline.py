@@ -1,9 +1,10 @@
 """Training-data pipeline over ``documents``: filter languages, near duplicates and leaked benchmarks, hide secrets, pack.
 
 Every stage reads all rows that the one before it wrote, and what it decides takes effect: documents that it rejects
-are gone, texts that it changes are changed.  All but the last return the columns of ``documents``.  A null text has no
-language and goes in the first stage; repeated rows are copies, of which the second stage keeps one; an empty table
-passes through every stage; further columns of ``documents`` pass through all but the last.
+are gone, texts that it changes are changed, languages that were missing are filled in.  All but the last return the
+columns of ``documents``.  A null text has no language and goes in the first stage; repeated rows are copies, of which
+the second stage keeps one; an empty table passes through every stage; further columns of ``documents`` pass through
+all but the last.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents whose language is determined, by filters learned from those that are not held out."""
+    """Keep the documents whose language is determined, by filters learned from those that are not held out, and fill in
+    the languages that are missing."""
     filters = language_id.learn(docs.where(~language_id.held_out()))
-    return language_id.keep_known(docs, filters)
+    return language_id.settle(docs, filters)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
