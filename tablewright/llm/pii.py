@@ -11,10 +11,10 @@ term stands nowhere else).  An entity of a single text meets all the words of th
 about any of them.
 
 Pairs stay few without a cap: entities that stand in exactly the same texts are one class, and so are terms; a term
-is paired with a class only if its document frequency lets it reach the threshold at all, which leaves the frequent
-terms out; and what meets in one text only drops out before any pairing.  Document frequencies of the terms in
-question come from one scan: tasks count the distinct words of their documents that a bitmap of hashes lets through
-(``BITS`` bits whatever the corpus; false hits drop out in the join).
+is paired with a class only if its frequency in texts with recurring entities, a lower bound of that in the corpus,
+lets it reach the threshold at all, which leaves the frequent terms out.  Document frequencies of the terms that meet
+an entity twice come from one scan: tasks count the distinct words of their documents that a bitmap of hashes lets
+through (``BITS`` bits whatever the corpus; false hits drop out in the join).
 
 The disclosing terms go to the executors in blocks of at most ``BLOCK_TERMS``; more terms mean more scans, not a
 larger broadcast.
@@ -138,15 +138,15 @@ def _texts_with_entities(bodies: DataFrame) -> DataFrame:
     return scan(bodies, make, schema)
 
 
-def _classes(members: DataFrame, name: str, *more: str) -> DataFrame:
-    """(label, n, name, ..): members that stand in the same texts (and agree in ``more``) as one class each.
+def _classes(members: DataFrame, name: str) -> DataFrame:
+    """(name, texts, rows, class) of members (label, n, name): those that stand in the same texts are one class.
 
-    A class is known by its number of texts and two independent 128 bits of hash over their labels.
+    A class is known by its number of texts and two independent hashes over their labels.
     """
     mark = [F.bit_xor(F.xxhash64("label")), F.sum(F.pmod(F.xxhash64(F.lit(name), "label"), F.lit(1 << 40)))]
-    each = members.groupBy(name, *more).agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows"), *[
+    each = members.groupBy(name).agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("rows"), *[
         m.alias(f"mark{i}") for i, m in enumerate(mark)])
-    return each.where("texts >= 2").withColumn("class", F.xxhash64("texts", "mark0", "mark1", *more))
+    return each.where("texts >= 2").withColumn("class", F.xxhash64("texts", "mark0", "mark1"))
 
 
 def disclosures(df: DataFrame, text: str = "text", alpha: float = ALPHA, chance: float = CHANCE) -> DataFrame:
@@ -161,30 +161,32 @@ def disclosures(df: DataFrame, text: str = "text", alpha: float = ALPHA, chance:
     classes = cut(_classes(entities, "entity").select("entity", F.col("class").alias("e_class"), F.col("rows").alias("n_entity")))
     in_texts = entities.join(classes, "entity").select("label", "e_class", "n_entity").distinct()
     in_texts = cut(in_texts.where(F.col("n_entity") < n_docs))
-    # terms of their texts, two texts at least
+    # terms of their texts, two texts at least, as classes too
     texts = in_texts.select("label").distinct()
     terms = labels.join(texts, "label").select("label", "n", F.explode("terms").alias("term"))
-    wanted = cut(_classes(terms, "term").select("term"))
-    frequency = cut(document_frequency(bodies, wanted))
-    terms = cut(terms.join(frequency, "term"))
-    t_classes = cut(_classes(terms, "term", "n_term").select("term", F.col("class").alias("t_class")))
-    members = terms.join(t_classes, "term").groupBy("label", "n", "t_class", "n_term").agg(F.count(F.lit(1)).alias("size"))
-    # pmi >= alpha * ic means n_joint / n_term >= (n_entity / n_docs) ** (1 - alpha), and n_joint <= n_entity
-    most = F.col("n_entity") * F.pow(n_docs / F.col("n_entity"), F.lit(1 - alpha)) * 1.000001
-    pairs = members.join(in_texts, "label").where(F.col("n_term") <= most)
-    pairs = pairs.groupBy("e_class", "t_class", "n_entity", "n_term").agg(
+    t_classes = _classes(terms, "term").select("term", F.col("class").alias("t_class"), F.col("rows").alias("n_held"))
+    t_classes = cut(t_classes)
+    members = terms.join(t_classes, "term").groupBy("label", "n", "t_class", "n_held").agg(F.count(F.lit(1)).alias("size"))
+    # pmi >= alpha * ic means n_joint >= n_term * (n_entity / n_docs) ** (1 - alpha), where n_term >= n_held
+    wide = F.pow(n_docs / F.col("n_entity"), F.lit(1 - alpha)) * 1.000001
+    met = members.join(in_texts, "label").where(F.col("n_held") <= F.col("n_entity") * wide)
+    met = met.groupBy("e_class", "t_class", "n_entity", "n_held").agg(
         F.sum("n").alias("n_joint"), F.count(F.lit(1)).alias("k"), F.max("size").alias("size"))
-    pairs = cut(pairs)
-    tests = pairs.groupBy("e_class").agg(F.sum("size").alias("tests"))
+    met = cut(met)
+    tests = met.groupBy("e_class").agg(F.sum("size").alias("tests"))
+    pairs = cut(met.where((F.col("k") >= 2) & (F.col("n_held") <= F.col("n_joint") * wide)))
+    # only terms that meet one entity in two texts are counted in the whole corpus
+    wanted = cut(t_classes.join(pairs.select("t_class").distinct(), "t_class").select("term", "t_class"))
+    frequency = cut(document_frequency(bodies, wanted.select("term")).join(wanted, "term"))
+    scored = pairs.join(frequency.select("t_class", "n_term").distinct(), "t_class").join(tests, "e_class")
     expected = F.col("n_entity") * F.col("n_term") / n_docs
     odds = F.col("k") * F.log(F.col("k") / expected) - F.col("k") + expected
-    scored = pairs.where("k >= 2").join(tests, "e_class")
     scored = scored.where((F.col("k") > expected) & (odds >= F.log(F.col("tests") / chance)))
     ic = -F.log2(F.col("n_entity") / n_docs)
     pmi = F.log2(F.col("n_joint") * n_docs / (F.col("n_entity") * F.col("n_term")))
     scored = scored.withColumn("ic", ic).withColumn("pmi", F.least(pmi, F.col("ic"))).where(F.col("pmi") >= alpha * F.col("ic"))
     best = F.max_by(F.struct("ic", "pmi"), F.struct(F.col("pmi") / F.col("ic"), F.col("ic"))).alias("best")
-    found = scored.groupBy("t_class").agg(best).join(t_classes, "t_class")
+    found = scored.groupBy("t_class", "n_term").agg(best).join(frequency, ["t_class", "n_term"])
     return cut(found.select("term", "best.ic", "best.pmi"))
 
 
