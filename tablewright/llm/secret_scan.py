@@ -1,19 +1,24 @@
 """Secret scan: rules find the sure secrets, a character convolutional network judges every other candidate.
 
-Candidates are the rules' findings, passwords of ``scheme://user:password@host``, and what the rules leave of runs of key
-characters: ``MIN_TOKEN`` or more with a digit, or ``MIN_LETTERS`` letters in a row.  Shorter words without a digit are
-judged only as such passwords.  The
-network (numpy: embedding, one convolution, max over time, logistic output) reads the candidate with its surrounding
-context.  A run is read whole: in overlapping windows of ``INSIDE`` bytes, and each part between ``/ . =`` by itself; its
-score is the highest, and the parts that reach the threshold are what is added.  It is trained on labelled findings: rule findings are positive; runs that are plainly something else
-(addresses, host names, IPs, numbers) are negative; all others are unlabelled and only scored.  At most
-``SAMPLE`` distinct windows of each kind and label train it, chosen by hash from all documents.  All distinct windows held
-out (30 %), scored in Spark and counted by log odds in steps of 0.001, calibrate the scores (Platt) and set, per kind of candidate, a threshold that keeps ``RECALL`` of the positives: of
-those that do, the one halfway to the negatives (in log odds).  Candidates outside the rules' findings that reach the threshold are added as kind ``model``.
-
-Nulls: a null text is empty and has no findings; without findings of both labels no model is trained and none are
-added.  Repeated rows are judged one by one; other columns pass through ``redact`` unchanged (``n_chars``, if there,
-is set to the new length of a text that changed).
+Candidates are the rules' findings, passwords of ``scheme://user:password@host``, and what the rules leave of runs of
+key characters: ``MIN_TOKEN`` or more with a digit, or ``MIN_LETTERS`` letters in a row.  Shorter words without a digit
+are judged only as such passwords.
+
+The network (numpy: embedding, one convolution, max over time, logistic output) reads the candidate with its
+surrounding context.  A run is read whole: in overlapping windows of ``INSIDE`` bytes, and each part between ``/ . =``
+by itself; its score is the highest, and the parts that reach the threshold are what is added.
+
+It is trained on labelled findings: rule findings are positive; runs that are plainly something else (addresses, host
+names, IPs, numbers) are negative; all others are unlabelled and only scored.  Training and calibration see what
+scoring sees, all windows of a run: at most ``SAMPLE`` distinct windows of each kind and label train it, chosen by hash
+from all documents; all labelled runs held out (30 %), scored in Spark by their highest window and counted by log odds
+in steps of 0.001, calibrate the scores (Platt) and set, per kind, a threshold that keeps ``RECALL`` of the positives:
+of those that do, the one halfway to the negatives (in log odds).  Candidates outside the rules' findings that reach
+the threshold are added as kind ``model``.
+
+Work is linear in the findings of a text.  Nulls: a null text is empty and has no findings; without findings of both
+labels no model is trained and none are added.  Repeated rows are judged one by one; other columns pass through
+``redact`` unchanged (``n_chars``, if there, is set to the new length of a text that changed).
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,13 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from tablewright.llm.common import cut, documents, scan, sliced, utf8
 from tablewright.llm.spans import Span, digest, joined, replace, to_code_points
+from tablewright.plans.ordered import hash_top_n
 
 KINDS = ("assign", "access", "hex", "model")
-MIN_TOKEN = 8
+MIN_TOKEN = 6
 MIN_PART = 16
 MIN_LETTERS = 16
 SAMPLE = 3000
@@ -54,7 +61,7 @@ DIGITS = re.compile(rb"[0-9]+")
 LETTERS = re.compile(rb"(?<![A-Za-z])[A-Za-z]{%d,}" % MIN_LETTERS)
 EITHER = re.compile(DIGITS.pattern + b"|" + LETTERS.pattern)
 USER = re.compile(rb"[A-Za-z0-9._%+-]+")
-PASSWORD = re.compile(rb"://[^\s:/@]{0,64}:([^\s/@]{1,256})@")
+PASSWORD = re.compile(rb"://[^\s:/@]*:([^\s/@]+)@")
 PLAIN_NUMBER = re.compile(rb"[0-9.+/=_-]+")
 PART = re.compile(rb"[^/.=]+")
 HOST = re.compile(rb"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\.?")
@@ -108,12 +115,24 @@ def label_of(body: bytes, start: int, end: int) -> int | None:
     return None
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans sorted, those that touch joined."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], z)
+        else:
+            out.append((a, z))
+    return out
+
+
 def free(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What the spans ``taken`` leave of a run."""
-    out = []
-    for a, z in sorted(x for x in taken if x[0] < end and start < x[1]):
-        out.append((start, a))
-        start = max(start, z)
+    """What the ``merged`` spans ``taken`` leave of a run."""
+    out, i = [], bisect_right(taken, (start, start))
+    i -= i > 0 and taken[i - 1][1] > start
+    while i < len(taken) and taken[i][0] < end:
+        out.append((start, taken[i][0]))
+        start, i = max(start, taken[i][1]), i + 1
     return [(a, z) for a, z in [*out, (start, end)] if a < z]
 
 
@@ -158,12 +177,12 @@ def candidates(body: bytes) -> list[tuple[str, int, int, int | None]]:
     """(kind, start, end, label): the rules' findings, then runs that lie in none of them."""
     rules = rule_spans(body)
     out: list[tuple[str, int, int, int | None]] = [(k, a, z, 1) for k, a, z in rules]
-    taken = [(a, z) for _, a, z in rules]
+    taken = merged([(a, z) for _, a, z in rules])
     if b"://" in body:
         words = [m.span(1) for m in PASSWORD.finditer(body)]
-        words = [x for x in words if all(x[1] <= a or z <= x[0] for a, z in taken)]
+        words = [x for x in words if free(*x, taken) == [x]]
         out += [("model", a, z, None) for a, z in words]
-        taken += words
+        taken = merged(taken + words)
     for run in token_spans(body):
         for a, z in free(*run, taken):
             if (a, z) == run or z - a >= MIN_TOKEN and EITHER.search(body, a, z):
@@ -289,7 +308,7 @@ def calibrate(net: CharNet, counted: list[tuple[str, int, float, int]], recall:
 
     positive = {k: (t == 1) & (kinds == k) for k in KINDS[:-1]}
     thresholds = {k: level(v if v.any() else t == 1) for k, v in positive.items()}
-    return Judge(net, slope, offset, thresholds | {"model": max(0.5, level(t == 1))})
+    return Judge(net, slope, offset, thresholds | {"model": level(t == 1)})
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -321,7 +340,7 @@ def _platt(z: np.ndarray, t: np.ndarray, n: np.ndarray) -> tuple[float, float]:
 
 
 def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | None:
-    """Train on at most ``sample`` distinct windows of each label and kind, chosen by hash; calibrate on all held out."""
+    """Train on at most ``sample`` distinct windows of each label and kind, chosen by hash; calibrate on all runs held out."""
 
     def make() -> Callable:
         def work(columns: list) -> list[tuple]:
@@ -329,19 +348,21 @@ def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | No
             for body in columns[0]:
                 for kind, a, z, label in candidates(body):
                     if label is not None:
-                        out.add((kind, label, window_of(body, a, z)))
+                        out.add((kind, label, tuple(window_of(body, *p) for p in pieces_of(body, a, z))))
             return list(out)
 
         return work
 
     schema = StructType([
-        StructField("kind", StringType()), StructField("label", LongType()), StructField("window", BinaryType())])
+        StructField("kind", StringType()), StructField("label", LongType()), StructField("windows", ArrayType(BinaryType()))])
     found = cut(scan(df.select(utf8(text).alias("body")), make, schema).distinct())
-    fits = F.crc32(F.concat(F.lit(bytearray(b"part")), F.col("window"))) % 10 < 7
+    fits = F.pmod(F.xxhash64("windows"), F.lit(10)) < 7
+    windows = found.where(fits).select("kind", "label", F.explode("windows").alias("window")).distinct()
+    windows = cut(windows.withColumn("h", F.pmod(F.xxhash64("window"), F.lit(1 << 32))))
     picked = []
     for kind, label in [(k, 1) for k in KINDS[:-1]] + [(KINDS[-1], 0)]:
-        part = found.where(fits & (F.col("kind") == kind) & (F.col("label") == label))
-        picked += part.orderBy(F.xxhash64("window"), "window").limit(sample).collect()
+        part = windows.where((F.col("kind") == kind) & (F.col("label") == label))
+        picked += hash_top_n(part, "h", ["window"], sample).collect()
     net = train([(r["kind"], r["label"], bytes(r["window"])) for r in picked])
     if net is None:
         return None
@@ -349,8 +370,10 @@ def learn(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> Judge | No
 
     def make_odds() -> Callable:
         def work(columns: list) -> list[tuple]:
-            z = sent.value.logits(CharNet.codes(columns[2]))
-            return list(zip(columns[0], columns[1], np.floor(np.clip(z, -40, 40) * 1000).astype(np.int64).tolist()))
+            z = sent.value.logits(CharNet.codes([w for held in columns[2] for w in held]))
+            first = np.cumsum([0, *(len(held) for held in columns[2])])[:-1]
+            z = np.floor(np.clip(np.maximum.reduceat(z, first), -40, 40) * 1000).astype(np.int64)
+            return list(zip(columns[0], columns[1], z.tolist()))
 
         return work
 
@@ -387,7 +410,8 @@ def find(df: DataFrame, judge: Judge | None, doc: str = "doc_id", text: str = "t
             out = []
             for doc_id, body in zip(*columns):
                 rules, added, scores = judged(body, sent.value)
-                n = [sum(s[0] == k for s in rules) for k in KINDS[:3]]
+                count = Counter(s[0] for s in rules)
+                n = [count[k] for k in KINDS[:3]]
                 every = to_code_points(body, rules + added)
                 base = joined(every[: len(rules)], KINDS)
                 out.append((doc_id, *n, digest(base), joined(every, KINDS), len(scores), max(scores, default=0.0)))

@@ -137,6 +137,47 @@ def test_every_candidate_is_judged():
     assert added == [("model", 3, 15)]  # labelled windows are judged too
 
 
+def test_what_the_rules_leave_is_the_plain_difference():
+    r = random.Random(6)
+    for _ in range(500):
+        taken = [(a, a + r.randint(1, 7)) for a in r.sample(range(50), 6)]
+        start = r.randrange(45)
+        end = start + r.randint(1, 20)
+        left = [p for p in range(start, end) if not any(a <= p < z for a, z in taken)]
+        found = secret_scan.free(start, end, secret_scan.merged(taken))
+        assert [p for a, z in found for p in range(a, z)] == left and all(a < z for a, z in found)
+
+
+def test_many_candidates_in_one_text_stay_linear():
+    many = " ".join(f"a{i}://user:Passw0rd{i}@host{i}.example.com/x password={i:08d}x token{i}9Zq" for i in range(25_000))
+    body, began = many.encode(), time.time()
+    found = secret_scan.candidates(body)
+    assert len(body) > 1_000_000 and sum(k == "assign" for k, *_ in found) == 25_000 and len(found) > 75_000
+    assert time.time() - began < 20
+
+
+def test_threshold_keeps_the_recall_at_any_height():
+    r = np.random.default_rng(4)
+    # positives and negatives overlap, and most are negative: the threshold falls below a half
+    rows = [("assign", 1, float(z), 1) for z in r.normal(-2, 2, 300)] + [("model", 0, float(z), 40) for z in r.normal(-4, 2, 300)]
+    judge = secret_scan.calibrate(secret_scan.CharNet(), rows)
+    x = secret_scan.sigmoid(judge.slope * np.array([z for _, label, z, _ in rows if label]) + judge.offset)
+    assert judge.thresholds["model"] < 0.5 and (x >= judge.thresholds["model"]).mean() >= secret_scan.RECALL
+
+
+def test_planted_secrets_that_no_rule_sees(spark):
+    docs, unseen = _findings(spark)
+    r = random.Random(9)
+    mixed = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789"
+    keys = ["".join(r.choice(mixed) for _ in range(24)) for _ in range(40)]
+    texts = [f"the words of prose before {k} and after it" for k in keys] + ["the words of prose before nothing and after it"] * 40
+    texts += [f"see http://www{i}.example.com/ and room {1000 + i * 7} today" for i in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = {x.doc_id: x for x in secret_scan.find(df, secret_scan.learn(docs)).collect()}
+    assert sum(f"model:{texts[i].index(k)}:{texts[i].index(k) + 24}" == rows[i].spans for i, k in enumerate(keys)) >= 36
+    assert not any(rows[i].spans for i in range(40, 120))
+
+
 def test_threshold_from_all_held_out_windows(spark):
     docs, _ = _findings(spark)
     few, real = [], secret_scan.calibrate
@@ -213,15 +254,17 @@ def brute_disclosures(texts, alpha=pii.ALPHA, chance=pii.CHANCE):
             k, n_t, n_e = len({bodies[i] for i in joint}), sum(t in w for w in words), len(docs)
             # terms must be in two texts with recurring entities at all
             pairs[e, t] = (k, len(joint), n_t, n_e)
+    # an entity is tested on the words that stand in two texts with recurring entities, and seldom enough there
     recurring = {e for e, _ in pairs}
-    spread = {}
+    spread, rows = {}, {}
     for i, (entities, terms) in enumerate(held):
         if recurring.intersection(entities):
             for t in terms:
                 spread.setdefault(t, set()).add(bodies[i])
+                rows[t] = rows.get(t, 0) + 1
     tests = {}
-    for (e, t), (_, _, n_t, n_e) in pairs.items():
-        if len(spread[t]) >= 2 and n_t <= n_e * (n / n_e) ** (1 - alpha) * 1.000001:
+    for (e, t), (_, _, _, n_e) in pairs.items():
+        if len(spread[t]) >= 2 and rows[t] <= n_e * (n / n_e) ** (1 - alpha) * 1.000001:
             tests[e] = tests.get(e, 0) + 1
     for (e, t), (k, joint, n_t, n_e) in pairs.items():
         expected = n_e * n_t / n
