@@ -28,30 +28,52 @@ BITMAP_BITS = 22
 
 
 class WindowSet:
-    """The windows of a block of items: word numbers, a bitmap of window hashes, and exact windows -> items."""
+    """The windows of a block of items: all words as one array of numbers, and per window length the sorted hashes of
+    its windows with their places, about 20 bytes a word.  A bitmap of hashes comes before the search, and what is
+    found is compared word for word."""
 
     def __init__(self, items: list[tuple[object, bytes]], width: int):
         self.words: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, list]] = {}
-        for item_id, text in items:
+        number = self.words.setdefault
+        self.items = [item_id for item_id, _ in items]
+        parts = []
+        for _, text in items:
             words = fold(text or b"").split()
-            if not words:
-                continue
-            ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int32)
-            length = min(width, len(ids))
-            known = self.windows.setdefault(length, {})
-            for at in range(len(ids) - length + 1):
-                owners = known.setdefault(ids[at : at + length].tobytes(), [])
-                if not owners or owners[-1] != item_id:
-                    owners.append(item_id)
-        self.bitmaps = {}
-        for length, known in self.windows.items():
-            keys = np.frombuffer(b"".join(known), np.int32).reshape(-1, length)
-            bits = np.zeros(1 << BITMAP_BITS, bool)
-            for at in range(0, len(keys), 100_000):
-                part = keys[at : at + 100_000]
-                bits[self._slot(np.array([rolling(k.astype(np.uint64), length)[0] for k in part], np.uint64))] = True
-            self.bitmaps[length] = bits
+            parts.append(np.fromiter((number(w, len(self.words) + 1) for w in words), np.int32, len(words)))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        self.flat = np.concatenate([*parts, np.zeros(0, np.int32)])
+        self.starts = np.cumsum(sizes) - sizes
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for length in sorted({min(width, int(n)) for n in sizes if n}):
+            self.tables[length] = self._table(length, np.minimum(sizes, width) == length, sizes)
+
+    def _table(self, length: int, of: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bitmap, sorted hashes, places) of the windows of some items, each once per item."""
+        inside = np.zeros(len(self.flat) + 1, np.int32)
+        np.add.at(inside, self.starts[of], 1)
+        np.add.at(inside, (self.starts + sizes - length + 1)[of], -1)
+        places = np.flatnonzero(np.cumsum(inside[:-1]))
+        hashes = rolling(self.flat.astype(np.uint64), length)[places]
+        order = np.lexsort((places, hashes))
+        hashes, places = hashes[order], places[order]
+        # a window that comes again in its item is dropped where nothing else lies between the two
+        again = (hashes[1:] == hashes[:-1]) & (self._owner(places[1:]) == self._owner(places[:-1]))
+        again[again] = self._same(places[1:][again], places[:-1][again], length)
+        keep = np.concatenate(([True], ~again))[: len(places)]
+        hashes, places = hashes[keep], places[keep].astype(np.int32 if len(self.flat) < 1 << 31 else np.int64)
+        bits = np.zeros(1 << BITMAP_BITS, bool)
+        bits[self._slot(hashes)] = True
+        return bits, hashes, places
+
+    def _owner(self, places: np.ndarray) -> np.ndarray:
+        """The number of the item that a place lies in; items without words share their start with the next one."""
+        return np.searchsorted(self.starts, places, side="right") - 1
+
+    def _same(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+        out = np.ones(len(a), bool)
+        for j in range(length):
+            out &= self.flat[a + j] == self.flat[b + j]
+        return out
 
     @staticmethod
     def _slot(hashes: np.ndarray) -> np.ndarray:
@@ -69,7 +91,7 @@ class WindowSet:
     def hits(self, ids: np.ndarray) -> Iterator[tuple[int, int, list]]:
         """(start, length, item ids) of every place where a window stands."""
         known_words = np.concatenate(([0], np.cumsum(ids > 0)))
-        for length, known in self.windows.items():
+        for length, (bits, known, places) in self.tables.items():
             if len(ids) < length:
                 continue
             full = np.flatnonzero(known_words[length:] - known_words[:-length] == length)
@@ -79,9 +101,17 @@ class WindowSet:
             for j in range(length):
                 hashes *= np.uint64(0x9E3779B97F4A7C15)
                 hashes += ids[full + j].astype(np.uint64)
-            for at in full[self.bitmaps[length][self._slot(hashes)]]:
-                if (items := known.get(ids[at : at + length].tobytes())) is not None:
-                    yield int(at), length, items
+            maybe = bits[self._slot(hashes)]
+            full, hashes = full[maybe], hashes[maybe]
+            low, high = np.searchsorted(known, hashes, side="left"), np.searchsorted(known, hashes, side="right")
+            for at, a, z in zip(full.tolist(), low.tolist(), high.tolist()):
+                if a == z:
+                    continue
+                found = places[a:z]
+                for j in range(length):
+                    found = found[self.flat[found + j] == ids[at + j]]
+                if len(found):
+                    yield at, length, [self.items[i] for i in dict.fromkeys(self._owner(found).tolist())]
 
 
 class _Zero:

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -77,3 +79,21 @@ def test_empty_tables(spark, tmp_path):
     assert dc.op9_benchmark_decontamination(spark, none).count() == 0
     folder = saved(odd_documents(spark), tmp_path / "b", benchmark=_bench(spark).limit(0))
     assert dc.op9_benchmark_decontamination(spark, folder).where("contaminated").count() == 0
+
+
+def test_window_set_is_built_of_arrays():
+    r = random.Random(3)
+    items = [(i, " ".join(f"w{r.randrange(30_000)}" for _ in range(r.choice([0, 3, 9, 10, 400, 2000]))).encode()) for i in range(900)]
+    items += [(900, " ".join(f"v{i}" for i in range(60)).encode())]
+    items += [(9000 + i, items[-1][1]) for i in range(300)]  # one passage in many items
+    began = time.time()
+    held = dc.WindowSet(items, 10)
+    n = len(held.flat)
+    size = held.flat.nbytes + sum(h.nbytes + p.nbytes for _, h, p in held.tables.values())
+    assert n > 300_000 and size < 20 * n and time.time() - began < 10
+    text = b"before " + items[-1][1] + b" after"
+    owners = [o for *_, o in held.hits(held.numbers(text))]
+    assert len(owners) == 51 and all(len(o) == 301 for o in owners)
+    for i, body in items[:40]:
+        if body:
+            assert {x for *_, o in held.hits(held.numbers(body)) for x in o} >= {i}
