@@ -11,6 +11,7 @@ Nulls: a null text has no words.  Repeated rows are judged one by one; other col
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,9 +97,12 @@ class Notices:
 def _best(found: list[tuple[str, int, int, int, int]]) -> list[tuple[str, int, int, int, int]]:
     """Of matches that overlap, those with the smallest share of edits, then the longest."""
     kept: list[tuple[str, int, int, int, int]] = []
+    spans: list[tuple[int, int]] = []  # of what is kept, apart from each other and in order
     for x in sorted(found, key=lambda x: (x[3] / x[4], -x[4], x[1], x[0])):
-        if all(x[2] <= k[1] or k[2] <= x[1] for k in kept):
+        i = bisect_left(spans, (x[1], x[2]))
+        if (i == 0 or spans[i - 1][1] <= x[1]) and (i == len(spans) or x[2] <= spans[i][0]):
             kept.append(x)
+            spans.insert(i, (x[1], x[2]))
     return sorted(kept, key=lambda x: (x[1], x[2], x[0]))
 
 

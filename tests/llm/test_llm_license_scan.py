@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from odd import TEXTS, no_documents, odd_documents, saved
 
@@ -69,3 +70,21 @@ def test_odd_rows_and_empty_table(spark, tmp_path):
     rows = ls.op6_license_scan(spark, saved(odd_documents(spark), tmp_path / "odd")).collect()
     assert len(rows) == len(TEXTS) and {r.labels for r in rows} == {""} and {r.first_word for r in rows} == {None}
     assert ls.op6_license_scan(spark, saved(no_documents(spark), tmp_path / "none")).count() == 0
+
+
+def test_the_best_of_overlapping_matches():
+    r = random.Random(5)
+
+    def plain(found):
+        kept = []
+        for x in sorted(found, key=lambda x: (x[3] / x[4], -x[4], x[1], x[0])):
+            if all(x[2] <= k[1] or k[2] <= x[1] for k in kept):
+                kept.append(x)
+        return sorted(kept, key=lambda x: (x[1], x[2], x[0]))
+
+    for _ in range(200):
+        found = [(r.choice("ab"), a, a + r.randint(1, 9), r.randint(0, 3), r.randint(5, 9)) for a in r.choices(range(60), k=25)]
+        assert ls._best(found) == plain(found)
+    many = [("a", 20 * i, 20 * i + 15, i % 3, 12) for i in range(60_000)]
+    began = time.time()
+    assert len(ls._best(many)) == 60_000 and time.time() - began < 10
