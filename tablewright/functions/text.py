@@ -1,4 +1,4 @@
-"""Scalar text functions (T1-T6): ``Column -> Column`` Catalyst expressions.
+"""Scalar text functions (T1-T5, T8, T14, T15): ``Column -> Column`` Catalyst expressions; T6 is in ``stemming``.
 
 Regexes are spelled with explicit character classes (no ``\\d``, ``\\s``
 or bare ``.``) so Java, Python and RE2 agree on them.
@@ -8,12 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tablewright.functions.stemmer import stem_word
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour for equal results).
@@ -86,33 +82,8 @@ def normalize_ws_lower(c: str | Column) -> Column:
 
 # T5
 def remove_stopwords(tokens: str | Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
-    stops = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(_col(tokens), lambda x: ~F.array_contains(stops, x))
-
-
-# T6
-_STEM_CACHE: dict[str, str] = {}
-_STEM_CACHE_MAX = 2_000_000
-
-
-def _stem_cached(word: str) -> str:
-    s = _STEM_CACHE.get(word)
-    if s is None:
-        if len(_STEM_CACHE) >= _STEM_CACHE_MAX:
-            _STEM_CACHE.clear()
-        s = _STEM_CACHE[word] = stem_word(word)
-    return s
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_arrays(tokens: pd.Series) -> pd.Series:
-    # the cache lives in the Python worker, so a term is stemmed once per worker
-    return tokens.map(lambda arr: None if arr is None else [_stem_cached(w) for w in arr])
-
-
-def stem(tokens: str | Column) -> Column:
-    """English (Porter2) stem of every token, Arrow-batched with a per-worker cache."""
-    return _stem_arrays(_col(tokens))
+    # a long list of literals is a hash set in Catalyst: one lookup a token
+    return F.filter(_col(tokens), lambda x: ~x.isin(*stopwords))
 
 
 # T8

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import text as tf
 from tablewright.functions.hashing import sql_hash32, sql_unit_hash
+from tablewright.functions.stemming import stem_sql
 from tablewright.jobs import fixtures as fx
 from tablewright.operators import clean, evaluate, features, profile, splits, text
 from tablewright.session import ensure_checkpoint_dir
@@ -745,8 +746,13 @@ def q_tokenize(spark, sf):
     return fx.text_like(spark, sf).select("doc_id", F.array_join(tf.tokenize("text", 2), " ").alias("tokens"))
 
 
-@register("stem")
+@register("stem", f"""WITH tk AS (SELECT doc_id, {SQL_TOKENS} AS tokens FROM documents),
+  pt AS (SELECT doc_id, unnest(tokens) AS term, unnest(generate_series(1, len(tokens))) AS pos FROM tk),
+  st AS (SELECT term, stem FROM {stem_sql("(SELECT DISTINCT term FROM pt)")}),
+  sj AS (SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS tokens FROM pt JOIN st USING (term) GROUP BY doc_id)
+  SELECT tk.doc_id, coalesce(sj.tokens, '') AS tokens FROM tk LEFT JOIN sj USING (doc_id)""")
 def q_stem(spark, sf):
+    """T6 of the cleaned documents."""
     return text.clean_text(fx.text_like(spark, sf), "text", "tokens", stemming=True).select(
         "doc_id", F.array_join("tokens", " ").alias("tokens")
     )

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import text as tf
+from tablewright.functions.stemming import with_stem
 from tablewright.plans.ordered import ordinal
 from tablewright.plans.parallel import spread
 from tablewright.session import ensure_checkpoint_dir
@@ -63,12 +64,40 @@ def clean_text(
     c = tf.strip_punctuation(c)
     toks = tf.normalize_ws_lower(c)
     if not stopwords:
-        return df.withColumn(out, tf.stem(toks) if stemming else toks)
+        res = df.withColumn(out, toks)
+        return stem_tokens(res, out) if stemming else res
     # StopWordsRemover tests membership in a hash set (one lookup per token)
     tmp = df.withColumn("_tw_raw_tokens", toks).drop(out)
     remover = StopWordsRemover(inputCol="_tw_raw_tokens", outputCol=out, stopWords=list(tf.STOPWORDS), caseSensitive=True)
     res = remover.transform(tmp).drop("_tw_raw_tokens")
-    return res.withColumn(out, tf.stem(out)) if stemming else res
+    return stem_tokens(res, out) if stemming else res
+
+
+# T6
+def stem_tokens(df: DataFrame, tokens_col: str, out: str | None = None) -> DataFrame:
+    """English (Porter2) stem of every token; ``out`` is the tokens' column by default.
+
+    Every distinct term is stemmed once, by column expressions (``functions.stemming``), and the stems that differ
+    from their term come back to the rows (``_looked_up``).  The rows are written once: they are read for the terms
+    and for the result.
+    """
+    out = out or tokens_col
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.checkpoint(eager=True)
+    counts = _terms(rows, tokens_col).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    stems = with_stem(counts).where(F.col("stem") != F.col("term"))
+    ranked = ordinal(stems, [F.col("n").desc(), F.col("term").asc()], out="_rk").withColumn("_rk", F.col("_rk") - 1)
+    fields = [*df.schema.fields] if out in df.columns else [*df.schema.fields, T.StructField(out, df.schema[tokens_col].dataType)]
+    names = [f.name for f in fields]
+
+    def put(batch: pa.RecordBatch, at: np.ndarray, coded: pa.DictionaryArray, stem: pa.Array) -> pa.RecordBatch:
+        held = pc.coalesce(stem, coded.dictionary).take(coded.indices)
+        tokens = batch.column("_tw_tokens")
+        ends = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=batch.num_rows)))).astype(np.int32)
+        found = pa.ListArray.from_arrays(ends, held, mask=tokens.is_null())
+        return pa.RecordBatch.from_arrays([found if c == out else batch.column(c) for c in names], names=names)
+
+    return _looked_up(rows, tokens_col, ranked, "stem", "_rk", df.columns, put, T.StructType(fields))
 
 
 def _terms(df: DataFrame, tokens_col: str, *keep: str) -> DataFrame:

@@ -1,8 +1,6 @@
-"""English (Porter2 / Snowball) stemmer for one lower-case word.
+"""A plain Porter2 stemmer, word by word: what the column expressions are tested against.
 
-A small per-token helper used by ``functions.text.stem`` inside an
-Arrow-batched pandas UDF.  Written from the published algorithm
-description; R1/R2 are fixed positions computed once per word.
+Written from the published algorithm description; R1/R2 are fixed positions computed once per word.
 """
 
 from __future__ import annotations

@@ -5,7 +5,6 @@ import math
 from pyspark.sql import functions as F
 
 from tablewright.functions import text as tf
-from tablewright.functions.stemmer import stem_word
 from tablewright.operators import clean, evaluate, features, profile, splits, text
 
 
@@ -112,8 +111,12 @@ def test_vocabulary_and_sequences(spark):
     assert seq == [4, 1, 2]
 
 
-def test_stemmer_examples():
-    assert [stem_word(w) for w in ["running", "cats", "generously", "ponies", "happy"]] == ["run", "cat", "generous", "poni", "happi"]
+def test_stemmer_examples(spark):
+    words = ["running", "cats", "generously", "ponies", "happy"]
+    df = spark.createDataFrame([(1, words), (2, None), (2, []), (None, ["cats", None, "dogs"])], "id int, tokens array<string>")
+    rows = [(r.id, r.tokens) for r in text.stem_tokens(df, "tokens").collect()]
+    want = [(1, ["run", "cat", "generous", "poni", "happi"]), (2, None), (2, []), (None, ["cat", None, "dog"])]
+    assert sorted(rows, key=str) == sorted(want, key=str)
 
 
 def test_stratified_folds_are_balanced_and_complete(spark):
