@@ -171,19 +171,20 @@ def idf_table(vocab: DataFrame, n_docs: int) -> DataFrame:
 
 
 def _looked_up(
-    df: DataFrame, tokens_col: str, vocab: DataFrame, value: str, rank: str, keep: list[str], work: Callable, schema: T.StructType
-) -> DataFrame:
+    df: DataFrame, tokens_col: str, vocab: DataFrame, value: str, rank: str, keep: list[str], work: Callable, schema: T.StructType,
+    hot_terms: int | None = None,
+) -> DataFrame:
     """Rows to rows by ``work(batch, tokens, value of each token)``; a row stays a row, whatever its id.
 
-    The ``HOT_TERMS`` first terms by ``rank`` (from 0) go to the tasks as one Arrow table.  Only if there are more,
+    The ``hot_terms`` (by default ``HOT_TERMS``) first terms by ``rank`` (from 0) go to the tasks as one Arrow table.  Only if there are more,
     rows get a key of their own, written once with a reliable checkpoint; the other terms of each row are joined in by
     a shuffle (a frequent term without an entry is dealt to ``SALTS`` tasks) and come back to the row by that key.
     """
     spark = df.sparkSession
     kind = vocab.schema[value].dataType
     entries = vocab.select("term", F.col(value).alias("value"), F.col(rank).alias("rank"))
-    hot = (F.col("rank") < HOT_TERMS) & (F.octet_length("term") <= HOT_TERM_BYTES)
-    held = entries.where(hot).select("term", "value").toArrow()  # at most HOT_TERMS terms of HOT_TERM_BYTES bytes
+    hot = (F.col("rank") < (HOT_TERMS if hot_terms is None else hot_terms)) & (F.octet_length("term") <= HOT_TERM_BYTES)
+    held = entries.where(hot).select("term", "value").toArrow()  # so many terms of HOT_TERM_BYTES bytes at most
     cold = entries.where(~hot).select(F.col("term").alias("_tw_term"), "value")
     rows = df.select(*keep, F.col(tokens_col).alias("_tw_tokens"))
     if cold.isEmpty():
@@ -223,12 +224,14 @@ def _looked_up(
 
 
 # T10
-def tfidf(df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int) -> DataFrame:
+def tfidf(
+    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs: int, max_vocab_rows: int | None = None
+) -> DataFrame:
     """Long-form L2-normalised TF-IDF weights (doc, term, weight).
 
     A document is one row, whatever its id: rows that share an id are weighted by themselves, and rows with a null id
     stay.  Terms are counted, weighted and normalised in the row, against the vocabulary from ``count_vectorize`` of
-    any size (``_looked_up``).
+    any size; ``max_vocab_rows`` terms are looked up in the task (``_looked_up``).
     """
     ranked = ordinal(idf_table(vocab, n_docs).select("term", "idf", "doc_freq"), [F.col("doc_freq").desc(), F.col("term").asc()], out="_rk")
     ranked = ranked.withColumn("_rk", F.col("_rk") - 1)
@@ -247,7 +250,7 @@ def tfidf(df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, n_docs
         return pa.RecordBatch.from_arrays(columns, names=[doc_col, "term", "weight"])
 
     out = T.StructType([df.schema[doc_col], T.StructField("term", T.StringType()), T.StructField("weight", T.DoubleType())])
-    return _looked_up(df, tokens_col, ranked, "idf", "_rk", [doc_col], weigh, out)
+    return _looked_up(df, tokens_col, ranked, "idf", "_rk", [doc_col], weigh, out, max_vocab_rows)
 
 
 def _vector_model(entries: pa.Table, tokens_col: str, out: str) -> PipelineModel:
@@ -300,8 +303,8 @@ def rank_terms(vocab: DataFrame) -> DataFrame:
 
 # T13
 def encode_sequence(
-    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, unknown_id: int = 1, out: str = "seq", first_id: int = 2,
-    last: int | None = None,
+    df: DataFrame, doc_col: str, tokens_col: str, vocab: DataFrame, unknown_id: int = 1, out: str = "seq",
+    hot_terms: int | None = None, first_id: int = 2, last: int | None = None,
 ) -> DataFrame:
     """Tokens -> ids in order; unknown terms -> ``unknown_id``.  ``last`` keeps only a document's last tokens.
 
@@ -323,7 +326,7 @@ def encode_sequence(
         return pa.RecordBatch.from_arrays([batch.column(doc_col), pa.ListArray.from_arrays(ends, flat)], names=[doc_col, out])
 
     schema = T.StructType([df.schema[doc_col], T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return _looked_up(df, tokens_col, entries, "term_id", "_rk", [doc_col], encode, schema)
+    return _looked_up(df, tokens_col, entries, "term_id", "_rk", [doc_col], encode, schema, hot_terms)
 
 
 def sequence_matrix(df: DataFrame, seq_col: str, max_features: int, maxlen: int, out: str = "padded") -> DataFrame:
