@@ -467,22 +467,22 @@ def q_score_probability(spark, sf):
 
 # ---------------------------------------------------------------- end-to-end jobs
 # All rows; the searches draw fewer parameter sets than the jobs' defaults (the full spaces: 24 forests, 300 ensembles,
-# 12 alphas, 315 SVR sets, 24 SGD sets), which are hours of fits on one machine.
+# 12 alphas, 315 SVR sets, 24 SGD sets), which are hours of fits on one machine (figures in the README).
 
 @register("fraud_job")
 def q_fraud_job(spark, sf):
     from tablewright.jobs import fraud
 
     grid = {"n_estimators": [100], "max_features": [10, 28]}
-    spaces = {name: (1, space) for name, (_, space) in fraud.SUPERVISED.items()}
-    return fraud.run(spark, sf, grid=grid, n_estimators=5, spaces=spaces).select("model", _r("auc"))
+    spaces = {name: (2, space) for name, (_, space) in fraud.SUPERVISED.items()}
+    return fraud.run(spark, sf, grid=grid, n_estimators=10, spaces=spaces).select("model", _r("auc"), _r("cv_auc"), _r("train_auc"))
 
 
 @register("housing_job")
 def q_housing_job(spark, sf):
     from tablewright.jobs import housing
 
-    svr = {"gamma": [0.1], "C": [100.0], "epsilon": [0.125]}
+    svr = {"gamma": [0.01, 0.1], "C": [100.0], "epsilon": [0.125]}
     res = housing.run(spark, sf, mlp_grid={"alpha": [0.01, 100.0]}, svr_grid=svr, max_iter=20, n_splits=2)
     return res.select("model", "split", _r("mae"), _r("r2"))
 
@@ -491,7 +491,7 @@ def q_housing_job(spark, sf):
 def q_text_job(spark, sf):
     from tablewright.jobs import text as text_job
 
-    res = text_job.run(spark, sf, grid={"alpha": [1e-4, 1e-2], "penalty": ["l2", "elasticnet"]})
+    res = text_job.run(spark, sf, grid={"alpha": [1e-4, 1e-3, 1e-2, 1e-1], "penalty": ["l2", "elasticnet"]})
     return res.select("stage", "model", _r("accuracy"))
 
 
