@@ -474,8 +474,8 @@ def q_fraud_job(spark, sf):
     from tablewright.jobs import fraud
 
     grid = {"n_estimators": [100], "max_features": [10, 28]}
-    spaces = {name: (2, space) for name, (_, space) in fraud.SUPERVISED.items()}
-    return fraud.run(spark, sf, grid=grid, n_estimators=10, spaces=spaces).select("model", _r("auc"), _r("cv_auc"), _r("train_auc"))
+    spaces = {name: (1, space) for name, (_, space) in fraud.SUPERVISED.items()}
+    return fraud.run(spark, sf, grid=grid, n_estimators=5, spaces=spaces).select("model", _r("auc"), _r("cv_auc"), _r("train_auc"))
 
 
 @register("housing_job")
