@@ -5,13 +5,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from tablewright.jobs import fixtures as fx
 from tablewright.jobs import model_queries
 from tablewright.operators import splits
-from tablewright.operators.models import classify
+from tablewright.operators.models import classify, columns
 
 
 def _points(spark):
@@ -57,3 +59,53 @@ def test_folds_of_a_search_are_written(spark):
     assert rows.columns == ["features", "label", "fold"] and rows.count() == tr.count()
     assert "md5" not in rows._jdf.queryExecution().executedPlan().toString()
     assert rows.schema["label"].metadata["ml_attr"]["vals"]
+
+
+class _Stopped(Exception):
+    pass
+
+
+def test_the_query_boosts_fifty_rounds(spark, monkeypatch):
+    df, seen = _points(spark), []
+
+    def stop(self, rows):
+        seen.append(self.getOrDefault("n_estimators"))
+        raise _Stopped
+
+    monkeypatch.setattr(model_queries, "_loan_vectors", lambda *_: (df, df))
+    monkeypatch.setattr(classify.AdaBoost, "_fit", stop)
+    with pytest.raises(_Stopped):
+        model_queries.q_adaboost(spark, "")
+    assert seen == [50]
+
+
+def test_rows_are_kept_with_their_weights_once_in_ten_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(rng.integers(2)), int(a + 0.5 * rng.normal() > 0)) for a in rng.normal(size=300)]
+    df = spark.createDataFrame(rows, "a double, c double, label int").coalesce(1)
+    kind = {"ml_attr": {"type": "nominal", "vals": ["x", "y"], "name": "c"}}
+    df = VectorAssembler(inputCols=["a", "c"], outputCol="features").transform(df.withColumn("c", F.col("c").alias("c", metadata=kind)))
+    kept, persist = [], type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: (kept.append(self.columns), persist(self, *a))[1])
+    before = len(list(spark.sparkContext._jsc.getPersistentRDDs()))
+    model = classify.adaboost(n_estimators=12, learning_rate=0.5).fit(df.select("features", "label"))
+    assert len(kept) == 2 and len(model.trees) == 12  # before: in every round
+    assert len(list(spark.sparkContext._jsc.getPersistentRDDs())) == before
+    held = df.collect()
+    y, w = np.array([r["label"] for r in held]), np.ones(len(held))
+    for tree, alpha in zip(model.trees, model.alphas):
+        wrong = np.array([tree.predict(r["features"]) for r in held]) != y
+        err = w[wrong].sum() / w.sum()
+        assert math.isclose(alpha, 0.5 * math.log((1 - err) / err), rel_tol=1e-9)
+        w = w * np.exp(alpha * wrong)
+
+
+def test_nodes_of_a_fitted_tree_equal_the_saved_ones(spark):
+    tree = classify.decision_tree(max_depth=3).fit(_points(spark))
+    own, saved = columns.fitted_tree(tree).nodes, columns.read_trees(spark, tree)[0].nodes
+    assert len(own) == len(saved) > 3
+    for i, node in own.items():
+        assert node["prediction"] == saved[i]["prediction"] and node["impurityStats"] == list(saved[i]["impurityStats"])
+        assert node["leftChild"] == saved[i]["leftChild"]
+        if node["leftChild"] >= 0:
+            assert node["split"] == saved[i]["split"].asDict()
